@@ -82,6 +82,7 @@ def scd2_apply(
     start: str = SCD_START,
     end: str = SCD_END,
     current: str = SCD_CURRENT,
+    ts_type: str = "timestamp",
 ) -> DataFrame:
     """One-pass SCD2 over the *active* versions.
 
@@ -96,7 +97,7 @@ def scd2_apply(
     closed by this run, to append to history).  Source columns named like the
     validity columns are ignored.
     """
-    ts = F.lit(run_ts).cast("timestamp")
+    ts = F.lit(run_ts).cast(ts_type)
     scd = {start, end, current}
     src_cols = [c for c in source.columns if c not in scd]
     source = source.select(*[_q(c) for c in src_cols])
@@ -104,7 +105,7 @@ def scd2_apply(
         return source.select(
             *[_q(c) for c in src_cols],
             ts.alias(start),
-            F.lit(None).cast("timestamp").alias(end),
+            F.lit(None).cast(ts_type).alias(end),
             F.lit(True).alias(current),
         )
 
@@ -126,7 +127,7 @@ def scd2_apply(
         ]
         return F.struct(*fields, start_col.alias(start), end_col.alias(end), F.lit(cur).alias(current))
 
-    null_ts = F.lit(None).cast("timestamp")
+    null_ts = F.lit(None).cast(ts_type)
     kept = version(_T, _q(_T + start), _q(_T + end), True)
     closed = version(_T, _q(_T + start), ts, False)
     opened = version(_S, ts, null_ts, True)
@@ -138,9 +139,11 @@ def scd2_apply(
     return joined.select(F.inline(rows))
 
 
-def scd2_first_load(source: DataFrame, run_ts: datetime, start: str = SCD_START, end: str = SCD_END, current: str = SCD_CURRENT) -> DataFrame:
+def scd2_first_load(
+    source: DataFrame, run_ts: datetime, start: str = SCD_START, end: str = SCD_END, current: str = SCD_CURRENT, ts_type: str = "timestamp"
+) -> DataFrame:
     """First load: every row active from ``run_ts``."""
-    return scd2_apply(None, source, [], [], run_ts, start, end, current)
+    return scd2_apply(None, source, [], [], run_ts, start, end, current, ts_type)
 
 
 def current_rows(df: DataFrame, flag: str = SCD_CURRENT) -> DataFrame:
