@@ -18,8 +18,6 @@ so the silver parsers, rules and lookups run exactly as on raw files.  The
 from __future__ import annotations
 
 from datetime import datetime
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +33,22 @@ EVENT_SEVERITY = (("error", "critica"), ("purchase", "alta"), ("signup", "media"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an input that arrives in fewer splits than the cluster has cores.
+
+    A lake table has many files and row groups, so this is a no-op at scale;
+    a single-row-group file (like the test tables) would otherwise run every
+    operator before the first shuffle in one task.  Round-robin, so it cannot
+    create skew.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def _s(c: str) -> Column:
@@ -133,7 +146,7 @@ def bronze_risk_events(events: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Composed layers (each call builds a fresh plan; nothing is cached)
+# Composed layers (plans only; no data is cached)
 # ---------------------------------------------------------------------------
 
 
@@ -143,9 +156,13 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._layers: dict[str, object] = {}
 
     def t(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # bronze
     def bronze(self, entity: str) -> DataFrame:
@@ -159,40 +176,51 @@ class Model:
         }[entity]
         return src[0](self.t(src[1]))
 
+    def _memo(self, key: str, build):
+        """Build each layer once per model, so a query that needs it twice (e.g.
+        cards for the transaction lookup and for the card dimension) carries one
+        subtree, and Spark reuses its exchange instead of computing it twice."""
+        if key not in self._layers:
+            self._layers[key] = build()
+        return self._layers[key]
+
     # silver: (valid latest per key, quarantine)
     def clients(self):
-        return silver.silver_clients(self.bronze("clientes"), RUN_TS, TS)
+        return self._memo("clients", lambda: silver.silver_clients(self.bronze("clientes"), RUN_TS, TS))
 
     def accounts(self):
-        return silver.silver_accounts(self.bronze("contas"), RUN_TS, TS)
+        return self._memo("accounts", lambda: silver.silver_accounts(self.bronze("contas"), RUN_TS, TS))
 
     def cards(self):
-        return silver.silver_cards(self.bronze("cartoes"), RUN_TS, TS)
+        return self._memo("cards", lambda: silver.silver_cards(self.bronze("cartoes"), RUN_TS, TS))
 
     def transactions(self):
-        return silver.silver_transactions(self.bronze("transacoes"), self.cards()[0], TS, passthrough=("tipo_transacao",))
+        return self._memo(
+            "transactions",
+            lambda: silver.silver_transactions(self.bronze("transacoes"), self.cards()[0], TS, passthrough=("tipo_transacao",)),
+        )
 
     def risk_events(self):
-        return silver.silver_risk_events(self.bronze("eventos_risco"), self.transactions()[0], TS)
+        return self._memo("risk_events", lambda: silver.silver_risk_events(self.bronze("eventos_risco"), self.transactions()[0], TS))
 
     def refunds(self):
-        return silver.silver_refunds(self.bronze("estornos"), TS)
+        return self._memo("refunds", lambda: silver.silver_refunds(self.bronze("estornos"), TS))
 
     # gold
     def dim_clients(self):
-        return gold.dim_clients(self.clients()[0], unique=True)
+        return self._memo("dim_clients", lambda: gold.dim_clients(self.clients()[0], unique=True))
 
     def dim_accounts(self):
-        return gold.dim_accounts(self.accounts()[0], unique=True)
+        return self._memo("dim_accounts", lambda: gold.dim_accounts(self.accounts()[0], unique=True))
 
     def dim_cards(self):
-        return gold.dim_cards(self.cards()[0], unique=True)
+        return self._memo("dim_cards", lambda: gold.dim_cards(self.cards()[0], unique=True))
 
     def fact_transactions(self):
-        return gold.fact_transactions(self.transactions()[0], self.dim_accounts())
+        return self._memo("fact_transactions", lambda: gold.fact_transactions(self.transactions()[0], self.dim_accounts()))
 
     def fact_refunds(self):
-        return gold.fact_refunds(self.refunds()[0], self.fact_transactions())
+        return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.fact_transactions()))
 
     def fact_risk(self):
-        return gold.fact_risk_events(self.risk_events()[0], self.fact_transactions())
+        return self._memo("fact_risk", lambda: gold.fact_risk_events(self.risk_events()[0], self.fact_transactions()))

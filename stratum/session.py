@@ -33,6 +33,7 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -42,6 +43,23 @@ def local_session(
     return spark
 
 
+# SQL settings the library recommends on any session (runtime-settable).
+# Constraint propagation re-derives every inferred predicate at each optimizer
+# pass; on the deep, wide plans of a medallion chain it dominates planning time
+# and its inferred filters add nothing the explicit ones do not already do.
+RECOMMENDED_SQL_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def apply_recommended_conf(spark: SparkSession) -> None:
+    for key, value in RECOMMENDED_SQL_CONF.items():
+        spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
