@@ -59,14 +59,15 @@ def with_file_metadata(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.col(f"_metadata.{field}").alias(alias) for alias, field in META_COLUMNS.items()])
 
 
-def csv_headers(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def csv_headers(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
     """Header line of every CSV file: (file_path, header).
 
     The header is the first line of the split that starts at offset 0; the
     line with the smallest ``monotonically_increasing_id`` of that split is
     its first line.  Runs as a distributed job, never on the driver.
     """
-    lines = spark.read.text(path).select(
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("pos"),
@@ -98,7 +99,7 @@ def read_csv_group(spark: SparkSession, files: Sequence[str], columns: Sequence[
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     fmt: str = "csv",
     sep: str = ",",
     uniform_header: bool = False,
@@ -121,7 +122,7 @@ def read_raw(
             .option("mode", "PERMISSIVE")
             .option("primitivesAsString", "true")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-            .json(path)
+            .json(path if isinstance(path, str) else list(path))
         )
         return with_file_metadata(df)
 
@@ -130,7 +131,7 @@ def read_raw(
         if cols is None:
             first = csv_headers(spark, path, sep).orderBy("file_path").select("header").first()
             cols = [c.strip() for c in first["header"].split(sep)] if first else []
-        return read_csv_group(spark, [path], cols, sep)
+        return read_csv_group(spark, [path] if isinstance(path, str) else list(path), cols, sep)
 
     # one small aggregated row per distinct header; the file lists go to the driver
     # only as paths (control data), never the rows
