@@ -172,13 +172,12 @@ def recover_scd2(spark: SparkSession, name: str, current: str = SCD_CURRENT, end
 def _publish_scd2(spark: SparkSession, staging: str, name: str, current: str, end: str) -> None:
     schema = spark.table(name).schema
     staged = align_to_schema(spark.table(staging), schema)
-    (
-        staged.filter(F.col(current))
-        .write.format("parquet")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name, overwrite=True)
-    )
+    data_cols = [f.name for f in schema.fields if f.name != current]
+    view = f"__scd_active_{abs(hash(name))}"
+    staged.filter(F.col(current)).select(*data_cols).createOrReplaceTempView(view)
+    # a static partition spec: only the active partition can be replaced
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{current}` = true) SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
     closed = staged.filter(~F.col(current))
     ends = [r[0] for r in closed.select(end).distinct().collect()]
     if ends:
