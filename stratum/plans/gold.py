@@ -351,3 +351,28 @@ def monthly_consumption(fato_transacoes: DataFrame, fato_estornos: DataFrame) ->
         _zero("quantidade_estornos", "bigint"),
         _zero("valor_estornado", MONEY_SUM),
     )
+
+
+# ---------------------------------------------------------------------------
+# Documented summaries (named in the modelling notes; columns are ours)
+# ---------------------------------------------------------------------------
+
+
+def daily_transaction_summary(fato_transacoes: DataFrame) -> DataFrame:
+    """Per calendar day: transactions, distinct clients, total and average value."""
+    return fato_transacoes.groupBy("id_data", F.to_date("data_transacao").alias("data")).agg(
+        F.count("id_transacao").alias("quantidade_transacoes"),
+        F.countDistinct("id_cliente").alias("quantidade_clientes"),
+        F.sum("valor").cast(MONEY_SUM).alias("valor_total"),
+        F.avg("valor").alias("valor_medio"),
+    )
+
+
+def account_movement_summary(fato_transacoes: DataFrame) -> DataFrame:
+    """Per account: transactions, total value, first and last movement."""
+    return fato_transacoes.groupBy("id_conta", "id_cliente").agg(
+        F.count("id_transacao").alias("quantidade_transacoes"),
+        F.sum("valor").cast(MONEY_SUM).alias("valor_total"),
+        F.min("data_transacao").alias("primeira_movimentacao"),
+        F.max("data_transacao").alias("ultima_movimentacao"),
+    )

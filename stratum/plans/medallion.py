@@ -80,7 +80,7 @@ def _scd_entity(spark, settings: Settings, name: str, valid: DataFrame, invalid:
     sink.append_quarantine(invalid, settings.table("quarantine", name))
     sink.recover_scd2(spark, target)
     active = current_rows(spark.table(target)) if sink.table_exists(spark, target) else None
-    sink.commit_scd2(scd2_apply(active, valid, spec.keys, spec.compare, run_ts), target)
+    sink.commit_scd2(scd2_apply(active, valid, spec.keys, spec.compare, run_ts), target, run_ts=run_ts)
 
 
 def _metric(name: str, classified: DataFrame, run_ts: datetime) -> DataFrame:
@@ -240,6 +240,7 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
 def run_all(spark: SparkSession, settings: Settings, batch_id: str | None = None, run_ts: datetime | None = None) -> DataFrame:
     """Bronze -> silver -> gold -> checks with a run log written even on failure."""
     run_ts = run_ts or _now()
+    sink.create_control_tables(spark, settings.database_control)
     log = metrics.RunLog(spark)
     try:
         log.run("01_bronze", lambda: run_bronze(spark, settings, batch_id, run_ts).count())

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.functions.columns import row_fingerprint
-from stratum.settings import SCD_CURRENT, SCD_END
+from stratum.settings import SCD_CURRENT, SCD_END, SCD_START
 
 STAGING_SUFFIX = "__staging"
 
@@ -143,22 +143,39 @@ def commit_state(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
 SCD_STAGING_SUFFIX = "__scd_staging"
 
 
-def commit_scd2(changes: DataFrame, name: str, current: str = SCD_CURRENT, end: str = SCD_END) -> None:
+def commit_scd2(
+    changes: DataFrame,
+    name: str,
+    current: str = SCD_CURRENT,
+    end: str = SCD_END,
+    run_ts=None,
+    start: str = SCD_START,
+) -> bool:
     """Commit the output of ``scd2_apply`` (new active set + versions it closed).
 
     The table is partitioned by the current flag.  Only the active partition is
     replaced (dynamic partition overwrite); closed versions are appended to the
     history partition, skipping any already there (same fingerprint), so
     history is never rewritten and a repeated commit adds nothing.
+
+    With ``run_ts`` the commit is skipped when the run opened no version (the
+    staged rows are checked, not the source lineage), and False is returned.
     """
     spark = changes.sparkSession
     recover_scd2(spark, name, current, end)
     if not table_exists(spark, name):
         write_snapshot(changes, name, [current])
-        return
+        return True
     staging = name + SCD_STAGING_SUFFIX
     write_snapshot(changes, staging)
+    if run_ts is not None:
+        staged = spark.table(staging)
+        opened = staged.filter(F.col(current) & (F.col(start) == F.lit(run_ts).cast(staged.schema[start].dataType)))
+        if opened.limit(1).count() == 0:
+            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            return False
     _publish_scd2(spark, staging, name, current, end)
+    return True
 
 
 def recover_scd2(spark: SparkSession, name: str, current: str = SCD_CURRENT, end: str = SCD_END) -> bool:
@@ -190,6 +207,21 @@ def _publish_scd2(spark: SparkSession, staging: str, name: str, current: str, en
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
 
 
+CONTROL_TABLES_DDL = {
+    "metricas_qualidade_prata": "fonte STRING, quantidade_entrada BIGINT, quantidade_validos BIGINT, quantidade_invalidos BIGINT, data_processamento TIMESTAMP",
+    "controle_arquivos_processados": "nome_fonte STRING, nome_arquivo STRING, caminho_origem STRING, caminho_destino STRING, tabela_bronze STRING, "
+    "status_processamento STRING, mensagem STRING, data_processamento TIMESTAMP",
+    "execucoes_pipeline": "notebook STRING, status STRING, inicio STRING, fim STRING, duracao_segundos DOUBLE, retorno STRING, erro STRING",
+}
+
+
+def create_control_tables(spark: SparkSession, database: str) -> None:
+    """Control tables with explicit DDL (created once, appended to afterwards)."""
+    ensure_database(spark, database)
+    for table, columns in CONTROL_TABLES_DDL.items():
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet")
+
+
 def merge_into(spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], update=None) -> None:
     """MERGE upsert into a catalog table: row-level ``mergeInto`` when the
     table format supports it, else the full-outer rewrite through staging."""
