@@ -223,8 +223,9 @@ def create_control_tables(spark: SparkSession, database: str) -> None:
 
 
 def merge_into(spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], update=None) -> None:
-    """MERGE upsert into a catalog table: row-level ``mergeInto`` when the
-    table format supports it, else the full-outer rewrite through staging."""
+    """MERGE upsert into a catalog table: the full-outer rewrite of
+    ``merge_upsert`` committed through staging (plain Parquet has no row-level
+    MERGE).  The source keys must be unique."""
     from stratum.operators.upsert import merge_upsert
 
     assert_unique_keys(source, keys)
