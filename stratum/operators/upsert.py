@@ -83,6 +83,8 @@ def scd2_apply(
     end: str = SCD_END,
     current: str = SCD_CURRENT,
     ts_type: str = "timestamp",
+    effective_from: str | None = None,
+    delete_when: Column | None = None,
 ) -> DataFrame:
     """One-pass SCD2 over the *active* versions.
 
@@ -93,6 +95,11 @@ def scd2_apply(
     * source only: the source row opened at ``run_ts``;
     * unchanged or target only: the active row as is.
 
+    Options: ``effective_from`` names a source column whose value opens the new
+    version and closes the old one (instead of the run time);
+    ``delete_when`` is a predicate over source columns marking a delete: the
+    active version is closed and no new one is opened.
+
     Returns rows with ``current`` TRUE (the new active set) and FALSE (versions
     closed by this run, to append to history).  Source columns named like the
     validity columns are ignored.
@@ -100,11 +107,18 @@ def scd2_apply(
     ts = F.lit(run_ts).cast(ts_type)
     scd = {start, end, current}
     src_cols = [c for c in source.columns if c not in scd]
-    source = source.select(*[_q(c) for c in src_cols])
+    extra = []
+    if effective_from is not None:
+        extra.append(F.coalesce(_q(effective_from).cast(ts_type), ts).alias("__eff"))
+    if delete_when is not None:
+        extra.append(F.coalesce(delete_when, F.lit(False)).alias("__del"))
+    source = source.select(*[_q(c) for c in src_cols], *extra)
     if active is None:
-        return source.select(
+        live = source.filter(~F.col("__del")) if delete_when is not None else source
+        opened_at = F.col("__eff") if effective_from is not None else ts
+        return live.select(
             *[_q(c) for c in src_cols],
-            ts.alias(start),
+            opened_at.alias(start),
             F.lit(None).cast(ts_type).alias(end),
             F.lit(True).alias(current),
         )
@@ -116,7 +130,9 @@ def scd2_apply(
 
     in_src = F.col("__in_src").isNotNull()
     in_tgt = F.col("__in_tgt").isNotNull()
+    deleted = _q(_S + "__del") if delete_when is not None else F.lit(False)
     changed = in_src & in_tgt & reduce(lambda a, b: a | b, [~_q(_S + c).eqNullSafe(_q(_T + c)) for c in compare])
+    change_ts = _q(_S + "__eff") if effective_from is not None else ts
 
     def version(prefix: str, start_col: Column, end_col: Column, cur: bool) -> Column:
         fields = [
@@ -129,10 +145,12 @@ def scd2_apply(
 
     null_ts = F.lit(None).cast(ts_type)
     kept = version(_T, _q(_T + start), _q(_T + end), True)
-    closed = version(_T, _q(_T + start), ts, False)
-    opened = version(_S, ts, null_ts, True)
+    closed = version(_T, _q(_T + start), change_ts, False)
+    opened = version(_S, change_ts, null_ts, True)
+    nothing = F.filter(F.array(kept), lambda _: F.lit(False))  # typed empty array
     rows = (
-        F.when(changed, F.array(closed, opened))
+        F.when(in_src & deleted, F.when(in_tgt, F.array(closed)).otherwise(nothing))
+        .when(changed, F.array(closed, opened))
         .when(~in_tgt, F.array(opened))
         .otherwise(F.array(kept))
     )

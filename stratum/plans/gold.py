@@ -153,8 +153,15 @@ def fact_refunds(estornos: DataFrame, fato_transacoes: DataFrame, unique: bool =
     return _one_per_key(fact, "id_estorno", "data_estorno", unique)
 
 
-def fact_risk_events(eventos: DataFrame, fato_transacoes: DataFrame, unique: bool = True) -> DataFrame:
-    """Risk events with the client of their transaction (left join: orphans keep NULL client)."""
+def fact_risk_events(eventos: DataFrame, fato_transacoes: DataFrame | None = None, unique: bool = True, dim_contas: DataFrame | None = None) -> DataFrame:
+    """Risk events with the client of their transaction (left join: orphans keep NULL client).
+
+    The client of a fact transaction is the client of its account, and silver
+    events already carry their transaction's account.  With ``dim_contas`` the
+    client comes from the account dimension (one row per account) instead of
+    joining the whole transaction fact on ``id_transacao`` -- the same rows,
+    without shuffling the largest table.
+    """
     e = eventos.select(
         "id_evento",
         "id_transacao",
@@ -164,8 +171,11 @@ def fact_risk_events(eventos: DataFrame, fato_transacoes: DataFrame, unique: boo
         optional_column(eventos, "severidade", "string"),
         optional_column(eventos, "tipo_evento", "string"),
     )
-    t = fato_transacoes.select("id_transacao", "id_cliente")
-    fact = e.join(t, "id_transacao", "left").select(
+    if dim_contas is not None:
+        joined = e.join(dim_contas.select("id_conta", "id_cliente"), "id_conta", "left")
+    else:
+        joined = e.join(fato_transacoes.select("id_transacao", "id_cliente"), "id_transacao", "left")
+    fact = joined.select(
         "id_evento",
         "id_transacao",
         "id_cliente",

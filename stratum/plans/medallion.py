@@ -161,7 +161,7 @@ def run_gold(spark: SparkSession, settings: Settings, type_column: str = "tipo_t
     write(gold.dim_date(gold.fact_dates((s("transacoes"), "data_transacao"), (s("estornos"), "data_estorno"), (s("eventos_risco"), "data_evento"))), "dim_data")
     write(gold.fact_transactions(s("transacoes"), g("dim_contas"), unique=False, type_column=type_column), "fato_transacoes")
     write(gold.fact_refunds(s("estornos"), g("fato_transacoes"), unique=False), "fato_estornos")
-    write(gold.fact_risk_events(s("eventos_risco"), g("fato_transacoes"), unique=False), "fato_eventos_risco")
+    write(gold.fact_risk_events(s("eventos_risco"), unique=False, dim_contas=g("dim_contas")), "fato_eventos_risco")
     write(gold.client_consumption(g("dim_clientes"), g("fato_transacoes"), g("dim_contas"), g("dim_cartoes")), "analise_consumo_clientes")
     write(gold.consumption_share(g("fato_transacoes")), "analise_padrao_consumo")
     write(gold.client_risk(g("dim_clientes"), g("fato_eventos_risco")), "analise_risco_clientes")

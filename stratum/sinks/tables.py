@@ -196,14 +196,15 @@ def _publish_scd2(spark: SparkSession, staging: str, name: str, current: str, en
     spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{current}` = true) SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
     closed = staged.filter(~F.col(current))
-    ends = [r[0] for r in closed.select(end).distinct().collect()]
-    if ends:
-        already = spark.table(name).filter(~F.col(current) & F.col(end).isin(ends))
-        fp = "__fp"
-        closed = closed.withColumn(fp, row_fingerprint(closed)).join(
-            already.select(row_fingerprint(already).alias(fp)), fp, "left_anti"
-        ).drop(fp)
-        closed.write.format("parquet").mode("append").insertInto(name)
+    # history rows that could be these same versions: same end time (semi join,
+    # stays distributed however many distinct end times a run produces)
+    history = spark.table(name).filter(~F.col(current))
+    already = history.join(closed.select(end).distinct(), end, "left_semi").select(*schema.fieldNames())
+    fp = "__fp"
+    new_closed = closed.withColumn(fp, row_fingerprint(closed)).join(
+        already.select(row_fingerprint(already).alias(fp)), fp, "left_anti"
+    ).drop(fp)
+    new_closed.write.format("parquet").mode("append").insertInto(name)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
 
 

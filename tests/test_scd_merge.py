@@ -90,3 +90,18 @@ def test_merge_update_subset_and_idempotent(spark):
 def test_merge_into_missing_target_creates_it(spark):
     source = spark.createDataFrame([(1, "a")], "id bigint, s string")
     assert merge_upsert(None, source, ["id"]).count() == 1
+
+
+def test_scd2_effective_from_and_delete(spark):
+    schema = "k int, v string, quando timestamp, op string"
+    first = spark.createDataFrame([(1, "a", datetime(2026, 1, 5), "I"), (2, "b", datetime(2026, 1, 6), "I"), (3, "x", datetime(2026, 1, 7), "D")], schema)
+    state = scd2_apply(None, first, ["k"], ["v"], T1, effective_from="quando", delete_when=F.col("op") == "D")
+    assert sorted((r["k"], r["data_inicio_vigencia"]) for r in state.collect()) == [(1, datetime(2026, 1, 5)), (2, datetime(2026, 1, 6))]
+    second = spark.createDataFrame([(1, "A", datetime(2026, 2, 3), "U"), (2, "b", datetime(2026, 2, 4), "D")], schema)
+    out = scd2_apply(state, second, ["k"], ["v"], T2, effective_from="quando", delete_when=F.col("op") == "D").collect()
+    got = sorted((r["k"], r["v"], r["registro_atual"], r["data_inicio_vigencia"], r["data_fim_vigencia"]) for r in out)
+    assert got == [
+        (1, "A", True, datetime(2026, 2, 3), None),
+        (1, "a", False, datetime(2026, 1, 5), datetime(2026, 2, 3)),
+        (2, "b", False, datetime(2026, 1, 6), datetime(2026, 2, 4)),
+    ]
