@@ -1,8 +1,8 @@
 """Data-quality checks that return result rows instead of printing.
 
 A check is a one-row DataFrame ``(teste, status, detalhe, data_execucao)``.
-Checks of one table can be fused into a single aggregation (``table_profile``),
-so a table is scanned once for all its count-based checks.
+Checks of one table can be fused into a single aggregation (``fused_checks``,
+``table_profile``), so a table is scanned once for all its count-based checks.
 """
 
 from __future__ import annotations
@@ -116,3 +116,53 @@ def assert_passed(results: DataFrame) -> None:
 
 def empty_results(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RESULT_SCHEMA)
+
+
+def fused_checks(
+    df: DataFrame,
+    table: str,
+    run_ts: datetime,
+    not_empty: bool = False,
+    required: Sequence[str] = (),
+    positive: Sequence[tuple[str, str]] = (),
+    domains: Sequence[tuple[str, str, Sequence[str]]] = (),
+    ts_type: str = "timestamp",
+) -> DataFrame:
+    """Several count-based checks of one table from a single scan.
+
+    One global aggregation computes every counter; ``inline`` turns the one
+    result row into one check row each (same names and details as the
+    individual checks).  ``positive`` is ``[(check name, column)]``,
+    ``domains`` is ``[(check name, column, allowed values)]``.
+    """
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    specs = []  # (test name, counter column, label, pass when zero)
+    if not_empty:
+        specs.append((f"Tabela possui registros: {table}", "__rows", "Quantidade", False))
+    if required:
+        missing = [c for c in required if c not in df.columns]
+        if missing:
+            raise ValueError(f"{table}: required columns absent {missing}")
+        aggs.append(F.count_if(missing_required(required)).alias("__req"))
+        specs.append((f"Campos obrigatórios preenchidos: {table}", "__req", "Registros inválidos", True))
+    for i, (name, col) in enumerate(positive):
+        aggs.append(F.count_if(not_positive(col)).alias(f"__pos{i}"))
+        specs.append((name, f"__pos{i}", "Registros inválidos", True))
+    for i, (name, col, allowed) in enumerate(domains):
+        aggs.append(F.count_if(not_in_domain(col, allowed)).alias(f"__dom{i}"))
+        specs.append((name, f"__dom{i}", "Registros inválidos", True))
+    if not specs:
+        return empty_results(df.sparkSession)
+    rows = []
+    for name, counter, label, zero_passes in specs:
+        n = F.col(counter)
+        ok = (n == 0) if zero_passes else (n > 0)
+        rows.append(
+            F.struct(
+                F.lit(name).alias("teste"),
+                F.when(ok, F.lit(CHECK_PASSED)).otherwise(F.lit(CHECK_FAILED)).alias("status"),
+                F.concat(F.lit(label + ": "), n.cast("string")).alias("detalhe"),
+                F.lit(run_ts).cast(ts_type).alias("data_execucao"),
+            )
+        )
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))

@@ -194,9 +194,36 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     def tab(name):
         return spark.table(name) if name in present else None
 
-    for name in [t("silver", n) for n in ("clientes", "contas", "cartoes", "transacoes")] + [t("gold", n) for n in ("dim_clientes", "dim_contas", "fato_transacoes")]:
-        if name in present:
-            results.append(checks.check_not_empty(tab(name), name, run_ts))
+    # count-based checks of a table share one scan (fused aggregation)
+    not_empty = {t("silver", n) for n in ("clientes", "contas", "cartoes", "transacoes")} | {t("gold", n) for n in ("dim_clientes", "dim_contas", "fato_transacoes")}
+    required = {
+        t("silver", "transacoes"): ["id_transacao", "id_cartao", "id_conta", "data_transacao", "valor"],
+        t("silver", "eventos_risco"): ["id_evento", "id_transacao", "tipo_evento", "severidade", "data_evento"],
+        t("silver", "estornos"): ["id_estorno", "id_transacao", "valor_estorno", "data_estorno"],
+    }
+    positive = {
+        t("gold", "fato_transacoes"): [("Transações possuem valor positivo", "valor")],
+        t("gold", "fato_estornos"): [("Estornos possuem valor positivo", "valor_estorno")],
+    }
+    domains = {t("gold", "fato_eventos_risco"): [("Severidades possuem domínio válido", "severidade", SEVERITIES)]}
+    for name in sorted(not_empty | set(required) | set(positive) | set(domains)):
+        if name not in present:
+            continue
+        df = tab(name)
+        absent = [c for c in required.get(name, []) if c not in df.columns]
+        if absent:
+            results.append(checks.check_required(df, name, required[name], run_ts))
+        results.append(
+            checks.fused_checks(
+                df,
+                name,
+                run_ts,
+                not_empty=name in not_empty,
+                required=[] if absent else required.get(name, []),
+                positive=positive.get(name, []),
+                domains=domains.get(name, []),
+            )
+        )
     for name, keys in [
         (t("silver", "clientes"), ["id_cliente"]),
         (t("silver", "contas"), ["id_conta"]),
@@ -210,17 +237,6 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     ]:
         if name in present:
             results.append(checks.check_unique(tab(name), name, keys, run_ts))
-    for name, cols in [
-        (t("silver", "transacoes"), ["id_transacao", "id_cartao", "id_conta", "data_transacao", "valor"]),
-        (t("silver", "eventos_risco"), ["id_evento", "id_transacao", "tipo_evento", "severidade", "data_evento"]),
-        (t("silver", "estornos"), ["id_estorno", "id_transacao", "valor_estorno", "data_estorno"]),
-    ]:
-        if name in present:
-            results.append(checks.check_required(tab(name), name, cols, run_ts))
-    if t("gold", "fato_transacoes") in present:
-        results.append(checks.check_positive(tab(t("gold", "fato_transacoes")), "Transações possuem valor positivo", "valor", run_ts))
-    if t("gold", "fato_estornos") in present:
-        results.append(checks.check_positive(tab(t("gold", "fato_estornos")), "Estornos possuem valor positivo", "valor_estorno", run_ts))
     for fact, col, dim, dcol in [
         (t("gold", "fato_transacoes"), "id_cliente", t("gold", "dim_clientes"), "id_cliente"),
         (t("gold", "fato_transacoes"), "id_conta", t("gold", "dim_contas"), "id_conta"),
@@ -229,8 +245,6 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     ]:
         if fact in present and dim in present:
             results.append(checks.check_foreign_key(tab(fact), fact, col, tab(dim), dcol, run_ts))
-    if t("gold", "fato_eventos_risco") in present:
-        results.append(checks.check_domain(tab(t("gold", "fato_eventos_risco")), "Severidades possuem domínio válido", "severidade", SEVERITIES, run_ts))
     out = checks.union_results(results)
     if raise_on_failure:
         checks.assert_passed(out)

@@ -84,3 +84,44 @@ def test_commit_scd2_partitions_and_is_repeatable(spark, db):
     changes_again = scd2_apply(current_rows(spark.table(t)), src2, ["id"], ["v"], t2)
     sink.commit_scd2(changes_again, t)
     assert spark.table(t).count() == 4
+
+
+def test_fused_checks_one_scan_many_results(spark):
+    from stratum.operators.checks import fused_checks
+
+    df = spark.createDataFrame([(1, 5.0, "ALTA"), (2, -1.0, "X"), (None, 3.0, "BAIXA")], "id int, v double, sev string")
+    out = fused_checks(df, "t", datetime(2026, 1, 1), not_empty=True, required=["id"], positive=[("pos", "v")], domains=[("dom", "sev", ["ALTA", "BAIXA"])])
+    got = {r["teste"]: (r["status"], r["detalhe"]) for r in out.collect()}
+    assert got == {
+        "Tabela possui registros: t": ("APROVADO", "Quantidade: 3"),
+        "Campos obrigatórios preenchidos: t": ("REPROVADO", "Registros inválidos: 1"),
+        "pos": ("REPROVADO", "Registros inválidos: 1"),
+        "dom": ("REPROVADO", "Registros inválidos: 1"),
+    }
+    # a single aggregation: one scan of the input
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1
+
+
+def test_recover_scd2_after_interrupted_commit(spark, db):
+    t = f"{db}.scd_rec"
+    schema = "id int, v string"
+    sink.commit_scd2(scd2_apply(None, spark.createDataFrame([(1, "a")], schema), ["id"], ["v"], datetime(2026, 1, 1)), t)
+    changes = scd2_apply(current_rows(spark.table(t)), spark.createDataFrame([(1, "b")], schema), ["id"], ["v"], datetime(2026, 2, 1))
+    # crash after staging: the staging table exists, the target is untouched
+    sink.write_snapshot(changes, t + sink.SCD_STAGING_SUFFIX)
+    assert sink.recover_scd2(spark, t)
+    rows = sorted((r["id"], r["v"], r["registro_atual"]) for r in spark.table(t).collect())
+    assert rows == [(1, "a", False), (1, "b", True)]
+
+
+def test_skewed_key_dedupe_and_aggregate(spark):
+    """A key holding a third of the rows: results stay whole and exact."""
+    from stratum.operators.dedupe import latest_per_key
+
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, ts int").repartition(6)
+    latest = {r["k"]: r["ts"] for r in latest_per_key(df, ["k"], "ts").collect()}
+    assert latest[0] == 2997 and len(latest) == 2001
+    agg = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert agg[0] == 1000 and sum(agg.values()) == 3000
