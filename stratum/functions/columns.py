@@ -27,6 +27,21 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_literal(value: datetime, target: str | DataType = "timestamp") -> Column:
+    """A run time as a timestamp literal.
+
+    Built from its text, so a naive datetime means the same wall-clock time
+    whatever the Python process's time zone (``F.lit(datetime)`` would use it);
+    a ``timestamp`` target is read in the session time zone.  Aware datetimes
+    are converted to UTC first.
+    """
+    if value.tzinfo is not None:
+        from datetime import timezone
+
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(target)
+
+
 def text(c: ColumnOrName) -> Column:
     """Trimmed string form of any column."""
     return F.trim(_col(c).cast("string"))
@@ -59,7 +74,7 @@ def safe_timestamp(c: ColumnOrName, target: str = "timestamp") -> Column:
 
 def timestamp_or(c: ColumnOrName, fallback: datetime | Column, target: str = "timestamp") -> Column:
     """Timestamp, or the given run time when the text cannot be read."""
-    fb = fallback if isinstance(fallback, Column) else F.lit(fallback).cast(target)
+    fb = fallback if isinstance(fallback, Column) else ts_literal(fallback, target)
     return F.coalesce(safe_timestamp(c, target), fb)
 
 

@@ -18,6 +18,7 @@ from stratum.functions.columns import is_blank, not_in_domain, not_positive
 from stratum.operators.dedupe import duplicate_groups
 from stratum.operators.upsert import current_rows
 from stratum.settings import CHECK_FAILED, CHECK_PASSED
+from stratum.functions.columns import ts_literal
 
 RESULT_SCHEMA = "teste string, status string, detalhe string, data_execucao timestamp"
 
@@ -28,7 +29,7 @@ def _result(counted: DataFrame, name: str, count_col: str, label: str, run_ts: d
         F.lit(name).alias("teste"),
         F.when(n == 0, F.lit(CHECK_PASSED)).otherwise(F.lit(CHECK_FAILED)).alias("status"),
         F.concat(F.lit(label + ": "), n.cast("string")).alias("detalhe"),
-        F.lit(run_ts).cast(ts_type).alias("data_execucao"),
+        ts_literal(run_ts, ts_type).alias("data_execucao"),
     )
 
 
@@ -38,7 +39,7 @@ def check_not_empty(df: DataFrame, table: str, run_ts: datetime, ts_type: str =
         F.lit(f"Tabela possui registros: {table}").alias("teste"),
         F.when(F.col("n") > 0, F.lit(CHECK_PASSED)).otherwise(F.lit(CHECK_FAILED)).alias("status"),
         F.concat(F.lit("Quantidade: "), F.col("n").cast("string")).alias("detalhe"),
-        F.lit(run_ts).cast(ts_type).alias("data_execucao"),
+        ts_literal(run_ts, ts_type).alias("data_execucao"),
     )
 
 
@@ -162,7 +163,7 @@ def fused_checks(
                 F.lit(name).alias("teste"),
                 F.when(ok, F.lit(CHECK_PASSED)).otherwise(F.lit(CHECK_FAILED)).alias("status"),
                 F.concat(F.lit(label + ": "), n.cast("string")).alias("detalhe"),
-                F.lit(run_ts).cast(ts_type).alias("data_execucao"),
+                ts_literal(run_ts, ts_type).alias("data_execucao"),
             )
         )
     return df.agg(*aggs).select(F.inline(F.array(*rows)))

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.functions.columns import normalize_path
+from stratum.functions.columns import normalize_path, ts_literal
 
 LEDGER_COLUMNS = (
     "nome_fonte",
@@ -69,7 +69,7 @@ def file_status(
         F.lit(bronze_table).alias("tabela_bronze"),
         F.when(ok, F.lit("PROCESSADO")).otherwise(F.lit("NAO_CONFIRMADO")).alias("status_processamento"),
         F.when(ok, F.lit("Arquivo confirmado na Bronze")).otherwise(F.lit("Arquivo sem registros na Bronze")).alias("mensagem"),
-        F.lit(run_ts).cast(ts_type).alias("data_processamento"),
+        ts_literal(run_ts, ts_type).alias("data_processamento"),
     )
 
 

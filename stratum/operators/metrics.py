@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.quality import has_reason
+from stratum.functions.columns import ts_literal
 from stratum.settings import REASON_COLUMN
 
 METRICS_SCHEMA = "fonte string, quantidade_entrada bigint, quantidade_validos bigint, quantidade_invalidos bigint, data_processamento timestamp"
@@ -31,7 +32,7 @@ def quality_metrics(source: str, classified: DataFrame, run_ts: datetime, reason
         "quantidade_entrada",
         "quantidade_validos",
         "quantidade_invalidos",
-        F.lit(run_ts).cast(ts_type).alias("data_processamento"),
+        ts_literal(run_ts, ts_type).alias("data_processamento"),
     )
 
 

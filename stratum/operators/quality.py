@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions.columns import ts_literal
 from stratum.settings import REASON_COLUMN
 
 
@@ -35,7 +36,7 @@ def with_rejection_record(df: DataFrame, rule_set: str, run_ts, source_file: str
     return df.select(
         F.col(REASON_COLUMN).alias("motivo"),
         F.lit(rule_set).alias("regra"),
-        F.lit(run_ts).cast("timestamp").alias("data_rejeicao"),
+        ts_literal(run_ts, "timestamp").alias("data_rejeicao"),
         file_col.alias("arquivo"),
         F.to_json(F.struct(*[F.col(f"`{c}`") for c in payload_cols])).alias("registro_original"),
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.settings import SCD_CURRENT, SCD_END, SCD_START
+from stratum.functions.columns import ts_literal
 
 _S = "__src_"
 _T = "__tgt_"
@@ -104,7 +105,7 @@ def scd2_apply(
     closed by this run, to append to history).  Source columns named like the
     validity columns are ignored.
     """
-    ts = F.lit(run_ts).cast(ts_type)
+    ts = ts_literal(run_ts, ts_type)
     scd = {start, end, current}
     src_cols = [c for c in source.columns if c not in scd]
     extra = []

@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from stratum.functions.columns import row_fingerprint
 from stratum.settings import SCD_CURRENT, SCD_END, SCD_START
+from stratum.functions.columns import ts_literal
 
 STAGING_SUFFIX = "__staging"
 
@@ -170,7 +171,7 @@ def commit_scd2(
     write_snapshot(changes, staging)
     if run_ts is not None:
         staged = spark.table(staging)
-        opened = staged.filter(F.col(current) & (F.col(start) == F.lit(run_ts).cast(staged.schema[start].dataType)))
+        opened = staged.filter(F.col(current) & (F.col(start) == ts_literal(run_ts, staged.schema[start].dataType)))
         if opened.limit(1).count() == 0:
             spark.sql(f"DROP TABLE IF EXISTS {staging}")
             return False

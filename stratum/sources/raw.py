@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum.functions.columns import row_fingerprint
 from stratum.settings import CORRUPT_COLUMN, RAW_FORMATS
+from stratum.functions.columns import ts_literal
 
 META_COLUMNS = {
     "_meta_path": "file_path",
@@ -163,7 +164,7 @@ def add_lineage(
     """
     meta = set(META_COLUMNS)
     src = df.drop(*[c for c in df.columns if c in meta])
-    now = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.current_timestamp()
+    now = ts_literal(run_ts, "timestamp") if run_ts is not None else F.current_timestamp()
 
     def meta_col(alias: str, dtype: str):
         return F.col(alias) if alias in df.columns else F.lit(None).cast(dtype)
