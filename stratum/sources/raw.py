@@ -109,9 +109,12 @@ def read_raw(
     """Raw rows of a source folder, all text, plus ``_meta_*`` lineage columns.
 
     CSV: when ``uniform_header`` is set (all files share ``header`` or the
-    first file's header) one read is enough; otherwise headers are discovered
-    per file, each header group is read on its own and the groups are unioned
-    by column name, missing columns as NULL.
+    first file's header) one read is enough and only one file's header is
+    read -- the mode for large, stable sources.  Otherwise headers are
+    discovered per file (each file's first split is read once more), each
+    header group is read on its own and the groups are unioned by column
+    name, missing columns as NULL -- the mode for sources whose layout
+    changes between files.
 
     JSON lines: primitives are read as strings; malformed lines land in the
     corrupt-record column.
@@ -127,12 +130,20 @@ def read_raw(
         )
         return with_file_metadata(df)
 
+    paths = [path] if isinstance(path, str) else list(path)
     if header is not None or uniform_header:
         cols = list(header) if header is not None else None
         if cols is None:
-            first = csv_headers(spark, path, sep).orderBy("file_path").select("header").first()
+            # one file's header is enough: list metadata only, read one file's first split
+            first_file = None
+            for p in paths:
+                row = list_files(spark, p).select("path").orderBy("path").limit(1).collect()
+                if row:
+                    first_file = row[0]["path"]
+                    break
+            first = csv_headers(spark, first_file, sep).select("header").first() if first_file else None
             cols = [c.strip() for c in first["header"].split(sep)] if first else []
-        return read_csv_group(spark, [path] if isinstance(path, str) else list(path), cols, sep)
+        return read_csv_group(spark, paths, cols, sep)
 
     # one small aggregated row per distinct header; the file lists go to the driver
     # only as paths (control data), never the rows

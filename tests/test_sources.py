@@ -90,3 +90,13 @@ def test_file_stream_ingests_each_file_once_and_archives(spark, scratch):
     assert statuses == {"a.csv": "PROCESSADO", "b.csv": "PROCESSADO"}
     # the first file was archived once a later batch committed
     assert any(p.name == "a.csv" for p in archive.rglob("*.csv"))
+
+
+def test_uniform_header_mode_reads_one_header(spark, scratch):
+    src = scratch / "uni"
+    write(src, "a.csv", "id,valor\n1,10\n")
+    write(src, "b.csv", "id,valor\n2,20\n")
+    rows = sorted((r["id"], r["valor"]) for r in read_raw(spark, str(src), uniform_header=True).collect())
+    assert rows == [("1", "10"), ("2", "20")]
+    explicit = read_raw(spark, str(src), header=["id", "valor"])
+    assert explicit.count() == 2
