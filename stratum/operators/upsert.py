@@ -86,6 +86,7 @@ def scd2_apply(
     ts_type: str = "timestamp",
     effective_from: str | None = None,
     delete_when: Column | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """One-pass SCD2 over the *active* versions.
 
@@ -101,6 +102,10 @@ def scd2_apply(
     ``delete_when`` is a predicate over source columns marking a delete: the
     active version is closed and no new one is opened.
 
+    ``null_safe=False`` joins with plain equality: use it when keys cannot be
+    NULL (silver quarantines NULL ids), so a target bucketed by its keys is
+    joined without being shuffled.
+
     Returns rows with ``current`` TRUE (the new active set) and FALSE (versions
     closed by this run, to append to history).  Source columns named like the
     validity columns are ignored.
@@ -127,7 +132,8 @@ def scd2_apply(
     data_cols = [c for c in active.columns if c not in scd]
     s = _prefixed(source, _S, "__in_src")
     t = _prefixed(active, _T, "__in_tgt")
-    joined = t.join(s, _null_safe_keys(keys), "full_outer")
+    cond = _null_safe_keys(keys) if null_safe else reduce(lambda a, b: a & b, [_q(_S + k) == _q(_T + k) for k in keys])
+    joined = t.join(s, cond, "full_outer")
 
     in_src = F.col("__in_src").isNotNull()
     in_tgt = F.col("__in_tgt").isNotNull()

@@ -80,7 +80,11 @@ def _scd_entity(spark, settings: Settings, name: str, valid: DataFrame, invalid:
     sink.append_quarantine(invalid, settings.table("quarantine", name))
     sink.recover_scd2(spark, target)
     active = current_rows(spark.table(target)) if sink.table_exists(spark, target) else None
-    sink.commit_scd2(scd2_apply(active, valid, spec.keys, spec.compare, run_ts), target, run_ts=run_ts)
+    # silver keys are never NULL (the rules quarantine NULL ids), so a bucketed
+    # target can be joined with plain equality and is not shuffled
+    buckets = (settings.scd_buckets, list(spec.keys)) if settings.scd_buckets else None
+    changes = scd2_apply(active, valid, spec.keys, spec.compare, run_ts, null_safe=buckets is None)
+    sink.commit_scd2(changes, target, run_ts=run_ts, bucket_by=buckets)
 
 
 def _metric(name: str, classified: DataFrame, run_ts: datetime) -> DataFrame:

@@ -111,6 +111,8 @@ class Settings:
     database_control: str = "controle"
     schema_version: str = "v1"
     sources: dict[str, SourceSpec] = field(default_factory=dict)
+    # bucket the SCD2 tables by key (co-located SCD2 joins); None = not bucketed
+    scd_buckets: int | None = None
 
     def __post_init__(self) -> None:
         if not self.sources:

@@ -54,13 +54,25 @@ def align_to_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return align_to_schema(df, spark.table(name).schema)
 
 
-def write_snapshot(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+def write_snapshot(
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> None:
     """Overwrite (schema replaced).  ``df`` must not read ``name`` itself; use
-    ``commit_state`` for that."""
+    ``commit_state`` for that.
+
+    ``bucket_by=(n, keys)`` writes a bucketed, key-sorted table: later joins on
+    ``keys`` read it already hash-partitioned and shuffle only the other side.
+    """
     ensure_database(df.sparkSession, name)
     w = df.write.format("parquet").mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, keys = bucket_by
+        w = w.bucketBy(n, *keys).sortBy(*keys)
     w.saveAsTable(name)
 
 
@@ -151,6 +163,7 @@ def commit_scd2(
     end: str = SCD_END,
     run_ts=None,
     start: str = SCD_START,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> bool:
     """Commit the output of ``scd2_apply`` (new active set + versions it closed).
 
@@ -161,11 +174,15 @@ def commit_scd2(
 
     With ``run_ts`` the commit is skipped when the run opened no version (the
     staged rows are checked, not the source lineage), and False is returned.
+
+    ``bucket_by=(n, keys)`` creates the table bucketed by its keys, so the
+    next ``scd2_apply`` (with ``null_safe=False``) joins the active set without
+    shuffling it; later inserts keep the table's bucketing.
     """
     spark = changes.sparkSession
     recover_scd2(spark, name, current, end)
     if not table_exists(spark, name):
-        write_snapshot(changes, name, [current])
+        write_snapshot(changes, name, [current], bucket_by)
         return True
     staging = name + SCD_STAGING_SUFFIX
     write_snapshot(changes, staging)

@@ -125,3 +125,19 @@ def test_skewed_key_dedupe_and_aggregate(spark):
     assert latest[0] == 2997 and len(latest) == 2001
     agg = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert agg[0] == 1000 and sum(agg.values()) == 3000
+
+
+def test_bucketed_scd2_target_is_joined_without_shuffle(spark, db):
+    t = f"{db}.scd_b"
+    schema = "id int, v string"
+    src1 = spark.createDataFrame([(i, f"v{i}") for i in range(20)], schema)
+    sink.commit_scd2(scd2_apply(None, src1, ["id"], ["v"], datetime(2026, 1, 1)), t, bucket_by=(4, ["id"]))
+    src2 = spark.createDataFrame([(i, f"w{i}" if i % 2 else f"v{i}") for i in range(25)], schema)
+    changes = scd2_apply(current_rows(spark.table(t)), src2, ["id"], ["v"], datetime(2026, 2, 1), null_safe=False)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    # only the source is shuffled; the bucketed active set is read as is
+    assert plan.count("Exchange hashpartitioning") == 1
+    sink.commit_scd2(changes, t, run_ts=datetime(2026, 2, 1), bucket_by=(4, ["id"]))
+    active = {r["id"]: r["v"] for r in current_rows(spark.table(t)).collect()}
+    assert len(active) == 25 and active[1] == "w1" and active[2] == "v2"
+    assert spark.table(t).filter("NOT registro_atual").count() == 10
