@@ -124,7 +124,8 @@ def run_silver(spark: SparkSession, settings: Settings, run_ts: datetime | None
     rf_bronze = _bronze(spark, settings, "estornos")
     rf_valid, rf_invalid = silver.silver_refunds(rf_bronze)
     sink.append_quarantine(rf_invalid, settings.table("quarantine", "estornos"))
-    sink.merge_into(spark, rf_valid, settings.table("silver", "estornos"), ["id_estorno"])
+    refund_buckets = (settings.scd_buckets, ["id_estorno"]) if settings.scd_buckets else None
+    sink.merge_into(spark, rf_valid, settings.table("silver", "estornos"), ["id_estorno"], bucket_by=refund_buckets)
     out.append(_metric("estornos", silver.tag_reasons(silver.standardize_refunds(rf_bronze), silver.refund_rules()), run_ts))
 
     result = checks.union_results(out)

@@ -130,27 +130,31 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "source")
         raise ValueError(f"{what} has duplicate keys {list(keys)}: {dup[0].asDict()}")
 
 
-def recover(spark: SparkSession, name: str) -> bool:
+def recover(spark: SparkSession, name: str, partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None) -> bool:
     """Finish a commit interrupted after its staging table was written."""
     staging = name + STAGING_SUFFIX
     if not table_exists(spark, staging):
         return False
-    _publish(spark, staging, name)
+    _publish(spark, staging, name, partition_by, bucket_by)
     return True
 
 
-def _publish(spark: SparkSession, staging: str, name: str, partition_by: Sequence[str] = ()) -> None:
-    write_snapshot(spark.table(staging), name, partition_by)
+def _publish(
+    spark: SparkSession, staging: str, name: str, partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None
+) -> None:
+    write_snapshot(spark.table(staging), name, partition_by, bucket_by)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
 
 
-def commit_state(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+def commit_state(
+    df: DataFrame, name: str, partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None
+) -> None:
     """Replace ``name`` with ``df`` even when ``df`` reads ``name`` (via staging)."""
     spark = df.sparkSession
-    recover(spark, name)
+    recover(spark, name, partition_by, bucket_by)
     staging = name + STAGING_SUFFIX
-    write_snapshot(df, staging, partition_by)
-    _publish(spark, staging, name, partition_by)
+    write_snapshot(df, staging, partition_by, bucket_by)
+    _publish(spark, staging, name, partition_by, bucket_by)
 
 
 SCD_STAGING_SUFFIX = "__scd_staging"
@@ -241,14 +245,23 @@ def create_control_tables(spark: SparkSession, database: str) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet")
 
 
-def merge_into(spark: SparkSession, source: DataFrame, name: str, keys: Sequence[str], update=None) -> None:
+def merge_into(
+    spark: SparkSession,
+    source: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    update=None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> None:
     """MERGE upsert into a catalog table: the full-outer rewrite of
     ``merge_upsert`` committed through staging (plain Parquet has no row-level
-    MERGE).  The source keys must be unique."""
+    MERGE).  The source keys must be unique.  With ``bucket_by=(n, keys)`` the
+    table is kept bucketed by its keys, so the rewrite's join reads the target
+    without shuffling it."""
     from stratum.operators.upsert import merge_upsert
 
     assert_unique_keys(source, keys)
     if not table_exists(spark, name):
-        write_snapshot(source, name)
+        write_snapshot(source, name, (), bucket_by)
         return
-    commit_state(merge_upsert(spark.table(name), source, keys, update), name)
+    commit_state(merge_upsert(spark.table(name), source, keys, update), name, (), bucket_by)

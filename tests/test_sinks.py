@@ -141,3 +141,16 @@ def test_bucketed_scd2_target_is_joined_without_shuffle(spark, db):
     active = {r["id"]: r["v"] for r in current_rows(spark.table(t)).collect()}
     assert len(active) == 25 and active[1] == "w1" and active[2] == "v2"
     assert spark.table(t).filter("NOT registro_atual").count() == 10
+
+
+def test_bucketed_merge_target_is_joined_without_shuffle(spark, db):
+    from stratum.operators.upsert import merge_upsert
+
+    t = f"{db}.mb"
+    sink.merge_into(spark, spark.createDataFrame([(i, "a") for i in range(10)], "id int, s string"), t, ["id"], bucket_by=(4, ["id"]))
+    source = spark.createDataFrame([(1, "b"), (20, "c")], "id int, s string")
+    plan = merge_upsert(spark.table(t), source, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    sink.merge_into(spark, source, t, ["id"], bucket_by=(4, ["id"]))
+    got = {r["id"]: r["s"] for r in spark.table(t).collect()}
+    assert len(got) == 11 and got[1] == "b" and got[20] == "c" and got[2] == "a"
