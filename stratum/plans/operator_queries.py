@@ -210,6 +210,24 @@ def q_normalize_path(spark, sf):
 # Rules and quarantine
 # ---------------------------------------------------------------------------
 
+def tagged(m: Model, entity: str):
+    """The standardised rows of an entity with their quarantine reason (all rows)."""
+    b = m.bronze(entity)
+    if entity == "clientes":
+        return R.tag_reasons(silver.standardize_clients(b, RUN_TS, TS), R.client_rules())
+    if entity == "contas":
+        return R.tag_reasons(silver.standardize_accounts(b, RUN_TS, TS), R.account_rules())
+    if entity == "cartoes":
+        return R.tag_reasons(silver.standardize_cards(b, RUN_TS, TS), R.card_rules())
+    if entity == "estornos":
+        return R.tag_reasons(silver.standardize_refunds(b, TS), R.refund_rules())
+    if entity == "transacoes":
+        std = silver.standardize_transactions(b, TS, passthrough=("tipo_transacao",))
+        return R.tag_first_reason(silver.lookup_card_account(std, m.cards()[0]), R.transaction_rules())
+    std = silver.standardize_risk_events(b, TS)
+    return R.tag_first_reason(silver.lookup_transaction(std, m.transactions()[0]), R.risk_event_rules())
+
+
 for _entity, _key, _cte in [
     ("clientes", "reasons_clients", "tag_clientes"),
     ("contas", "reasons_accounts", "tag_contas"),
@@ -218,25 +236,7 @@ for _entity, _key, _cte in [
     ("transacoes", "reasons_transactions", "tag_transacoes"),
     ("eventos_risco", "reasons_events", "tag_eventos"),
 ]:
-
-    def _tag(spark, sf, _entity=_entity):
-        m = Model(spark, sf)
-        b = m.bronze(_entity)
-        if _entity == "clientes":
-            return R.tag_reasons(silver.standardize_clients(b, RUN_TS, TS), R.client_rules())
-        if _entity == "contas":
-            return R.tag_reasons(silver.standardize_accounts(b, RUN_TS, TS), R.account_rules())
-        if _entity == "cartoes":
-            return R.tag_reasons(silver.standardize_cards(b, RUN_TS, TS), R.card_rules())
-        if _entity == "estornos":
-            return R.tag_reasons(silver.standardize_refunds(b, TS), R.refund_rules())
-        if _entity == "transacoes":
-            std = silver.standardize_transactions(b, TS, passthrough=("tipo_transacao",))
-            return R.tag_first_reason(silver.lookup_card_account(std, m.cards()[0]), R.transaction_rules())
-        std = silver.standardize_risk_events(b, TS)
-        return R.tag_first_reason(silver.lookup_transaction(std, m.transactions()[0]), R.risk_event_rules())
-
-    register(_key, O.with_ctes([_entity], f"SELECT * FROM {_cte}"))(_tag)
+    register(_key, O.with_ctes([_entity], f"SELECT * FROM {_cte}"))(lambda spark, sf, _entity=_entity: tagged(Model(spark, sf), _entity))
 
 
 @register("split_valid", O.with_ctes(["estornos"], "SELECT * EXCLUDE (motivo_quarentena) FROM tag_estornos WHERE length(trim(coalesce(motivo_quarentena, ''))) = 0"))
@@ -652,29 +652,11 @@ _METRIC_SOURCES = [
     O.with_ctes([s for s, _, _ in _METRIC_SOURCES], " UNION ALL ".join(_metrics_sql(*x) for x in _METRIC_SOURCES)),
 )
 def q_quality_metrics(spark, sf):
-    frames = []
-    for source, _, _ in _METRIC_SOURCES:
-        tagged = QUERIES_BY_TAG[source](spark, sf)
-        frames.append(metrics.quality_metrics(source, tagged, RUN_TS, ts_type=TS))
+    m = Model(spark, sf)  # one model: the card and transaction chains are shared
+    frames = [metrics.quality_metrics(source, tagged(m, source), RUN_TS, ts_type=TS) for source, _, _ in _METRIC_SOURCES]
     return checks.union_results(frames)
 
 
-QUERIES_BY_TAG = {
-    "clientes": lambda s, f: _tag_query("reasons_clients")(s, f),
-    "contas": lambda s, f: _tag_query("reasons_accounts")(s, f),
-    "cartoes": lambda s, f: _tag_query("reasons_cards")(s, f),
-    "transacoes": lambda s, f: _tag_query("reasons_transactions")(s, f),
-    "eventos_risco": lambda s, f: _tag_query("reasons_events")(s, f),
-    "estornos": lambda s, f: _tag_query("reasons_refunds")(s, f),
-}
-
-
-def _tag_query(name):
-    from stratum.plans.registry import QUERIES
-
-    return QUERIES[name]
-
-
 _LAYERS = ["dim_clientes", "dim_contas", "dim_cartoes", "fato_transacoes", "fato_estornos", "fato_eventos_risco"]
 
 

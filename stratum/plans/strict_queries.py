@@ -109,10 +109,10 @@ def _metrics_sql(source: str, tagged: str, first_match: bool) -> str:
     ),
 )
 def q_pipeline_alerts(spark, sf):
-    from stratum.plans.registry import QUERIES
+    from stratum.plans.operator_queries import tagged
 
-    tags = {"clientes": "reasons_clients", "transacoes": "reasons_transactions", "eventos_risco": "reasons_events", "estornos": "reasons_refunds"}
-    frames = [metrics.quality_metrics(s, QUERIES[tags[s]](spark, sf), RUN_TS, ts_type=TS) for s, _, _ in _METRIC_SOURCES]
+    m = Model(spark, sf)
+    frames = [metrics.quality_metrics(s, tagged(m, s), RUN_TS, ts_type=TS) for s, _, _ in _METRIC_SOURCES]
     return consistency.reject_rate_alerts(union_results(frames))
 
 
