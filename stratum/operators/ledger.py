@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.columns import normalize_path, ts_literal
+from stratum.operators.ordering import with_global_position
 
 LEDGER_COLUMNS = (
     "nome_fonte",
@@ -85,7 +86,7 @@ def ledger_summary(ledger: DataFrame) -> DataFrame:
 def ledger_history(ledger: DataFrame) -> DataFrame:
     """Ledger rows newest first, with their position as a column."""
     order = [F.col("data_processamento").desc(), F.col("caminho_origem").asc()]
-    return ledger.withColumn("posicao", F.row_number().over(Window.orderBy(*order))).orderBy("posicao")
+    return with_global_position(ledger, order, "posicao").orderBy("posicao")
 
 
 def remaining_files(ledger: DataFrame) -> DataFrame:

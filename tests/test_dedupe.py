@@ -29,3 +29,16 @@ def test_lineage_columns_break_ties(spark):
 def test_duplicate_groups(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     assert [tuple(r) for r in duplicate_groups(df, ["k"]).collect()] == [(1, 2)]
+
+
+def test_global_position_matches_row_number(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from stratum.operators.ordering import with_global_position
+
+    df = spark.createDataFrame([(i % 7, f"p{i:04d}") for i in range(500)], "ts int, path string")
+    order = [F.col("ts").desc(), F.col("path").asc()]
+    got = {r["path"]: r["posicao"] for r in with_global_position(df, order, partitions=5).collect()}
+    want = {r["path"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert got == want
