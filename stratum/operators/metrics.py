@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
 from functools import reduce
@@ -19,13 +19,43 @@ METRICS_SCHEMA = "fonte string, quantidade_entrada bigint, quantidade_validos bi
 RUN_LOG_SCHEMA = "notebook string, status string, inicio string, fim string, duracao_segundos double, retorno string, erro string"
 
 
-def quality_metrics(source: str, classified: DataFrame, run_ts: datetime, reason: str = REASON_COLUMN, ts_type: str = "timestamp") -> DataFrame:
+# Key of each source: valid rows are counted after latest-per-key dedupe.
+SOURCE_KEYS = {
+    "clientes": ("id_cliente",),
+    "contas": ("id_conta",),
+    "cartoes": ("id_cartao",),
+    "transacoes": ("id_transacao",),
+    "eventos_risco": ("id_evento",),
+    "estornos": ("id_estorno",),
+}
+
+
+def quality_metrics(
+    source: str,
+    classified: DataFrame,
+    run_ts: datetime,
+    reason: str = REASON_COLUMN,
+    ts_type: str = "timestamp",
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
     """Input / valid / invalid counts of a classified frame in one aggregation
-    (instead of three separate counts that each recompute the lineage)."""
+    (instead of three separate counts that each recompute the lineage).
+
+    Valid rows are counted as they land in silver, i.e. after keeping the
+    latest row per key: the number of distinct keys among unflagged rows
+    (valid rows never have a NULL key -- the rules quarantine them).  Invalid
+    rows are counted as they are.
+    """
     flagged = has_reason(reason)
+    keys = list(keys) if keys is not None else list(SOURCE_KEYS.get(source, ()))
+    if keys:
+        key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+        valid = F.count_distinct(F.when(~flagged, key))
+    else:
+        valid = F.count_if(~flagged)
     return classified.agg(
         F.count(F.lit(1)).alias("quantidade_entrada"),
-        F.count_if(~flagged).alias("quantidade_validos"),
+        valid.alias("quantidade_validos"),
         F.count_if(flagged).alias("quantidade_invalidos"),
     ).select(
         F.lit(source).alias("fonte"),

@@ -629,10 +629,14 @@ def q_dq_report(spark, sf):
     )
 
 
+_KEYS_SQL = {"clientes": "id_cliente", "contas": "id_conta", "cartoes": "id_cartao", "transacoes": "id_transacao", "eventos_risco": "id_evento", "estornos": "id_estorno"}
+
+
 def _metrics_sql(source: str, tagged: str, first_match: bool) -> str:
     flagged = "motivo_quarentena IS NOT NULL" if first_match else "length(trim(coalesce(motivo_quarentena, ''))) > 0"
     return (
-        f"SELECT '{source}' AS fonte, count(*) AS quantidade_entrada, count_if(NOT ({flagged})) AS quantidade_validos, "
+        f"SELECT '{source}' AS fonte, count(*) AS quantidade_entrada, "
+        f"count(DISTINCT CASE WHEN NOT ({flagged}) THEN {_KEYS_SQL[source]} END) AS quantidade_validos, "
         f"count_if({flagged}) AS quantidade_invalidos, {RUN_TS_SQL} AS data_processamento FROM {tagged}"
     )
 

@@ -139,7 +139,9 @@ def test_quality_gate_and_metrics(spark, settings):
     assert failed == []
     m = {r["fonte"]: r for r in spark.table(settings.table("control", "metricas_qualidade_prata")).collect()}
     assert set(m) == {"clientes", "contas", "cartoes", "transacoes", "eventos_risco", "estornos"}
-    assert (m["clientes"]["quantidade_entrada"], m["clientes"]["quantidade_invalidos"]) == (9, 1)
+    # valid rows are counted after latest-per-key dedupe, as they land in silver
+    assert (m["clientes"]["quantidade_entrada"], m["clientes"]["quantidade_validos"], m["clientes"]["quantidade_invalidos"]) == (9, 5, 1)
+    assert (m["transacoes"]["quantidade_entrada"], m["transacoes"]["quantidade_validos"], m["transacoes"]["quantidade_invalidos"]) == (13, 11, 1)
     assert (m["eventos_risco"]["quantidade_validos"], m["eventos_risco"]["quantidade_invalidos"]) == (4, 2)
     log = spark.table(settings.table("control", "execucoes_pipeline")).collect()
     assert [r["status"] for r in log] == ["SUCESSO"] * 4
