@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.columns import normalize_path, ts_literal
 from stratum.operators.ordering import with_global_position
+from stratum.settings import LEDGER_MESSAGE_PROCESSED, LEDGER_MESSAGE_UNCONFIRMED
 
 LEDGER_COLUMNS = (
     "nome_fonte",
@@ -54,9 +55,9 @@ def file_status(
     path_col: str = "path",
     ts_type: str = "timestamp",
 ) -> DataFrame:
-    """One ledger row per pending file: PROCESSADO when its rows are in Bronze,
-    NAO_CONFIRMADO otherwise.  ``loaded`` is distinct, so the left join cannot
-    multiply rows."""
+    """One ledger row per pending file: PROCESSADO when its rows are in Bronze
+    (the file stream's archive step moves it), NAO_CONFIRMADO otherwise.
+    ``loaded`` is distinct, so the left join cannot multiply rows."""
     flags = loaded.select(F.col("path").alias("__p"), F.lit(True).alias("__loaded"))
     p = pending.withColumn("__norm", normalize_path(path_col))
     joined = p.join(flags, p["__norm"] == flags["__p"], "left")
@@ -69,7 +70,7 @@ def file_status(
         F.when(ok, F.concat(F.lit(archive_root.rstrip("/") + "/" + source + "/"), name)).alias("caminho_destino"),
         F.lit(bronze_table).alias("tabela_bronze"),
         F.when(ok, F.lit("PROCESSADO")).otherwise(F.lit("NAO_CONFIRMADO")).alias("status_processamento"),
-        F.when(ok, F.lit("Arquivo confirmado na Bronze")).otherwise(F.lit("Arquivo sem registros na Bronze")).alias("mensagem"),
+        F.when(ok, F.lit(LEDGER_MESSAGE_PROCESSED)).otherwise(F.lit(LEDGER_MESSAGE_UNCONFIRMED)).alias("mensagem"),
         ts_literal(run_ts, ts_type).alias("data_processamento"),
     )
 

@@ -482,7 +482,8 @@ SELECT 'eventos' AS nome_fonte, split_part(norm, '/', -1) AS nome_arquivo, norm
   CASE WHEN l.path IS NOT NULL THEN '/processados/eventos/' || split_part(norm, '/', -1) END AS caminho_destino,
   'bronze.eventos' AS tabela_bronze,
   CASE WHEN l.path IS NOT NULL THEN 'PROCESSADO' ELSE 'NAO_CONFIRMADO' END AS status_processamento,
-  CASE WHEN l.path IS NOT NULL THEN 'Arquivo confirmado na Bronze' ELSE 'Arquivo sem registros na Bronze' END AS mensagem,
+  CASE WHEN l.path IS NOT NULL THEN 'Arquivo confirmado na Bronze e movido com sucesso.'
+       ELSE 'O arquivo não foi encontrado na coluna arquivo_origem da tabela Bronze.' END AS mensagem,
   {RUN_TS_SQL} AS data_processamento
 FROM n LEFT JOIN l ON n.norm = l.path"""
 

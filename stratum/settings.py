@@ -60,8 +60,10 @@ NO_RISK_CLASS = "SEM_EVENTOS"
 # Default date range of dim_data when no dated fact exists.
 DEFAULT_DATE_RANGE = ("2025-01-01", "2026-12-31")
 
-# File ledger statuses.
+# File ledger statuses and the ledger message of each outcome.
 LEDGER_STATUSES = ("NAO_CONFIRMADO", "PROCESSADO", "ERRO_MOVIMENTACAO", "ERRO")
+LEDGER_MESSAGE_UNCONFIRMED = "O arquivo não foi encontrado na coluna arquivo_origem da tabela Bronze."
+LEDGER_MESSAGE_PROCESSED = "Arquivo confirmado na Bronze e movido com sucesso."
 
 # Data-quality result statuses.
 CHECK_PASSED = "APROVADO"
