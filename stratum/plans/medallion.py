@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from stratum.operators import checks, metrics
 from stratum.operators.upsert import current_rows, scd2_apply
 from stratum.plans import gold, silver
-from stratum.settings import ENTITIES, SEVERITIES, Settings
+from stratum.settings import CHECK_FAILED, ENTITIES, SEVERITIES, Settings
 from stratum.sinks import tables as sink
 from stratum.sources.raw import add_lineage, list_files, read_raw
 
@@ -211,8 +211,16 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
         t("gold", "fato_estornos"): [("Estornos possuem valor positivo", "valor_estorno")],
     }
     domains = {t("gold", "fato_eventos_risco"): [("Severidades possuem domínio válido", "severidade", SEVERITIES)]}
+    missing_rows = []  # a check on a missing table fails with a fixed detail
+    gone = "A tabela não existe."
     for name in sorted(not_empty | set(required) | set(positive) | set(domains)):
         if name not in present:
+            if name in not_empty:
+                missing_rows.append((f"Tabela possui registros: {name}", CHECK_FAILED, gone, run_ts))
+            if name in required:
+                missing_rows.append((f"Campos obrigatórios: {name}", CHECK_FAILED, gone, run_ts))
+            for test, *_ in positive.get(name, []) + domains.get(name, []):
+                missing_rows.append((test, CHECK_FAILED, gone, run_ts))
             continue
         df = tab(name)
         absent = [c for c in required.get(name, []) if c not in df.columns]
@@ -242,6 +250,8 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     ]:
         if name in present:
             results.append(checks.check_unique(tab(name), name, keys, run_ts))
+        else:
+            missing_rows.append((f"Sem duplicidade: {name}", CHECK_FAILED, gone, run_ts))
     for fact, col, dim, dcol in [
         (t("gold", "fato_transacoes"), "id_cliente", t("gold", "dim_clientes"), "id_cliente"),
         (t("gold", "fato_transacoes"), "id_conta", t("gold", "dim_contas"), "id_conta"),
@@ -250,6 +260,10 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     ]:
         if fact in present and dim in present:
             results.append(checks.check_foreign_key(tab(fact), fact, col, tab(dim), dcol, run_ts))
+        else:
+            missing_rows.append((f"Integridade: {fact}.{col}", CHECK_FAILED, "Tabela fato ou dimensão não existe.", run_ts))
+    if missing_rows:
+        results.append(spark.createDataFrame(missing_rows, checks.RESULT_SCHEMA))
     out = checks.union_results(results)
     if raise_on_failure:
         checks.assert_passed(out)

@@ -71,3 +71,13 @@ def test_bucketed_scd2_pipeline_matches(spark):
     before = sorted(map(str, spark.table(s.table("silver", "clientes")).collect()))
     medallion.run_silver(spark, s, datetime(2026, 3, 11))
     assert sorted(map(str, spark.table(s.table("silver", "clientes")).collect())) == before
+
+
+def test_quality_gate_reports_every_check_when_tables_are_missing(spark):
+    s = _settings(FIXTURES / "raw")
+    results = medallion.run_checks(spark, s, datetime(2026, 1, 1))
+    rows = results.collect()
+    assert len(rows) == 38
+    assert all(r["status"] == "REPROVADO" for r in rows)
+    with pytest.raises(AssertionError):
+        medallion.run_checks(spark, s, datetime(2026, 1, 1), raise_on_failure=True)
