@@ -44,3 +44,16 @@ def test_no_cartesian_products(spark):
             continue
         p = Q[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_parallelism_guard_is_a_noop_for_split_inputs(spark, tmp_path):
+    from stratum.plans.driver_model import ensure_parallelism
+
+    path = str(tmp_path / "many")
+    spark.range(0, 10000).repartition(16).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert ensure_parallelism(df) is df  # no exchange added
+    single = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    spread = ensure_parallelism(single)
+    assert spread is not single and spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
