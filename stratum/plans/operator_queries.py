@@ -681,3 +681,21 @@ def q_layer_counts(spark, sf):
             "fato_eventos_risco": m.fact_risk(),
         }
     )
+
+
+@register("any_per_key", "SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey * 10 AS chave_pedido FROM lineitem")
+def q_any_per_key(spark, sf):
+    """dropDuplicates on a key whose rows are equal on every kept column (DED-2's valid use)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 10).alias("chave_pedido"))
+    return dedupe.any_per_key(li, ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "table_profile",
+    "SELECT count(*) AS linhas, count_if(l_returnflag IS NULL OR trim(l_returnflag) = '' OR l_shipdate IS NULL) AS obrigatorios_ausentes, "
+    "count_if(l_quantity IS NULL OR l_quantity <= 0) AS nao_positivos_l_quantity, count_if(l_discount IS NULL OR l_discount <= 0) AS nao_positivos_l_discount, "
+    "count_if(l_linestatus IS NULL OR l_linestatus NOT IN ('O')) AS fora_dominio_l_linestatus FROM lineitem",
+)
+def q_table_profile(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return checks.table_profile(li, required=["l_returnflag", "l_shipdate"], positive=["l_quantity", "l_discount"], domains={"l_linestatus": ["O"]})
