@@ -71,6 +71,19 @@ def best_fit_decreasing(lengths: list[int], size: int) -> list[tuple[int, int]]:
     return placed
 
 
+class ChunkIndex(dict):
+    """Number of each chunk; new chunks are numbered as they are asked for."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        self.new.append(chunk)
+        number = self[chunk] = len(self)
+        return number
+
+
 class ChunkTokens:
     """Token ids of texts from cached ids of their white-space separated chunks.
 
@@ -97,65 +110,75 @@ class ChunkTokens:
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.flat = np.empty(1 << 16, np.int32)
-        self.bounds = np.zeros(1 << 12, np.int64)
+        self.index = ChunkIndex()
+        self.starts = self.sizes = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.int32)
         self.used = 0
 
-    def _learn(self, chunks: list[bytes]) -> None:
+    def _learn(self) -> None:
+        """Tokenize the chunks that have a number but no ids yet."""
+        chunks, self.index.new = self.index.new, []
+        first = len(self.index) - len(chunks)
         plain, words, other = [], [], []
-        for chunk in chunks:
+        for number, chunk in enumerate(chunks, first):
+            if chunk.isalpha():  # ASCII letters, in lower case
+                plain.append(number)
+                words.append(chunk.decode())
+                continue
             text = chunk.decode()
             word = unicodedata.normalize("NFC", text).lower()
             # capital sigma: Python's lower() looks at its neighbours, the tokenizer's doesn't
             if text.isalpha() and word.isalpha() and "\u03a3" not in text:
-                plain.append(chunk)
+                plain.append(number)
                 words.append(word)
             else:
-                other.append(chunk)
+                other.append(number)
+        numbers, parts, sizes = [], [], []
         groups = [slice(i, i + self.GROUP) for i in range(0, len(words), self.GROUP)]
         encoded = self.bare.encode_batch_fast([" ".join(words[g]) for g in groups], add_special_tokens=False)
         for g, one in zip(groups, encoded, strict=True):
             ids = np.array(one.ids, np.int32)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(words[g]):
-                for chunk, part in zip(plain[g], np.split(ids, cuts[:-1]), strict=True):
-                    self._keep(chunk, part)
+                numbers += plain[g]
+                parts.append(ids)
+                sizes.append(np.diff(cuts, prepend=0))
             else:
-                other.extend(plain[g])
-        rest = self.full.encode_batch_fast([chunk.decode() for chunk in other], add_special_tokens=False)
-        for chunk, one in zip(other, rest, strict=True):
-            self._keep(chunk, np.array(one.ids, np.int32))
-
-    def _keep(self, chunk: bytes, ids: np.ndarray) -> None:
-        at, end = len(self.index), self.used + len(ids)
-        if end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.int32)])
-        if at + 1 >= len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros(len(self.bounds), np.int64)])
-        self.flat[self.used : end] = ids
-        self.index[chunk], self.bounds[at + 1], self.used = at, end, end
+                other += plain[g]
+        rest = self.full.encode_batch_fast([chunks[n - first].decode() for n in other], add_special_tokens=False)
+        rest = [np.array(one.ids, np.int32) for one in rest]
+        sizes = np.concatenate([*sizes, [len(ids) for ids in rest]]).astype(np.int64)
+        flat = np.concatenate([*parts, *rest]) if len(sizes) else np.empty(0, np.int32)
+        if self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(flat), 1 << 16), np.int32)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        at = np.array(numbers + other, np.int64) - first
+        grown = np.empty((2, len(chunks)), np.int64)
+        grown[0, at], grown[1, at] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.starts, self.sizes = np.concatenate([self.starts, grown[0]]), np.concatenate([self.sizes, grown[1]])
+        self.used += len(flat)
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """Ids of each text followed by ``end``."""
         if len(self.index) > self.limit:
             self.reset()
-        # bytes.split() cuts at ASCII white space only; what else the tokenizer
-        # takes for white space stays inside a chunk and is left to it
-        split = [text.encode().split() for text in texts]
-        known = self.index
-        new = list(dict.fromkeys(chunk for chunks in split for chunk in chunks if chunk not in known))
-        if new:
-            self._learn(new)
+        number, numbered = self.index.__getitem__, []
+        for text in texts:
+            # bytes.split() cuts at ASCII white space only; what else the tokenizer
+            # takes for white space stays inside a chunk and is left to it.  The
+            # tokenizer ignores case but for special tokens, which begin with <|.
+            raw = text.encode()
+            chunks = (raw if b"<|" in raw else raw.lower()).split()
+            numbered.append(np.fromiter(map(number, chunks), np.int64, len(chunks)))
+        if self.index.new:
+            self._learn()
         out = []
-        for chunks in split:
-            at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-            starts = self.bounds[at]
-            sizes = self.bounds[at + 1] - starts
+        for at in numbered:
+            sizes = self.sizes[at]
             total = int(sizes.sum())
             ids = np.empty(total + 1, np.int32)
-            before = np.cumsum(sizes) - sizes
-            ids[:total] = self.flat[np.arange(total) + np.repeat(starts - before, sizes)]
+            shift = self.starts[at] - (np.cumsum(sizes) - sizes)
+            ids[:total] = self.flat[np.arange(total) + np.repeat(shift, sizes)]
             ids[total] = end
             out.append(ids)
         return out
@@ -180,7 +203,7 @@ def pack(
     size: int = 4096,
     end_id: int = 2,
     pool: int = 16384,
-    cached_words: int = 400_000,
+    cached_words: int = 700_000,
 ) -> DataFrame:
     """Pack every document into sequences of at most ``size`` tokens.
 
