@@ -45,6 +45,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *COUNTS, "base_failed", "kept", "score")
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets overlap by 90 percent."""
+    from stratum.llm.ngram_join import Threshold, ngram_components
+
+    rows = ngram_components(table(spark, sf_dir, "documents"), n=3, threshold=Threshold(90, 100))
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, held out or not."""
