@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import xxhash
@@ -28,6 +30,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="stratum-package-")) / "stratum-package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(path.relative_to(root.parent)))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 

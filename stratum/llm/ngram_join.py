@@ -303,7 +303,7 @@ def ngram_components(
     text_col: str = "text",
     n: int = 3,
     threshold: Threshold = Threshold(90, 100),
-    star_rounds: int = 1,
+    star_rounds: int = 3,
     block: int = 2048,
 ) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id`` per row of ``docs``.

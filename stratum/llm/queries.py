@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.llm.common import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +68,32 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz and base scores of every document."""
+    from stratum.llm.katz import katz_scores
+    from stratum.llm.langid import id_remainder
+
+    docs = table(spark, sf_dir, "documents")
+    return katz_scores(docs, id_remainder(docs, 5) == 1)
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that a document holds, with its best window of each."""
+    from stratum.llm.decontam import contamination_report
+
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier one has in strings of 50."""
+    from stratum.llm.suffix_dedup import suffix_dedup
+
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),

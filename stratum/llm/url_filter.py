@@ -51,14 +51,14 @@ def url_key(url: Column) -> Column:
 
 
 def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
-    """The longest rule that fits, as struct(rule, verdict); null if none does.
+    """The longest rule that fits, as struct(host, path, rule, verdict); null if none does.
 
     Of rules that are equally long, an allow comes first.
     """
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} fit in a plan")
     if not rules:
-        return F.lit(None).cast("struct<rule:string,verdict:string>")
+        return F.lit(None).cast("struct<host:string,path:string,rule:string,verdict:string>")
     ordered = sorted(rules, key=lambda r: (-len(r.host + r.path), r.verdict != "allow", r))
     table = F.array(
         *(
@@ -76,8 +76,18 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
         of_host = (host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))
         return of_host & F.startswith(path, r["path"])
 
-    found = F.get(F.filter(table, fits), F.lit(0))
-    return F.when(found.isNotNull(), F.struct(found["rule"].alias("rule"), found["verdict"].alias("verdict")))
+    return F.get(F.filter(table, fits), F.lit(0))
+
+
+def judged(rows: DataFrame, url: str, rules: Sequence[Rule]) -> DataFrame:
+    """``rows`` with host, path and the fitting rule ``found``.
+
+    Each is made by a generator, so that it is computed once and not again
+    wherever the next expression uses it.
+    """
+    parts = F.struct(url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+    split = rows.select("*", F.inline(F.array(parts)))
+    return split.select("*", F.explode(F.array(fitting_rule(F.col("host"), F.col("path"), rules))).alias("found"))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -131,9 +141,8 @@ def alias_verdicts(links: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
     classes = connected_components(pairs.select(F.xxhash64("src").alias("u"), F.xxhash64("dst").alias("v")))
     urls = pairs.select(F.col("src").alias("key")).union(pairs.select("dst")).distinct()
     urls = urls.withColumn("node", F.xxhash64("key"))
-    judged = urls.withColumn("found", fitting_rule(url_host(F.col("key")), url_path(F.col("key")), rules))
     member = stored(
-        judged.join(classes, "node", "left").select(
+        judged(urls, "key", rules).join(classes, "node", "left").select(
             "key", F.coalesce("component", "node").alias("component"), F.col("found.verdict").alias("verdict")
         ),
         "url-members",
@@ -166,12 +175,11 @@ def filter_urls(
         links = links.union(redirects.select("src", "dst"))
     aliases = alias_verdicts(links, rules)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
-    parts = rows.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))})
-    judged = parts.withColumn("found", fitting_rule(F.col("host"), F.col("path"), rules))
+    pages = judged(rows, "url", rules)
     if aliases is None:
         alias_block = F.lit(False)
     else:
-        judged = judged.withColumn("key", url_key(F.col("url"))).join(aliases, "key", "left")
+        pages = pages.withColumn("key", url_key(F.col("url"))).join(aliases, "key", "left")
         alias_block = F.coalesce("blocked", F.lit(False))
     verdict = F.coalesce(F.col("found.verdict"), F.when(alias_block, "block"), F.lit(default))
-    return judged.select("page_id", "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"))
+    return pages.select("page_id", "host", "path", F.col("found.rule").alias("rule"), verdict.alias("verdict"))
