@@ -125,7 +125,7 @@ def page_links(pages: DataFrame) -> DataFrame:
     target = F.regexp_replace(F.regexp_extract(content, r"(?is)\burl\s*=\s*(.*)$", 1), r"^[\"']|[\"']$", "")
     found = tags.select("url", F.array(_attribute(F.col("canonical"), "href"), target).alias("links"))
     links = found.select("url", F.explode("links").alias("link")).filter("link <> ''")
-    return links.select(F.col("url").alias("src"), resolve(F.col("link"), F.col("url")).alias("dst"))
+    return links.select(F.col("url").alias("src"), F.explode(F.array(resolve(F.col("link"), F.col("url")))).alias("dst"))
 
 
 def alias_verdicts(links: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
@@ -134,7 +134,8 @@ def alias_verdicts(links: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
     None without links.  A class is blocked if a rule blocks one of its urls
     and none is allowed by a rule.
     """
-    pairs = links.select(url_key(F.col("src")).alias("src"), url_key(F.col("dst")).alias("dst"))
+    keys = F.array(F.struct(url_key(F.col("src")).alias("src"), url_key(F.col("dst")).alias("dst")))
+    pairs = links.select(F.inline(keys))
     pairs = stored(pairs.dropna().filter("src <> dst").distinct(), "url-links")
     if pairs.isEmpty():
         return None
