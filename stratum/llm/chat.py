@@ -80,7 +80,7 @@ def windows_of(
     sums = list(accumulate((turn_tokens(*t) for t in held), initial=0))
     new, seen, ended = 0, False, False  # held[new:] is not yet in a window
     while True:
-        while not ended and base + sums[-1] - sums[new] <= budget:
+        while not ended and (new == len(held) or base + sums[-1] - sums[new] <= budget):
             turn = next(source, None)
             if turn is None:
                 ended = True

@@ -111,36 +111,21 @@ def anchor_grams(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "h long, tid long")
 
 
+CONTEXTS = "gkey long, doc long, tid long, start long, rel long, ctx binary"
+
+
+def _context_rows(data, doc, tid, at, low, high, shift, gkey, length: int) -> list[pa.Array]:
+    columns = [pa.array(c) for c in (gkey, doc, tid, low + shift, at - low)]
+    return [*columns, gathered(data, low, high + length - low)]
+
+
 def anchor_contexts(texts: DataFrame, length: int) -> DataFrame:
     """``gkey, doc, tid, start, rel, ctx, hot`` of the shared anchors of (doc, tid, text, grams, hot_grams).
 
-    ``ctx`` has the bytes of the windows that pick the anchor, ``rel`` the
-    anchor's place in it.  The windows of a frequent gram are cut by their
-    offset from the anchor into blocks; the bytes common to a block are part of
-    its key, so a task gets what agrees in nearly a whole window.
+    ``gkey`` is the anchor's gram, ``ctx`` has the bytes of the windows that
+    pick it and ``rel`` its place in them.
     """
 
-    def rows_of(data, doc, tid, at, low, high, shift, gkey, hot) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(gkey),
-                pa.array(doc),
-                pa.array(tid),
-                pa.array(low + shift),
-                pa.array(at - low),
-                gathered(data, low, high + length - low),
-                pa.array(np.full(len(at), hot)),
-            ],
-            names=["gkey", "doc", "tid", "start", "rel", "ctx", "hot"],
-        )
-
-    def keyed(data, h, begin, size, block) -> np.ndarray:
-        """Hash of the gram, the block and the bytes that all its windows have."""
-        total = mix(h.view(np.uint64) + np.uint64(block) * MIX_A)
-        for i in range(size):
-            total = mix(total + (data[begin + i].astype(np.uint64) + np.uint64(1)) * MIX_B)
-        return total.view(np.int64)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
@@ -153,26 +138,51 @@ def anchor_contexts(texts: DataFrame, length: int) -> DataFrame:
                     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                         known[a:b] = np.isin(h[a:b], shared[rows[a]])
                         often[a:b] = np.isin(h[a:b], frequent[rows[a]])
-                    one = known & ~often
-                    if one.any():
-                        yield rows_of(
-                            data, docs[rows[one]], tids[rows[one]], at[one], low[one], high[one], shift[one], h[one], False
+                    if known.any():
+                        doc, tid, h, at, low, high, shift = (
+                            c[known] for c in (docs[rows], tids[rows], h, at, low, high, shift)
                         )
-                    if not often.any():
-                        continue
-                    doc, tid, g, p = docs[rows[often]], tids[rows[often]], h[often], at[often]
-                    lo, hi, sh = low[often], high[often], shift[often]
-                    for block in range(0, length - GRAM + 1, BLOCKS):
-                        far = min(block + BLOCKS - 1, length - GRAM)  # windows start block..far bytes before the anchor
-                        from_, to = np.maximum(lo, p - far), np.minimum(hi, p - block)
-                        ok = from_ <= to
-                        if ok.any():
-                            key = keyed(data, g[ok], p[ok] - block, length - far + block, block)
-                            yield rows_of(data, doc[ok], tid[ok], p[ok], from_[ok], to[ok], sh[ok], key, True)
-
-    return texts.mapInArrow(
-        run, "gkey long, doc long, tid long, start long, rel long, ctx binary, hot boolean"
-    )
+                        columns = _context_rows(data, doc, tid, at, low, high, shift, h, length)
+                        names = ["gkey", "doc", "tid", "start", "rel", "ctx", "hot"]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(often[known])], names=names)
+
+    return texts.mapInArrow(run, f"{CONTEXTS}, hot boolean")
+
+
+def block_contexts(contexts: DataFrame, length: int) -> DataFrame:
+    """The windows of each context cut, by their offset from the anchor, into blocks.
+
+    The bytes that all windows of a block have are part of its ``gkey``, so
+    what meets there agrees in nearly a whole window.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: batch.column(n) for n in batch.schema.names}
+            gkey, doc, tid, start, rel = (column[n].to_numpy() for n in ("gkey", "doc", "tid", "start", "rel"))
+            data, low, sizes = _bytes_of(column["ctx"])
+            p, high = low + rel, low + sizes - length
+            for block in range(0, length - GRAM + 1, BLOCKS):
+                far = min(block + BLOCKS - 1, length - GRAM)  # windows start block..far bytes before the anchor
+                first, last = np.maximum(low, p - far), np.minimum(high, p - block)
+                ok = np.flatnonzero(first <= last)
+                if not len(ok):
+                    continue
+                key = mix(gkey[ok].view(np.uint64) + np.uint64(block) * MIX_A)
+                for i in range(length - far + block):
+                    key = mix(key + (data[p[ok] - block + i].astype(np.uint64) + np.uint64(1)) * MIX_B)
+                columns = _context_rows(
+                    data, doc[ok], tid[ok], p[ok], first[ok], last[ok], start[ok] - low[ok], key.view(np.int64), length
+                )
+                yield pa.RecordBatch.from_arrays(columns, names=["gkey", "doc", "tid", "start", "rel", "ctx"])
+
+    return contexts.mapInArrow(run, CONTEXTS)
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Data, starts and sizes of a binary array."""
+    cuts = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8), cuts[:-1], np.diff(cuts)
 
 
 def prefix_intervals(lcp: np.ndarray, least: int) -> np.ndarray:
@@ -226,9 +236,7 @@ def maximal_repeats(
     doc shares: there its class splits, so the repeat is left-diverse, and it
     is right-diverse as a common-prefix interval.
     """
-    values, cuts = np.frombuffer(ctx.buffers()[2], np.uint8), np.frombuffer(ctx.buffers()[1], np.int32)
-    cuts = cuts[ctx.offset : ctx.offset + len(ctx) + 1].astype(np.int64)
-    begin, sizes = cuts[:-1], np.diff(cuts)
+    values, begin, sizes = _bytes_of(ctx)
     right_width, left_width = -(-length // 8) * 8, -(-(length - GRAM) // 8) * 8
     right_size = sizes - rel
     right = _matrix(values, begin + rel, right_size, right_width, 1)
@@ -311,6 +319,18 @@ def repeats_of(contexts: DataFrame, length: int, rows_at_once: int = 1 << 16) ->
     return ordered.select("gkey", "doc", "tid", "start", "rel", "ctx").mapInArrow(run, REPEATS)
 
 
+def _least_of(contexts: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """Spans of the contexts that a smaller doc has too, and the contexts of the least docs."""
+    keys = ["gkey", "sum", "rel"]
+    rows = contexts.withColumn("sum", F.xxhash64("ctx"))
+    least = stored(rows.groupBy(*keys).agg(F.min("doc").alias("least")), label)
+    rows = rows.join(least, keys)
+    covered = rows.filter("doc > least").select(
+        F.col("doc").alias("doc_id"), "tid", "start", (F.col("start") + F.octet_length("ctx")).alias("stop")
+    )
+    return covered, rows.filter("doc = least").select(*contexts.columns)
+
+
 def repeated_spans(docs: DataFrame, length: int = 50, frequent: int = 4096) -> DataFrame:
     """``doc_id, tid, whole, spans``: what earlier documents have of each text (doc_id, text).
 
@@ -348,15 +368,13 @@ def repeated_spans(docs: DataFrame, length: int = 50, frequent: int = 4096) -> D
     )
     contexts = stored(anchor_contexts(wanted, length), "suffix-contexts")
 
-    # frequent grams: of equal contexts the least doc goes on, the others are covered whole
-    hot = contexts.filter("hot").withColumn("sum", F.xxhash64("ctx"))
-    least = stored(hot.groupBy("gkey", "sum", "rel").agg(F.min("doc").alias("least")), "suffix-hot")
-    hot = hot.join(least, ["gkey", "sum", "rel"])
-    covered = hot.filter("doc > least").select(
-        F.col("doc").alias("doc_id"), "tid", "start", (F.col("start") + F.octet_length("ctx")).alias("stop")
-    )
-    names = ["gkey", "doc", "tid", "start", "rel", "ctx"]
-    going_on = contexts.filter("not hot").select(*names).union(hot.filter("doc = least").select(*names))
+    # frequent grams: of equal contexts the least doc goes on, the others are
+    # covered whole; what is left is cut into blocks, and those likewise
+    covered, unique = _least_of(contexts.filter("hot").drop("hot"), "suffix-hot")
+    blocks = stored(block_contexts(unique, length), "suffix-blocks")
+    covered_blocks, unique = _least_of(blocks, "suffix-hot")
+    going_on = contexts.filter("not hot").drop("hot").union(unique)
+    covered = covered.union(covered_blocks)
     found = repeats_of(going_on, length).select(F.col("doc").alias("doc_id"), "tid", "start", "stop")
     spans = found.union(covered).groupBy("doc_id", "tid").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans"), F.lit(False).alias("whole")
