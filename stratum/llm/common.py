@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -47,21 +48,33 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, release: bool = True, settle: float = 0.2) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
-    Cuts the lineage at a table that survives lost executors.  The shuffle
-    files of the finished job are released at once, so a chain of stages needs
-    the disk of its largest stage instead of their sum.
+    Cuts the lineage at a table that survives lost executors.  With
+    ``release`` the shuffle files of the finished job are given back before the
+    next begins, so a chain of stages needs the disk of its largest stage
+    instead of their sum; small tables of a loop do without.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stratum-llm/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if release:
+        gc.collect()
+        time.sleep(settle)  # until the events of the finished job, which hold its plan, are handled
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if "/stratum-llm/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # fixed odd multipliers of the 64-bit mixing steps
 MIX_A = np.uint64(0x9E3779B97F4A7C15)
 MIX_B = np.uint64(0xBF58476D1CE4E5B9)

@@ -11,7 +11,7 @@ from stratum.llm.common import stored
 def _least_neighbours(edges: DataFrame) -> DataFrame:
     """(u, lo): the least v of each u.  Stored, so that the join with a hot u
     reads two shuffles and adaptive execution can split it."""
-    return stored(edges.groupBy("u").agg(F.min("v").alias("lo")), "cc-least")
+    return stored(edges.groupBy("u").agg(F.min("v").alias("lo")), "cc-least", release=False)
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -30,7 +30,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Nothing is collected but a count and a checksum per round.
     """
     ends = edges.select("u", "v").dropna().filter("u <> v")
-    current = stored(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
+    current = stored(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges", release=False)
     mark = _fingerprint(current)
     while mark[0]:
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -41,10 +41,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.least("lo", "u").alias("v"))
             .distinct()
         )
-        large = stored(large, "cc-large")
+        large = stored(large, "cc-large", release=False)
         least = _least_neighbours(large)
         moved = large.join(least, "u").filter("v <> lo").select(F.col("v").alias("u"), F.col("lo").alias("v"))
-        following = stored(moved.union(least.select("u", F.col("lo").alias("v"))).distinct(), "cc-edges")
+        following = stored(moved.union(least.select("u", F.col("lo").alias("v"))).distinct(), "cc-edges", release=False)
         last, mark = mark, _fingerprint(following)
         current = following
         if mark == last:

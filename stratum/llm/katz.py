@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import MIX_A, WordHashes, ascii_words, mix, stored
+from stratum.llm.common import MIX_A, WordHashes, ascii_words, discard, mix, stored
 
 DISCOUNTED = 5  # counts up to this one are discounted
 CHUNK_TOKENS = 2_000_000
@@ -202,6 +202,22 @@ def unigram_counts(chunks: DataFrame, buckets: int, frequent: int) -> DataFrame:
     )
 
 
+def with_counts(chunks: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """``chunks`` with the training counts ``known`` of their vocabulary, without ``trained``."""
+
+    def join(table: pa.Table, of_words: pa.Table) -> pa.Table:
+        words = unpack(table.column("words")[0].as_py(), np.uint64)
+        known = chunk_counts(of_words, words, buckets)
+        return table.append_column("known", pa.array([pack(known)], pa.binary()))
+
+    return (
+        chunks.drop("trained")
+        .groupBy("chunk")
+        .cogroup(counts.filter("chunk is not null").select("chunk", "bucket", "counts").groupBy("chunk"))
+        .applyInArrow(join, CHUNKS.replace("trained", "known"))
+    )
+
+
 class Pairs(NamedTuple):
     """Distinct (context, word) of a chunk, in order, and the pair of each token."""
 
@@ -248,12 +264,11 @@ def _opened(table: pa.Table) -> tuple[np.ndarray, ...]:
         np.array(row["size"], np.int64),
         unpack(row["words"], np.uint64),
         np.array(row["held"], bool),
+        unpack(row["known"], np.int64),
     )
 
 
-def bigram_counts(
-    chunks: DataFrame, counts: DataFrame, unigrams: Unigrams, buckets: int, spread: dict[int, int]
-) -> DataFrame:
+def bigram_counts(chunks: DataFrame, unigrams: Unigrams, buckets: int, spread: dict[int, int]) -> DataFrame:
     """``chunk, bucket, counts, types, seen`` in the order of the chunk's pairs of that bucket.
 
     ``counts`` are the pairs' training counts; per context ``types`` has the
@@ -263,11 +278,16 @@ def bigram_counts(
     of spread contexts.
     """
 
-    def deal(table: pa.Table, of_words: pa.Table) -> pa.Table:
-        tokens, size, words, held = _opened(table)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from deal_chunk(pa.Table.from_batches([batch.slice(i, 1)]))
+
+    def deal_chunk(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        tokens, size, words, held, known = _opened(table)
         pairs = chunk_pairs(tokens, size, words, buckets, spread)
         times = np.bincount(pairs.of_token[np.repeat(~held, size)], minlength=len(pairs.word))
-        known, names = chunk_counts(of_words, words, buckets), np.append(words, START)
+        names = np.append(words, START)
         out: list[list] = [[] for _ in range(7)]
         for bucket, at in enumerate(pairs.parts):
             if len(at):
@@ -286,7 +306,7 @@ def bigram_counts(
                     column.append(value)
         types = [pa.int64(), pa.int64()] + [pa.binary()] * 5
         names_ = ["bucket", "chunk", "context", "length", "word", "known", "times"]
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(names_, out, types, strict=True)})
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names_)
 
     def count(table: pa.Table) -> pa.Table:
         context = [np.frombuffer(x, np.uint64) for x in table.column("context").to_pylist()]
@@ -337,12 +357,8 @@ def bigram_counts(
             }
         )
 
-    dealt = (
-        chunks.groupBy("chunk")
-        .cogroup(counts.filter("chunk is not null").groupBy("chunk"))
-        .applyInArrow(
-            deal, "bucket long, chunk long, context binary, length binary, word binary, known binary, times binary"
-        )
+    dealt = chunks.mapInArrow(
+        deal, "bucket long, chunk long, context binary, length binary, word binary, known binary, times binary"
     )
     return dealt.groupBy("bucket").applyInArrow(
         count,
@@ -377,7 +393,7 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     tokens = chunks.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
     frequent = max(1, tokens // (4 * buckets))
-    counted = stored(unigram_counts(chunks, buckets, frequent), "katz-unigrams")
+    counted = stored(unigram_counts(chunks, buckets, frequent), "katz-unigrams", settle=2)
     stats = _sums(counted)
     if not len(stats):
         stats = np.zeros(DISCOUNTED + 3, np.int64)
@@ -391,7 +407,9 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     if train_docs > frequent:
         spread[int(START)] = -(-train_docs // frequent)
     spread.pop(int(END), None)
-    paired = stored(bigram_counts(chunks, counted, unigrams, buckets, spread), "katz-bigrams")
+    known_chunks = stored(with_counts(chunks, counted, buckets), "katz-chunks")
+    discard(chunks)
+    paired = stored(bigram_counts(known_chunks, unigrams, buckets, spread), "katz-bigrams", settle=2)
     stats = _sums(paired)
     discount = GoodTuring.of(stats if len(stats) else np.zeros(DISCOUNTED + 1))
     sums = (
@@ -405,16 +423,12 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     }
 
     def score(table: pa.Table, given: pa.Table) -> pa.Table:
-        tokens, size, words, held = _opened(table)
+        tokens, size, words, held, known = _opened(table)
         v = len(words)
-        is_pair = np.array(given.column("pairs").to_pylist())
-        of_words = given.filter(pa.array(~is_pair))
-        of_pairs = given.filter(pa.array(is_pair))
-        known = chunk_counts(of_words, words, buckets)
         pairs, names = chunk_pairs(tokens, size, words, buckets, spread), np.append(words, START)
         count, seen = np.zeros(len(pairs.word), np.int64), np.zeros(v + 1)
         types = np.zeros((v + 1, DISCOUNTED), np.int64)
-        columns = (of_pairs.column(n).to_pylist() for n in ("bucket", "counts", "types", "seen"))
+        columns = (given.column(n).to_pylist() for n in ("bucket", "counts", "types", "seen"))
         for bucket, counts, types_, seen_ in zip(*columns, strict=True):
             at = pairs.parts[bucket]
             heads, _ = _runs(pairs.context[at])
@@ -447,11 +461,5 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
             }
         )
 
-    none = F.lit(None).cast("binary")
-    given = counted.filter("chunk is not null").select(
-        "chunk", "bucket", "counts", none.alias("types"), none.alias("seen"), F.lit(False).alias("pairs")
-    )
-    given = given.union(
-        paired.filter("chunk is not null").select("chunk", "bucket", "counts", "types", "seen", F.lit(True))
-    )
-    return chunks.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(score, SCORES)
+    given = paired.filter("chunk is not null").select("chunk", "bucket", "counts", "types", "seen")
+    return known_chunks.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(score, SCORES)

@@ -330,11 +330,11 @@ def ngram_components(
         .filter("least <> most")
         .select("key", "class_id")
     )
-    members = stored(members, "ngram-tiles")
+    members = stored(members, "ngram-tiles", settle=2)
     reps = stored(classes.agg(F.min("doc_id").alias("rep")), "ngram-classes")
     wanted = reps.join(members.select("class_id").distinct(), "class_id", "left_semi").select("rep").distinct()
     texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
-    sets = stored(class_sets(texts, n), "ngram-sets")
+    sets = stored(class_sets(texts, n), "ngram-sets", settle=2)
 
     links, current = None, members.withColumn("label", F.col("class_id"))
     for salt in range(star_rounds):

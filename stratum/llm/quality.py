@@ -128,7 +128,7 @@ class IsolationForest:
             todo = [(0, rows[rng.choice(len(rows), sample, replace=False)], 0)]
             while todo:
                 at, part, level = todo.pop()
-                low, high = part.min(0), part.max(0)
+                low, high = (part.min(0), part.max(0)) if len(part) else (np.zeros(rows.shape[1]),) * 2
                 open_features = np.flatnonzero(high > low)
                 if level >= depth or len(part) < 2 or not len(open_features):
                     nodes[at] = [-1, 0, 0, level + float(mean_path(len(part)))]

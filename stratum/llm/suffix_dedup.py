@@ -362,11 +362,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, frequent: int = 4096) -> D
         )
         .withColumn("grams", F.concat("grams", "hot_grams"))
     )
-    lists = stored(lists.join(firsts.groupBy("tid").agg(F.min("first").alias("first")), "tid"), "suffix-lists")
+    lists = stored(lists.join(firsts.groupBy("tid").agg(F.min("first").alias("first")), "tid"), "suffix-lists", settle=2)
     wanted = texts.join(lists, (texts["tid"] == lists["tid"]) & (texts["doc_id"] == lists["first"])).select(
         texts["doc_id"].alias("doc"), texts["tid"], "text", "grams", "hot_grams"
     )
-    contexts = stored(anchor_contexts(wanted, length), "suffix-contexts")
+    contexts = stored(anchor_contexts(wanted, length), "suffix-contexts", settle=2)
 
     # frequent grams: of equal contexts the least doc goes on, the others are
     # covered whole; what is left is cut into blocks, and those likewise
