@@ -87,7 +87,7 @@ def ledger_summary(ledger: DataFrame) -> DataFrame:
 def ledger_history(ledger: DataFrame) -> DataFrame:
     """Ledger rows newest first, with their position as a column."""
     order = [F.col("data_processamento").desc(), F.col("caminho_origem").asc()]
-    return with_global_position(ledger, order, "posicao").orderBy("posicao")
+    return with_global_position(ledger, order, "posicao")
 
 
 def remaining_files(ledger: DataFrame) -> DataFrame:

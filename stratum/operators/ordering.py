@@ -23,11 +23,14 @@ def with_global_position(df: DataFrame, order: Sequence[Column], name: str = "po
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # range bounds are sampled, and another plan over the same rows may sample
+    # others; the checkpoint fixes one partitioning for both branches below
     ranged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
+        .checkpoint()
     )
     local = ranged.withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), _ROW_BITS) + 1)
     counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
@@ -36,6 +39,6 @@ def with_global_position(df: DataFrame, order: Sequence[Column], name: str = "po
     # at most `n` offset rows: a broadcast of a proven size
     return (
         local.join(F.broadcast(offsets), "__pid", "left")
-        .withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("int"))
+        .withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("bigint"))
         .drop("__pid", "__mid", "__local", "__off")
     )

@@ -55,10 +55,12 @@ def merge_upsert(
     if not isinstance(update, Mapping):
         update = {c: _q(_S + c) for c in update}
     else:
-        update = {c: (F.expr(v.replace("origem.", _S)) if isinstance(v, str) else v) for c, v in update.items()}
+        update = {c: (F.expr(v) if isinstance(v, str) else v) for c, v in update.items()}
 
-    s = _prefixed(source, _S, "__in_src")
-    t = _prefixed(target, _T, "__in_tgt")
+    # text updates name the sides ``origem.`` and ``destino.``; each side also has
+    # its row as a struct of that name, so Spark resolves them, literals included
+    s = _prefixed(source, _S, "__in_src").withColumn("origem", F.struct(*[_q(_S + c).alias(c) for c in source.columns]))
+    t = _prefixed(target, _T, "__in_tgt").withColumn("destino", F.struct(*[_q(_T + c).alias(c) for c in target.columns]))
     cond = reduce(lambda a, b: a & b, [_q(_S + k) == _q(_T + k) for k in keys])
     joined = t.join(s, cond, "full_outer")
     matched = F.col("__in_src").isNotNull() & F.col("__in_tgt").isNotNull()

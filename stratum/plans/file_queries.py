@@ -43,7 +43,7 @@ _CUST_TEXT = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 def _customer_csv(spark: SparkSession, sf: str) -> str:
     folder = _folder(spark, "customer-csv")
     c = table(spark, sf, "customer")
-    c.select(*[F.col(x).cast("string").alias(x) for x in _CUST_TEXT]).repartition(4, "c_mktsegment").write.option("header", "true").csv(folder)
+    c.select(*[F.col(x).cast("string").alias(x) for x in _CUST_TEXT]).write.option("header", "true").csv(folder)
     return folder
 
 
@@ -87,8 +87,8 @@ def q_evolving_union(spark, sf):
     Read by name, nothing shifts by position."""
     folder = _folder(spark, "lineitem-evolving")
     li = table(spark, sf, "lineitem").select(*[F.col(c).cast("string").alias(c) for c in ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]])
-    li.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "l_returnflag").write.option("header", "true").csv(folder + "/a")
-    li.filter(F.col("l_returnflag") != "R").select("l_linenumber", "l_orderkey", "l_linestatus", "l_returnflag").write.option("header", "true").csv(folder + "/b")
+    li.filter(F.col("l_returnflag").eqNullSafe("R")).select("l_orderkey", "l_linenumber", "l_returnflag").write.option("header", "true").csv(folder + "/a")
+    li.filter(~F.col("l_returnflag").eqNullSafe("R")).select("l_linenumber", "l_orderkey", "l_linestatus", "l_returnflag").write.option("header", "true").csv(folder + "/b")
     raw = read_raw(spark, [folder + "/a", folder + "/b"], "csv")
     return raw.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "_registro_corrompido")
 

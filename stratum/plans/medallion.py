@@ -14,9 +14,11 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from stratum.operators import checks, metrics
+from stratum.operators import checks, ledger, metrics
+from stratum.functions.columns import ts_literal
 from stratum.operators.upsert import current_rows, scd2_apply
 from stratum.plans import gold, silver
 from stratum.settings import CHECK_FAILED, ENTITIES, SEVERITIES, Settings
@@ -38,18 +40,26 @@ def _now() -> datetime:
 def ingest_source(spark: SparkSession, settings: Settings, name: str, batch_id: str, run_ts: datetime) -> tuple:
     """Read one source folder, tag lineage, append to Bronze (schema may grow).
 
+    Files that Bronze already holds are not read again, so a re-run adds nothing.
     Returns ``(fonte, status, batch_id, rows, table)``; ``SEM_ARQUIVOS`` when the
-    folder has no file.  The row count is observed during the write itself.
+    folder has no new file.  The row count is observed during the write itself.
     """
     spec = settings.sources[name]
     table = spec.table or settings.table("bronze", name)
     try:
-        has_files = list_files(spark, spec.path).limit(1).count() > 0
-    except Exception:  # noqa: BLE001 -- a missing folder means no files
-        has_files = False
-    if not has_files:
+        files = list_files(spark, spec.path)
+    except AnalysisException as e:
+        # a missing folder means no files; any other fault of the listing is one
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return (name, "SEM_ARQUIVOS", batch_id, 0, table)
-    raw = read_raw(spark, spec.path, spec.fmt)
+    if sink.table_exists(spark, table):
+        files = files.withColumn("path", ledger.normalize_path("path"))
+        files = ledger.unconfirmed(files, ledger.loaded_files(spark.table(table)))
+    pending = sorted(r["path"] for r in files.select("path").collect())  # names of new files only
+    if not pending:
+        return (name, "SEM_ARQUIVOS", batch_id, 0, table)
+    raw = read_raw(spark, pending, spec.fmt)
     tagged = add_lineage(raw, batch_id, settings.schema_version, run_ts)
     obs = Observation(f"bronze_{name}")
     observed = tagged.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -84,7 +94,7 @@ def _scd_entity(spark, settings: Settings, name: str, valid: DataFrame, invalid:
     # target can be joined with plain equality and is not shuffled
     buckets = (settings.scd_buckets, list(spec.keys)) if settings.scd_buckets else None
     changes = scd2_apply(active, valid, spec.keys, spec.compare, run_ts, null_safe=buckets is None)
-    sink.commit_scd2(changes, target, run_ts=run_ts, bucket_by=buckets)
+    sink.commit_scd2(changes, target, run_ts=run_ts, bucket_by=buckets, keys=spec.keys)
 
 
 def _metric(name: str, classified: DataFrame, run_ts: datetime) -> DataFrame:
@@ -270,6 +280,16 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     return out
 
 
+def run_gate(spark: SparkSession, settings: Settings, run_ts: datetime | None = None) -> int:
+    """Store the results of all checks, then fail if one did not pass."""
+    table = settings.table("control", "resultados_qualidade")
+    run_ts = run_ts or _now()
+    sink.append(run_checks(spark, settings, run_ts), table)
+    stored = spark.table(table).filter(F.col("data_execucao") == ts_literal(run_ts, "timestamp"))
+    checks.assert_passed(stored)
+    return stored.count()
+
+
 def run_all(spark: SparkSession, settings: Settings, batch_id: str | None = None, run_ts: datetime | None = None) -> DataFrame:
     """Bronze -> silver -> gold -> checks with a run log written even on failure."""
     run_ts = run_ts or _now()
@@ -279,7 +299,7 @@ def run_all(spark: SparkSession, settings: Settings, batch_id: str | None = None
         log.run("01_bronze", lambda: run_bronze(spark, settings, batch_id, run_ts).count())
         log.run("03_prata", lambda: run_silver(spark, settings, run_ts).count())
         log.run("04_ouro", lambda: run_gold(spark, settings).count())
-        log.run("05_qualidade", lambda: run_checks(spark, settings, run_ts).count())
+        log.run("05_qualidade", lambda: run_gate(spark, settings, run_ts))
     finally:
         sink.append(log.frame(), settings.table("control", "execucoes_pipeline"))
     return log.frame()

@@ -33,7 +33,6 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -44,12 +43,8 @@ def local_session(
 
 
 # SQL settings the library recommends on any session (runtime-settable).
-# Constraint propagation re-derives every inferred predicate at each optimizer
-# pass; on the deep, wide plans of a medallion chain it dominates planning time
-# and its inferred filters add nothing the explicit ones do not already do.
 RECOMMENDED_SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
@@ -68,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not fallback and not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         current = fallback or tempfile.mkdtemp(prefix="stratum-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if spark.sparkContext.getCheckpointDir() is None:

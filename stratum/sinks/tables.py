@@ -168,6 +168,7 @@ def commit_scd2(
     run_ts=None,
     start: str = SCD_START,
     bucket_by: tuple[int, Sequence[str]] | None = None,
+    keys: Sequence[str] | None = None,
 ) -> bool:
     """Commit the output of ``scd2_apply`` (new active set + versions it closed).
 
@@ -176,8 +177,10 @@ def commit_scd2(
     history partition, skipping any already there (same fingerprint), so
     history is never rewritten and a repeated commit adds nothing.
 
-    With ``run_ts`` the commit is skipped when the run opened no version (the
-    staged rows are checked, not the source lineage), and False is returned.
+    With ``run_ts`` the commit is skipped when the run neither closed a version
+    nor has an active one that the table lacks (the staged rows are checked,
+    not the source lineage), and False is returned.  Given ``keys``, two active
+    rows of one key are an error.
 
     ``bucket_by=(n, keys)`` creates the table bucketed by its keys, so the
     next ``scd2_apply`` (with ``null_safe=False``) joins the active set without
@@ -185,15 +188,20 @@ def commit_scd2(
     """
     spark = changes.sparkSession
     recover_scd2(spark, name, current, end)
+    if keys:
+        assert_unique_keys(changes.filter(F.col(current)), keys, f"active set of {name}")
     if not table_exists(spark, name):
         write_snapshot(changes, name, [current], bucket_by)
         return True
     staging = name + SCD_STAGING_SUFFIX
     write_snapshot(changes, staging)
     if run_ts is not None:
-        staged = spark.table(staging)
-        opened = staged.filter(F.col(current) & (F.col(start) == ts_literal(run_ts, staged.schema[start].dataType)))
-        if opened.limit(1).count() == 0:
+        staged = align_to_schema(spark.table(staging), spark.table(name).schema)
+        active = spark.table(name).filter(F.col(current)).select(*staged.columns)
+        # a closed version, or an active one that the table doesn't have
+        # (null-safe on all columns), is a change; a deleted key closes one
+        closed = staged.filter(~F.col(current)).limit(1).count()
+        if not closed and staged.filter(F.col(current)).exceptAll(active).limit(1).count() == 0:
             spark.sql(f"DROP TABLE IF EXISTS {staging}")
             return False
     _publish_scd2(spark, staging, name, current, end)
