@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from stratum.llm.common import MIX_A, WordHashes, ascii_words, discard, mix, stored
 
 DISCOUNTED = 5  # counts up to this one are discounted
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_500_000
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b"", b" "))  # no word is empty or a space
 
