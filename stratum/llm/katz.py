@@ -409,6 +409,7 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     spread.pop(int(END), None)
     known_chunks = stored(with_counts(chunks, counted, buckets), "katz-chunks")
     discard(chunks)
+    discard(counted)
     paired = stored(bigram_counts(known_chunks, unigrams, buckets, spread), "katz-bigrams", settle=2)
     stats = _sums(paired)
     discount = GoodTuring.of(stats if len(stats) else np.zeros(DISCOUNTED + 1))
