@@ -116,8 +116,8 @@ def tile_keys(found: np.ndarray, t: Threshold) -> np.ndarray:
 
 
 def bitmap(found: np.ndarray) -> np.ndarray:
-    """Bit set of the low hash bits, two to four bits for each element."""
-    bits = max(64, 1 << (2 * len(found) - 1).bit_length())
+    """Bit set of the low hash bits, eight to sixteen bits for each element."""
+    bits = max(64, 1 << (8 * len(found) - 1).bit_length())
     flags = np.zeros(bits, np.uint8)
     flags[(found & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little")
@@ -241,10 +241,16 @@ def star_pairs(members: DataFrame, salt: int) -> DataFrame:
     return best.select(F.col("class_id").alias("u"), F.col("best.pivot").alias("v"))
 
 
-def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int) -> DataFrame:
-    """Every pair of classes of one tile with different labels that the bitmap bound admits.
+PAIRS = "key long, u long, v long, later boolean, score double"
 
-    A tile with more than ``block`` members is cut into blocks, and each two
+
+def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int, nearest: bool = False) -> DataFrame:
+    """``key, u, v, later, score``: pairs of classes of one tile with different labels that the bitmap bound admits.
+
+    All of them, or with ``nearest`` each class's partner of the best bound
+    among the earlier ones and among the later ones (``later``), so that a tile
+    has at most two pairs a member.  A tile without a row has no link left.  A
+    tile with more than ``block`` members is cut into blocks, and each two
     blocks meet in a task of their own.
     """
 
@@ -255,21 +261,29 @@ def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int) ->
         size = table.column("size").to_numpy()
         width = min(map(len, raw))
         bits = np.stack([folded(x, width) for x in raw])
-        u, v = [], []
         crossed = side.max() != side.min()
+        rank = side if crossed else ids
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0))]
+        best, partner = np.full(len(ids), -1.0), np.zeros(len(ids), np.int64)
         for i in range(len(ids)):
-            others = (ids > ids[i]) & (label != label[i])
-            if crossed:
-                others = (label != label[i]) & (side[i] < side)
             small, large = np.minimum(size, size[i]), np.maximum(size, size[i])
-            at = np.flatnonzero(others & (t.out_of * small >= t.of * large))
-            if len(at):
-                bound = overlap_bound(bits[i], bits[at], size[i], size[at])
-                at = at[t.holds(bound, size[i] + size[at])]
-                u.append(np.full(len(at), ids[i]))
-                v.append(ids[at])
-        none = np.empty(0, np.int64)
-        return pa.table({"u": np.concatenate([*u, none]), "v": np.concatenate([*v, none])})
+            at = np.flatnonzero((rank < rank[i]) & (label != label[i]) & (t.out_of * small >= t.of * large))
+            if not len(at):
+                continue
+            bound, sizes = overlap_bound(bits[i], bits[at], size[i], size[at]), size[i] + size[at]
+            fits = t.holds(bound, sizes)
+            at, score = at[fits], (bound / np.maximum(sizes - bound, 1))[fits]
+            if nearest and len(at):
+                better = score > best[at]
+                best[at[better]], partner[at[better]] = score[better], ids[i]
+                at, score = at[[score.argmax()]], score[[score.argmax()]]
+            out.append((np.full(len(at), ids[i]), ids[at], np.zeros(len(at), bool), score))
+        if nearest:
+            met = best >= 0
+            out.append((ids[met], partner[met], np.ones(met.sum(), bool), best[met]))
+        u, v, later, score = (np.concatenate(column) for column in zip(*out, strict=True))
+        key = np.full(len(u), table.column("key")[0].as_py(), np.int64)
+        return pa.table({"key": key, "u": u, "v": v, "later": later, "score": score})
 
     blocks = F.ceil(F.count("*").over(Window.partitionBy("key")) / block)
     own = F.pmod(F.xxhash64("class_id"), "blocks")
@@ -279,7 +293,13 @@ def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int) ->
     ).select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     bits = sets.select("class_id", "bitmap", (F.octet_length("shingles") / 8).cast("long").alias("size"))
     grouped = met.join(bits, "class_id").groupBy("key", "low", "high")
-    return grouped.applyInArrow(run, "u long, v long").distinct()
+    return grouped.applyInArrow(run, PAIRS)
+
+
+def nearest_pairs(near: DataFrame) -> DataFrame:
+    """(u, v): over all tiles, each class's best earlier and best later partner."""
+    best = near.groupBy("u", "later").agg(F.max(F.struct("score", "v")).alias("best"))
+    return best.select("u", F.col("best.v").alias("v")).distinct()
 
 
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -303,16 +323,19 @@ def ngram_components(
     text_col: str = "text",
     n: int = 3,
     threshold: Threshold = Threshold(90, 100),
-    star_rounds: int = 3,
+    star_rounds: int = 1,
+    nearest_rounds: int = 2,
     block: int = 2048,
 ) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id`` per row of ``docs``.
 
     Two documents link when the Jaccard similarity of their sets of n-word
     shingles reaches ``threshold``; the component is the least id that links
-    reach.  Star rounds link most classes with one pair each; then every pair
-    of a tile that they left in different components is examined, so the
-    components are exact for any number of rounds.
+    reach.  Star rounds link most copies with one pair each; in the nearest
+    rounds each class tries its best partners, and tiles in which the bitmap
+    bound admits none are done; then every pair of a tile that these left in
+    different components is examined, so the components are exact for any
+    number of rounds.
 
     Null, empty and wordless texts have no shingles, class null and link with
     nothing.  Repeated rows are rows of one class each; a component without
@@ -341,7 +364,14 @@ def ngram_components(
         found = stored(verified(star_pairs(current, salt), sets, t), "ngram-links")
         links = found if links is None else links.union(found)
         current = stored(_labelled(members, links), "ngram-open")
-    found = stored(verified(tile_pairs(current, sets, t, block), sets, t), "ngram-links")
+    for _ in range(nearest_rounds):
+        near = stored(tile_pairs(current, sets, t, block, nearest=True), "ngram-near")
+        found = stored(verified(nearest_pairs(near), sets, t), "ngram-links")
+        links = found if links is None else links.union(found)
+        members = members.join(near.select("key").distinct(), "key", "left_semi")
+        current = stored(_labelled(members, links), "ngram-open")
+    rest = tile_pairs(current, sets, t, block).select("u", "v").distinct()
+    found = stored(verified(rest, sets, t), "ngram-links")
     links = found if links is None else links.union(found)
 
     label = connected_components(links).withColumnRenamed("node", "class_id")

@@ -206,7 +206,7 @@ def test_ngram_components(spark, n, of):
     from stratum.llm.ngram_join import Threshold, ngram_components
 
     rows = [r for r in corpus()] + [(100 + r[0], *r[1:]) for r in near_copies(n)]
-    got = ngram_components(spark.createDataFrame(rows, DOCS), n=n, threshold=Threshold(of, 100), star_rounds=1, block=8)
+    got = ngram_components(spark.createDataFrame(rows, DOCS), n=n, threshold=Threshold(of, 100), block=8)
     sets, ids = [shingle_set(r[1], n) for r in rows], [r[0] for r in rows]
     expected = Counter(zip(ids, map(len, sets), components_of(sets, ids, 100, of)))
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == expected
