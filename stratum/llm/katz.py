@@ -407,7 +407,7 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     if train_docs > frequent:
         spread[int(START)] = -(-train_docs // frequent)
     spread.pop(int(END), None)
-    known_chunks = stored(with_counts(chunks, counted, buckets), "katz-chunks")
+    known_chunks = stored(with_counts(chunks, counted, buckets), "katz-chunks", settle=2)
     discard(chunks)
     discard(counted)
     paired = stored(bigram_counts(known_chunks, unigrams, buckets, spread), "katz-bigrams", settle=2)
