@@ -26,6 +26,8 @@ from stratum.llm.common import MIX_A, MIX_B, mix, stored
 BUFFER = 1 << 20  # bytes hashed at a time
 GRAM = 16
 BLOCKS = 5  # left offsets to a key of a frequent gram
+ENDS = 2  # anchors at either end of a chain of frequent ones that form runs of their own
+RUN = 16  # one in so many other anchors of a chain, told by its hash, ends a run
 REPEATS = "gkey long, doc long, tid long, start long, stop long, length long, first_doc long"
 MARKS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -123,7 +125,9 @@ def anchor_contexts(texts: DataFrame, length: int) -> DataFrame:
     """``gkey, doc, tid, start, rel, ctx, hot`` of the shared anchors of (doc, tid, text, grams, hot_grams).
 
     ``gkey`` is the anchor's gram, ``ctx`` has the bytes of the windows that
-    pick it and ``rel`` its place in them.
+    pick it and ``rel`` its place in them.  Frequent anchors (``hot``) that
+    follow each other come as runs, with the bytes of all their windows, the
+    first one's gram and ``rel`` 0.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,17 +142,53 @@ def anchor_contexts(texts: DataFrame, length: int) -> DataFrame:
                     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                         known[a:b] = np.isin(h[a:b], shared[rows[a]])
                         often[a:b] = np.isin(h[a:b], frequent[rows[a]])
-                    if known.any():
-                        doc, tid, h, at, low, high, shift = (
-                            c[known] for c in (docs[rows], tids[rows], h, at, low, high, shift)
-                        )
-                        columns = _context_rows(data, doc, tid, at, low, high, shift, h, length)
-                        names = ["gkey", "doc", "tid", "start", "rel", "ctx", "hot"]
-                        yield pa.RecordBatch.from_arrays([*columns, pa.array(often[known])], names=names)
+                    one, (head, tail) = np.flatnonzero(known & ~often), frequent_runs(often, rows, h)
+                    for first, last, place, hot in ((one, one, at[one], False), (head, tail, low[head], True)):
+                        if len(first):
+                            columns = _context_rows(
+                                data, docs[rows[first]], tids[rows[first]], place, low[first], high[last], shift[first],
+                                h[first], length,
+                            )
+                            names = ["gkey", "doc", "tid", "start", "rel", "ctx", "hot"]
+                            yield pa.RecordBatch.from_arrays([*columns, pa.array([hot] * len(first))], names=names)
 
     return texts.mapInArrow(run, f"{CONTEXTS}, hot boolean")
 
 
+def frequent_runs(often: np.ndarray, rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last anchor of each run of frequent anchors that follow each other in a text.
+
+    The windows of the outer anchors of a chain reach into what surrounds a
+    shared passage, so these stand alone; the others are cut by their hashes,
+    hence alike in every text that has the passage.
+    """
+    at = np.flatnonzero(often)
+    if not len(at):
+        return at, at
+    apart = (np.diff(at) != 1) | (np.diff(rows[at]) != 0)
+    begins, ends = np.flatnonzero(np.append(True, apart)), np.flatnonzero(np.append(apart, True))
+    size = np.repeat(ends - begins + 1, ends - begins + 1)
+    place = np.arange(len(at)) - np.repeat(begins, ends - begins + 1)
+    cut = (mix(h[at].view(np.uint64)) % np.uint64(RUN) == 0) | (place < ENDS) | (place >= size - ENDS - 1)
+    return at[np.append(True, cut[:-1])], at[np.append(cut[:-1], True)]
+
+
+def run_contexts(runs: DataFrame, length: int) -> DataFrame:
+    """The contexts of the anchors of each run; its bytes give the same anchors as the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {n: batch.column(n) for n in batch.schema.names}
+            doc, tid, start = (column[n].to_numpy() for n in ("doc", "tid", "start"))
+            for data, rows, h, at, low, high, shift in anchors(_texts(column["ctx"]), length):
+                columns = _context_rows(
+                    data, doc[rows], tid[rows], at, low, high, start[rows] + shift, h, length
+                )
+                yield pa.RecordBatch.from_arrays(columns, names=["gkey", "doc", "tid", "start", "rel", "ctx"])
+
+    return runs.mapInArrow(run, CONTEXTS)
+
+
 def block_contexts(contexts: DataFrame, length: int) -> DataFrame:
     """The windows of each context cut, by their offset from the anchor, into blocks.
 
@@ -368,13 +408,14 @@ def repeated_spans(docs: DataFrame, length: int = 50, frequent: int = 4096) -> D
     )
     contexts = stored(anchor_contexts(wanted, length), "suffix-contexts", settle=2)
 
-    # frequent grams: of equal contexts the least doc goes on, the others are
-    # covered whole; what is left is cut into blocks, and those likewise
-    covered, unique = _least_of(contexts.filter("hot").drop("hot"), "suffix-hot")
+    # frequent grams: of equal runs the least doc goes on, the others are covered
+    # whole; what is left is cut into contexts and these into blocks, likewise
+    covered_runs, unique = _least_of(contexts.filter("hot").drop("hot"), "suffix-runs")
+    covered, unique = _least_of(stored(run_contexts(unique, length), "suffix-run-contexts"), "suffix-hot")
     blocks = stored(block_contexts(unique, length), "suffix-blocks")
     covered_blocks, unique = _least_of(blocks, "suffix-hot")
     going_on = contexts.filter("not hot").drop("hot").union(unique)
-    covered = covered.union(covered_blocks)
+    covered = covered_runs.union(covered).union(covered_blocks)
     found = repeats_of(going_on, length).select(F.col("doc").alias("doc_id"), "tid", "start", "stop")
     spans = found.union(covered).groupBy("doc_id", "tid").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans"), F.lit(False).alias("whole")

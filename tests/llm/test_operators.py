@@ -421,6 +421,32 @@ def test_suffix_dedup(spark, monkeypatch, frequent):
     assert Counter(map(tuple, got)) == Counter(removed(rows, 50))
 
 
+@pytest.mark.parametrize("frequent", [4096, 5, 1])
+def test_suffix_runs_of_frequent_anchors(spark, frequent):
+    """A long passage, cut and edited differently in each document, loses the same bytes however frequent its grams."""
+    from stratum.llm.suffix_dedup import repeated_spans
+
+    pick = random.Random(7)
+    passage, rows = "".join(pick.choices("abcdefgh", k=900)), []
+    for i in range(30):
+        around = ["".join(pick.choices("abcdefgh", k=pick.randrange(150))) for _ in range(2)]
+        part = passage[pick.randrange(200) : pick.randrange(500, 900)]
+        part = part if i % 3 else part[:150] + "!" + part[151:]
+        rows.append((i, around[0] + part + around[1]))
+    got = [np.zeros(len(text), bool) for _, text in rows]
+    for row in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), 50, frequent).collect():
+        for span in row.spans:
+            got[row.doc_id][span.start : span.stop] = True
+    earlier: set[str] = set()
+    for i, text in rows:
+        windows = [text[k : k + 50] for k in range(len(text) - 49)]
+        want = np.zeros(len(text), bool)
+        for k, window in enumerate(windows):
+            want[k : k + 50] |= window in earlier
+        assert (got[i] == want).all()
+        earlier.update(windows)
+
+
 def test_suffix_dedup_text(spark, nothing):
     from stratum.llm.suffix_dedup import suffix_dedup, without_repeats
 
