@@ -390,7 +390,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, frequent: int = 4096) -> D
     grams = anchor_grams(texts.select("tid", "text"), length)
     counted = grams.groupBy("h").agg(F.min("tid").alias("low"), F.max("tid").alias("high"), F.count("*").alias("n"))
     shared = stored(
-        counted.filter("low <> high").select("h", (F.col("n") > frequent).alias("hot")), "suffix-grams"
+        counted.filter("low <> high").select("h", (F.col("n") > frequent).alias("hot")), "suffix-grams", settle=2
     )
     lists = (
         anchor_grams(texts.select("tid", "text"), length)
@@ -437,7 +437,7 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
 
 def _with_spans(docs: DataFrame, length: int, keep: list[str]) -> DataFrame:
     """``doc_id, text, starts, stops, whole`` and the columns ``keep`` of every row."""
-    spans = stored(repeated_spans(docs.select("doc_id", "text"), length), "suffix-spans")
+    spans = stored(repeated_spans(docs.select("doc_id", "text"), length), "suffix-spans", settle=2)
     spans = spans.withColumnRenamed("doc_id", "of_doc").withColumnRenamed("tid", "of_tid")
     match = (docs["doc_id"] == spans["of_doc"]) & (F.xxhash64(docs["text"]) == spans["of_tid"])
     return docs.join(spans, match, "left").select(
