@@ -1,9 +1,9 @@
 """Quality rules scored by an isolation forest.
 
-Rule statistics of a text (shares of symbols, capitals, repeated words and
-lines, ...) span the feature space.  The forest is grown on a bounded sample
-of documents labelled good; a document that random splits separate after few
-steps is unlike them.  The cut-off is read from the scores of all labelled
+Rule statistics of a text (shares of symbols, capitals, marks, digits, repeated
+words and lines, word length, words) span the feature space.  The forest is
+grown on a bounded sample of documents labelled good; a document that random
+splits separate after few steps is unlike them.  The cut-off is read from the scores of all labelled
 documents.
 """
 
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from stratum.llm.common import stored
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SHARES = ["symbols", "capitals", "punctuation"]
-STATISTICS = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", " + ", ".join(f"{c} double" for c in SHARES)
+LONGS = [*COUNTS, "n_lines"]
+SHARES = ["symbols", "capitals", "punctuation", "digits"]
+STATISTICS = "doc_id long, " + ", ".join(f"{c} long" for c in LONGS) + ", " + ", ".join(f"{c} double" for c in SHARES)
+INPUTS = [*SHARES, "n_dup_lines", "n_repeat_words", "word_chars", "n_words", "n_lines"]
 
 _code = np.arange(256)
 _white = np.isin(_code, [0x20, *range(0x09, 0x0E)])
@@ -65,22 +67,24 @@ def rule_statistics(text: str | None) -> list[float]:
         symbols,
         dup_lines,
         n_repeat,
+        len(lines),
         symbols / chars,
         by_byte[_capital].sum() / chars,
         by_byte[_mark].sum() / chars,
+        by_byte[_digit].sum() / chars,
     ]
 
 
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of rule statistics per document, in one pass over the texts."""
-    n = len(COUNTS)
+    n = len(LONGS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([rule_statistics(t.as_py()) for t in batch.column(1)]).reshape(-1, n + len(SHARES))
             columns = [pa.array(rows[:, i].astype(np.int64)) for i in range(n)]
             columns += [pa.array(rows[:, i]) for i in range(n, rows.shape[1])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *COUNTS, *SHARES])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *LONGS, *SHARES])
 
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     return narrow.mapInArrow(run, STATISTICS)
@@ -93,23 +97,48 @@ def mean_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
 
 
+def rule_rates(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From ``INPUTS``: the shares, duplicate lines a line, repeated words a word and
+    characters a word; and the characters, lines or words that each is out of."""
+    dup_lines, n_repeat, word_chars, n_words, n_lines = rows[:, len(SHARES) :].T
+    chars, words, lines = (np.maximum(n, 1) for n in (word_chars, n_words, n_lines))
+    rates = np.column_stack([rows[:, : len(SHARES)], dup_lines / lines, n_repeat / words, word_chars / words])
+    return rates, np.column_stack([chars] * len(SHARES) + [lines, words, words])
+
+
+# what each rate is pulled by (400 characters, or about as much text), and whether less than usual is unusual too
+PULL = np.array([400] * len(SHARES) + [4, 80, 80])
+TWO_SIDED = np.array([False, True, True, False, False, False, True])
+
+
 @dataclass
 class RuleFeatures:
-    """Forest features of the shares: pulled towards the typical share as if by
-    ``weight`` more characters (short texts have noisy shares), and never below
-    it (fewer symbols than usual are no fault)."""
+    """Forest features: the rates, pulled towards the typical rate as if by ``PULL``
+    more text (short texts have noisy rates), and the logarithm of the words.
+    Symbols, digits and repeats are never below the typical rate (fewer than
+    usual are no fault); capitals, marks and word length can be."""
 
     typical: np.ndarray
-    weight: int = 400
 
-    def of(self, shares: np.ndarray, word_chars: np.ndarray) -> np.ndarray:
-        chars = word_chars.reshape(-1, 1)
-        return np.maximum((shares * chars + self.weight * self.typical) / (chars + self.weight), self.typical)
+    @classmethod
+    def fit(cls, rows: np.ndarray) -> RuleFeatures:
+        return cls(np.median(rule_rates(rows)[0], axis=0))
+
+    def of(self, rows: np.ndarray) -> np.ndarray:
+        rates, size = rule_rates(rows)
+        pulled = (rates * size + PULL * self.typical) / (size + PULL)
+        pulled = np.where(TWO_SIDED, pulled, np.maximum(pulled, self.typical))
+        return np.column_stack([pulled, np.log1p(rows[:, INPUTS.index("n_words")])])
 
 
 @dataclass
 class IsolationForest:
-    """Trees as arrays: feature (-1 in a leaf), split, left child, path length at a leaf."""
+    """Trees as arrays: feature (-1 in a leaf), split, left child, path length at a leaf.
+
+    Splits are drawn from a node's range and ``margin`` of the whole range (at
+    least ``least``) to both sides.  So a row beyond all grown ones falls into
+    leaves without any, also in a feature that is the same in all grown rows.
+    """
 
     feature: np.ndarray
     split: np.ndarray
@@ -118,23 +147,24 @@ class IsolationForest:
     normal: float
 
     @classmethod
-    def grow(cls, rows: np.ndarray, trees: int = 200, sample: int = 512, seed: int = 7) -> IsolationForest:
+    def grow(
+        cls, rows: np.ndarray, trees: int = 200, sample: int = 512, seed: int = 7, margin: float = 0.5, least: float = 0.01
+    ) -> IsolationForest:
         rng = np.random.default_rng(seed)
         sample = min(sample, len(rows))
         depth = max(1, int(np.ceil(np.log2(max(sample, 2)))))
+        beyond = np.maximum(margin * np.ptp(rows, axis=0), least)
         grown = []
         for _ in range(trees):
             nodes: list[list[float]] = [[-1, 0, 0, 0]]
             todo = [(0, rows[rng.choice(len(rows), sample, replace=False)], 0)]
             while todo:
                 at, part, level = todo.pop()
-                low, high = (part.min(0), part.max(0)) if len(part) else (np.zeros(rows.shape[1]),) * 2
-                open_features = np.flatnonzero(high > low)
-                if level >= depth or len(part) < 2 or not len(open_features):
+                if level >= depth or len(part) < 2:
                     nodes[at] = [-1, 0, 0, level + float(mean_path(len(part)))]
                     continue
-                f = rng.choice(open_features)
-                cut = rng.uniform(low[f], high[f])
+                f = rng.integers(rows.shape[1])
+                cut = rng.uniform(part[:, f].min() - beyond[f], part[:, f].max() + beyond[f])
                 goes_left = part[:, f] <= cut
                 nodes[at] = [f, cut, len(nodes), 0]
                 todo += [(len(nodes), part[goes_left], level + 1), (len(nodes) + 1, part[~goes_left], level + 1)]
@@ -201,7 +231,7 @@ def quality_verdicts(
 ) -> DataFrame:
     """Rule statistics and verdict per row of ``docs``.
 
-    ``doc_id``, the counts and shares, ``base_failed`` (under 50 words or over
+    ``doc_id``, the counts, lines and shares, ``base_failed`` (under 50 words or over
     half of them in repeated windows), ``score`` and ``kept``.  The forest is
     fitted on at most ``fit_rows`` rows labelled good, chosen by a hash of
     their id; the cut-off comes from all labelled rows.
@@ -223,20 +253,19 @@ def quality_verdicts(
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # what the base rules reject anyway says nothing about the rest
     labelled = labelled.filter(~base_failed)
-    inputs = [*SHARES, "word_chars"]
-    order = [F.xxhash64("doc_id"), "doc_id", *inputs]
-    fit = labelled.filter("quality > 0").orderBy(*order).limit(fit_rows).select(*inputs).toPandas().to_numpy(float)
+    order = [F.xxhash64("doc_id"), "doc_id", *INPUTS]
+    fit = labelled.filter("quality > 0").orderBy(*order).limit(fit_rows).select(*INPUTS).toPandas().to_numpy(float)
     if not len(fit):
         return statistics.withColumns({"base_failed": base_failed, "score": F.lit(0.0), "kept": ~base_failed})
-    features = RuleFeatures(np.median(fit[:, :-1], axis=0))
-    forest = IsolationForest.grow(features.of(fit[:, :-1], fit[:, -1]), trees, sample)
+    features = RuleFeatures.fit(fit)
+    forest = IsolationForest.grow(features.of(fit), trees, sample)
 
     @F.pandas_udf("double")
     def anomaly(*columns: pd.Series) -> pd.Series:
         rows = np.column_stack([c.to_numpy(float) for c in columns])
-        return pd.Series(forest.score(features.of(rows[:, :-1], rows[:, -1])))
+        return pd.Series(forest.score(features.of(rows)))
 
-    cut = calibrated_cut(labelled.select(anomaly(*inputs).alias("score"), "quality"), max_clean_loss)
+    cut = calibrated_cut(labelled.select(anomaly(*INPUTS).alias("score"), "quality"), max_clean_loss)
     rejected = F.col("score") >= F.lit(2.0 if cut is None else cut)
-    scored = statistics.withColumn("score", anomaly(*inputs))
+    scored = statistics.withColumn("score", anomaly(*INPUTS))
     return scored.withColumns({"base_failed": base_failed, "kept": ~base_failed & ~rejected})

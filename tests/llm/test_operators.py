@@ -147,6 +147,45 @@ def test_quality_counts_and_verdicts(spark, docs, nothing):
     assert quality_verdicts(nothing, labels).count() == 0
 
 
+def test_quality_forest_sees_every_statistic(spark):
+    """Junk that only its lines, words, marks or digits give away, half of it labelled."""
+    from stratum.llm.quality import quality_verdicts
+
+    def lines(text: str, n: int = 12) -> str:
+        w = text.split()
+        return "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+
+    def junk(i: int) -> dict[str, str]:
+        once = article(7000 + i, 8)
+        return {
+            "lines": lines(article(3000 + i, 240)) + f"\n{once}" * 20,
+            "long": lines(" ".join("".join(article(4000 + i, 800).split()[k : k + 8]) for k in range(0, 800, 8))),
+            "bare": lines(prose(5000 + i, 300)),
+            "digits": lines(" ".join(w if k % 2 else str(k * 977) for k, w in enumerate(article(6000 + i, 200).split()))),
+        }
+
+    rows = [(i, lines(article(i, 80 + 2 * i))) for i in range(300)]
+    for i in range(20):
+        rows += [(1000 + 100 * k + i, text) for k, text in enumerate(junk(i).values())]
+    labels = [(i, int(i < 1000)) for i, _ in rows if i % 2]
+    got = quality_verdicts(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    ).collect()
+    assert not any(r.base_failed for r in got)
+    assert sum(r.kept for r in got if r.doc_id < 1000) >= 297
+    assert [r.doc_id for r in got if r.doc_id >= 1000 and r.kept] == []
+
+
+def test_isolation_forest_isolates_beyond_its_rows():
+    """In a feature that all grown rows have alike, and farther out than any of them."""
+    from stratum.llm.quality import IsolationForest
+
+    rows = np.column_stack([np.random.default_rng(1).normal(size=(500, 2)), np.zeros(500)])
+    forest = IsolationForest.grow(rows, trees=100, sample=128)
+    inner, outer = forest.score(rows), forest.score(np.array([[0.0, 0.0, 0.3], [0.0, 9.0, 0.0]]))
+    assert outer.min() > np.quantile(inner, 0.9)
+
+
 def test_isolation_forest_prefers_outliers():
     from stratum.llm.quality import IsolationForest
 
