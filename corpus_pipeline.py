@@ -19,30 +19,45 @@ from stratum.llm.quality import quality_verdicts
 from stratum.llm.suffix_dedup import without_repeats
 
 
-def _rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``chosen``; null ids match null ids."""
-    ids = stored(chosen.select(F.col("doc_id").alias("chosen_id")).distinct(), "pipeline-ids")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["chosen_id"]), "left_semi")
+# ids can be null or used for several texts: a decision is about an id and a text
+KEY = ["doc_id", "text_md5"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_md5", F.md5(F.col("text").cast("binary")))
+
+
+def _rows_of(keyed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose id and text are in ``chosen``; nulls match nulls."""
+    kept = stored(chosen.select(*(F.col(k).alias(f"chosen_{k}") for k in KEY)).distinct(), "pipeline-ids")
+    same = [keyed[k].eqNullSafe(kept[f"chosen_{k}"]) for k in KEY]
+    return keyed.join(kept, same[0] & same[1], "left_semi")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the base rules or the forest reject."""
     ship_package(spark)
-    verdicts = quality_verdicts(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _rows_of(docs, verdicts.filter("kept"))
+    keyed = _keyed(docs)
+    verdicts = quality_verdicts(keyed, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=["text_md5"])
+    return _rows_of(keyed, verdicts.filter("kept")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the least document of each component linked at 0.8 of its 5-word shingles.
 
     Documents without a word are equal to each other; the least of them stays.
-    Of repeated rows with one id, one stays.
+    The least document has the least id, null ids last, and of several texts
+    with that id the least MD5.  So ids decide between copies only: rows with
+    a null id or the same id whose texts do not link all stay.  Of rows with
+    one id and text, the one least in the other columns stays.
     """
     ship_package(spark)
-    found = ngram_components(docs, n=5, threshold=Threshold(80, 100))
-    wordless = found.filter("class_id is null").agg(F.min("doc_id").alias("doc_id"))
-    kept = found.filter("class_id is not null and doc_id <=> component_id").select("doc_id")
-    return _rows_of(docs, kept.union(wordless)).dropDuplicates(["doc_id"])
+    keyed = _keyed(docs)
+    found = ngram_components(keyed, n=5, threshold=Threshold(80, 100), carry=["text_md5"])
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *KEY)).alias("least")
+    kept = found.groupBy("group_id").agg(least).select(*(F.col(f"least.{k}").alias(k) for k in KEY))
+    copies = _rows_of(keyed, kept).groupBy(*KEY).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return copies.select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ as sorted arrays.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from stratum.llm.common import MIX_A, MIX_B, MIX_C, WordHashes, ascii_words, mix, stored
@@ -148,12 +149,17 @@ def _class_id(found: np.ndarray) -> int | None:
     return int(_signed(total)[0])
 
 
-def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+def _narrow(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    own = docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")
+    return docs.select(*own, *(docs[c] for c in carry))
 
 
 def set_profiles(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
-    """``doc_id, n_shingles, class_id, tiles`` per document; class_id is null for empty sets."""
+    """``doc_id, n_shingles, class_id, tiles`` per document; class_id is null for empty sets.
+
+    Columns of ``docs`` after doc_id and text follow as they are.
+    """
+    carried = docs.schema.fields[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -169,11 +175,14 @@ def set_profiles(docs: DataFrame, n: int, t: Threshold) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_class_id(s) for s in sets], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(tiles))),
+                        *part.columns[2:],
                     ],
-                    names=["doc_id", "n_shingles", "class_id", "tiles"],
+                    names=["doc_id", "n_shingles", "class_id", "tiles", *names],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class_id long, tiles array<long>")
+    names = [field.name for field in carried]
+    schema = StructType.fromDDL("doc_id long, n_shingles long, class_id long, tiles array<long>")
+    return docs.mapInArrow(run, StructType([*schema.fields, *carried]))
 
 
 def class_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -326,8 +335,9 @@ def ngram_components(
     star_rounds: int = 1,
     nearest_rounds: int = 2,
     block: int = 2048,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, n_shingles, class_id, component_id`` per row of ``docs``.
+    """``doc_id, n_shingles, class_id, component_id, group_id`` and ``carry`` per row of ``docs``.
 
     Two documents link when the Jaccard similarity of their sets of n-word
     shingles reaches ``threshold``; the component is the least id that links
@@ -339,11 +349,12 @@ def ngram_components(
 
     Null, empty and wordless texts have no shingles, class null and link with
     nothing.  Repeated rows are rows of one class each; a component without
-    any non-null id has a null id.  An empty table gives no rows; other columns
+    any non-null id has a null id.  ``group_id`` tells components apart whatever
+    their ids, null for class null.  An empty table gives no rows; other columns
     are ignored.  Shingles are compared by 64-bit hashes.
     """
     t = Threshold(*threshold)
-    rows = _narrow(docs, id_col, text_col)
+    rows = _narrow(docs, id_col, text_col, list(carry))
     profiles = stored(set_profiles(rows, n, t), "ngram-profiles")
     classes = profiles.dropna(subset=["class_id"]).groupBy("class_id")
     tiles = classes.agg(F.first("tiles").alias("tiles")).select("class_id", F.explode("tiles").alias("key"))
@@ -356,7 +367,7 @@ def ngram_components(
     members = stored(members, "ngram-tiles", settle=2)
     reps = stored(classes.agg(F.min("doc_id").alias("rep")), "ngram-classes")
     wanted = reps.join(members.select("class_id").distinct(), "class_id", "left_semi").select("rep").distinct()
-    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
+    texts = rows.select("doc_id", "text").join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
     sets = stored(class_sets(texts, n), "ngram-sets", settle=2)
 
     links, current = None, members.withColumn("label", F.col("class_id"))
@@ -378,11 +389,14 @@ def ngram_components(
     group: Column = F.coalesce("component", "class_id")
     labelled = reps.join(label, "class_id", "left").select("class_id", "rep", group.alias("group"))
     least = labelled.groupBy("group").agg(F.min("rep").alias("component_id"))
-    by_class = stored(labelled.join(least, "group").select("class_id", "component_id"), "ngram-components")
-    joined = profiles.select("doc_id", "n_shingles", "class_id").join(by_class, "class_id", "left")
+    by_class = labelled.join(least, "group").select("class_id", "component_id", F.col("group").alias("group_id"))
+    by_class = stored(by_class, "ngram-components")
+    joined = profiles.select("doc_id", "n_shingles", "class_id", *carry).join(by_class, "class_id", "left")
     return joined.select(
         "doc_id",
         "n_shingles",
         "class_id",
         F.when(F.col("class_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "group_id",
+        *carry,
     )

@@ -10,7 +10,7 @@ documents.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratum.llm.common import stored
 
@@ -75,8 +76,10 @@ def rule_statistics(text: str | None) -> list[float]:
     ]
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of rule statistics per document, in one pass over the texts."""
+def document_statistics(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row of rule statistics per document, and ``carry``, in one pass over the texts."""
     n = len(LONGS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,10 +87,12 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             rows = np.array([rule_statistics(t.as_py()) for t in batch.column(1)]).reshape(-1, n + len(SHARES))
             columns = [pa.array(rows[:, i].astype(np.int64)) for i in range(n)]
             columns += [pa.array(rows[:, i]) for i in range(n, rows.shape[1])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *LONGS, *SHARES])
+            columns = [batch.column(0), *columns, *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LONGS, *SHARES, *carry])
 
-    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return narrow.mapInArrow(run, STATISTICS)
+    own = docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")
+    narrow = docs.select(*own, *(docs[c] for c in carry))
+    return narrow.mapInArrow(run, StructType([*StructType.fromDDL(STATISTICS).fields, *narrow.schema.fields[2:]]))
 
 
 def mean_path(n: np.ndarray | float) -> np.ndarray:
@@ -228,8 +233,9 @@ def quality_verdicts(
     trees: int = 200,
     sample: int = 512,
     max_clean_loss: float = 0.005,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Rule statistics and verdict per row of ``docs``.
+    """Rule statistics and verdict per row of ``docs``, and its ``carry`` columns.
 
     ``doc_id``, the counts, lines and shares, ``base_failed`` (under 50 words or over
     half of them in repeated windows), ``score`` and ``kept``.  The forest is
@@ -242,7 +248,7 @@ def quality_verdicts(
     cut separates them, nothing is rejected beyond the base rules.  An empty
     table gives no rows; other columns are ignored.
     """
-    statistics = stored(document_statistics(docs, id_col, text_col), "quality-statistics")
+    statistics = stored(document_statistics(docs, id_col, text_col, carry), "quality-statistics")
     marks = (
         labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("quality"))
         .dropna()

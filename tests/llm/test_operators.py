@@ -654,3 +654,38 @@ def test_pipeline_stages(spark, nothing):
     assert {r.doc_id for r in packed.collect()} == ids[3]
     for _, stage in p.STAGES:
         assert stage(spark, nothing, folder).count() == 0
+
+
+def test_pipeline_keeps_texts_of_null_and_reused_ids(spark, tmp_path):
+    """Each stage decides on rows, not on ids."""
+    import corpus_pipeline as p
+
+    texts = [article(9000 + i, 90 + i) for i in range(12)]
+    item, junk = prose(777, 30), " ".join(w + "%%$#" for w in prose(778, 80).split())
+    shared = prose(888, 30)
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:8]] + [(8, texts[8])]
+    rows += [(None, junk), (7, junk), (None, "few words"), (7, "few words")]
+    copies = [(None, texts[4]), (9, texts[0] + " more"), (9, texts[9]), (8, texts[8] + " more"), (None, None), (7, "")]
+    tables = {"benchmark": ([(1, item)], "item_id long, text string"), "labels": ([(7, 1)], "doc_id long, quality int")}
+    for name, (given, schema) in tables.items():
+        spark.createDataFrame(given, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def after(stage, given: list[tuple]) -> Counter:
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in given], DOCS)
+        return Counter((r.doc_id, r.text) for r in stage(spark, docs, str(tmp_path)).collect())
+
+    # without labels of both classes the base rules alone: 50 words
+    got = after(p.quality_rules, rows + copies)
+    assert got == Counter((i, t) for i, t in rows + copies if len((t or "").split()) >= 50)
+    # of the copies of a text the least id stays, null last; of the wordless rows (7, "")
+    got = after(p.near_duplicates, rows[:9] + copies)
+    pair = {(8, texts[8]), (8, texts[8] + " more")}
+    assert len(got.keys() & pair) == 1 and max(got.values()) == 1
+    assert got.keys() - pair == {*rows[1:8], (9, texts[0] + " more"), (9, texts[9]), (7, "")}
+    leaks = [(None, f"{texts[10]} {item}"), (7, f"{texts[11]} {item}")]
+    assert after(p.benchmark_leaks, rows[:9] + leaks) == Counter(rows[:9])
+    passages = [(7, f"{texts[10]}{shared}"), (None, f"{texts[11]}{shared}"), (9, f"{texts[9]}{shared}")]
+    got = after(p.repeated_passages, rows[:9] + passages)
+    assert got == Counter([*rows[:9], *passages[:2], (9, texts[9])])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows[:9]], DOCS)
+    assert Counter(r.doc_id for r in p.packing(spark, docs, "").filter("start = 0").collect()) == {None: 4, 7: 4, 8: 1}
