@@ -1,7 +1,9 @@
 """License scans: TF-IDF cosine to templates, then inheritance along paths.
 
-Every line of a file and its whole text are compared with notice templates as
-sparse TF-IDF vectors.  Files without a notice of their own take over the
+Every line of a file, its whole text and every run of words as long as a
+template around a word of license language are compared with templates, the
+notices and the licenses' own texts, as sparse TF-IDF vectors.  So a notice
+counts however it is wrapped, marked as a comment or surrounded.  Files without a notice of their own take over the
 license of the nearest directory above them that holds a license file.
 """
 
@@ -9,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -56,11 +58,118 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0.",
     ),
+    # close to those above in wording, so that they are not taken for them
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+    ),
+    "LGPL-2.0": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+        "your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.0-or-later",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ),
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "MPL-1.1": (
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not "
+        "use this file except in compliance with the License.",
+        "SPDX-License-Identifier: MPL-1.1",
+    ),
+    "BSD-2-Clause": ("SPDX-License-Identifier: BSD-2-Clause",),
+    "CC-BY-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-SA 4.0.",
+    ),
+}
+_gnu = (
+    "GNU {}GENERAL PUBLIC LICENSE Version {} Copyright (C) {} Free Software Foundation, Inc. {} Everyone is permitted to "
+    "copy and distribute verbatim copies of this license document, but changing it is not allowed."
+)
+_street = "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA"
+_bsd = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+    "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS "
+    "FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+)
+_cc = (
+    "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of "
+    "this Creative Commons {} 4.0 International Public License (\"Public License\")."
+)
+# The licenses themselves: their openings, of short ones the conditions too
+TEXTS = {
+    "Apache-2.0": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and conditions for use, "
+        "reproduction, and distribution as defined by Sections 1 through 9 of this document.",
+    ),
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+    ),
+    "GPL-3.0": (_gnu.format("", "3, 29 June 2007", "2007", "https://fsf.org/"),),
+    "BSD-3-Clause": (
+        _bsd.format(
+            "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+            "promote products derived from this software without specific prior written permission. "
+        ),
+    ),
+    "MPL-2.0": (
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity "
+        "that creates, contributes to the creation of, or owns Covered Software.",
+    ),
+    "CC-BY-4.0": (_cc.format("Attribution"),),
+    "CC-BY-NC-4.0": (_cc.format("Attribution-NonCommercial"),),
+    "GPL-2.0": (_gnu.format("", "2, June 1991", "1989, 1991", _street),),
+    "LGPL-2.0": (_gnu.format("LIBRARY ", "2, June 1991", "1991", _street),),
+    "LGPL-2.1": (_gnu.format("LESSER ", "2.1, February 1999", "1991, 1999", _street),),
+    "LGPL-3.0": (_gnu.format("LESSER ", "3, 29 June 2007", "2007", "https://fsf.org/"),),
+    "AGPL-3.0": (_gnu.format("AFFERO ", "3, 19 November 2007", "2007", "https://fsf.org/"),),
+    "GFDL-1.3": (
+        "GNU Free Documentation License Version 1.3, 3 November 2008 Copyright (C) 2000, 2001, 2002, 2007, 2008 Free "
+        "Software Foundation, Inc. https://fsf.org/ Everyone is permitted to copy and distribute verbatim copies of this "
+        "license document, but changing it is not allowed.",
+    ),
+    "BSD-2-Clause": (_bsd.format(""),),
+    "CC-BY-SA-4.0": (_cc.format("Attribution-ShareAlike"),),
 }
+# What tells a license from others of like wording; inside a longer text a template's must all be there
+NAMES = {"apache", "mit", "gnu", "mozilla", "commons", "cc"}
+MORE = {"lesser", "library", "affero", "documentation", "1.1", "1.3", "2", "2.0", "2.1", "3", "4.0", "attribution", "attribution-noncommercial"}
+MORE |= {"attribution-sharealike", "by", "by-nc", "by-sa"}
 STEMS = ("licen", "permi", "redistribut")
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
 MATCHES = "doc_id long, path string, declared string, similarity double"
 _token = re.compile(r"[^\W_]+(?:[-.][^\W_]+)*")
+_wrapped = re.compile(r"(?<=[^\W_])-[ \t]*\n[\s#*/;%!>-]*(?=[^\W_])")  # a line that ends inside a hyphenated word
+_comment = re.compile(r"^[ \t]*(?:dnl|rem)\b", re.M)  # comment marks that are words
 
 
 def tokens(text: str) -> list[str]:
@@ -74,29 +183,85 @@ class TemplateIndex:
     it only lengthens a text's vector.
     """
 
-    def __init__(self, frequency: dict[str, int], documents: int, templates: dict[str, tuple[str, ...]] = TEMPLATES):
-        self.names = [name for name, texts in templates.items() for _ in texts]
-        counts = [Counter(tokens(text)) for texts in templates.values() for text in texts]
+    def __init__(
+        self,
+        frequency: dict[str, int],
+        documents: int,
+        templates: dict[str, tuple[str, ...]] = TEMPLATES,
+        licenses: dict[str, tuple[str, ...]] = TEXTS,
+    ):
+        both = [(name, text) for named in (templates, licenses) for name, texts in named.items() for text in texts]
+        self.names = [name for name, _ in both]
+        listed = [tokens(text) for _, text in both]
+        counts = [Counter(words) for words in listed]
         self.words = {w: i for i, w in enumerate(sorted({w for c in counts for w in c}))}
         self.idf = np.array([np.log((1 + documents) / (1 + frequency.get(w, 0))) + 1 for w in self.words])
         self.other = np.log(1 + documents) + 1
         self.matrix = np.array([[c[w] for w in self.words] for c in counts]) * self.idf
         self.matrix /= np.linalg.norm(self.matrix, axis=1, keepdims=True)
+        # licenses' texts, and the notices that such texts begin with: those don't decide beside the texts
+        first = sum(map(len, templates.values()))
+        self.whole = np.arange(len(both)) >= first
+        opening = [words == text[: len(words)] for words in listed[:first] for text in listed[first:]]
+        self.opens = np.append(np.reshape(opening, (first, -1)).any(1), [False] * (len(both) - first))
+        self.named = [
+            set(words) if words[0].startswith("spdx") else (NAMES | MORE) & set(words) if NAMES & set(words) else set()
+            for words in listed
+        ]
+        # a library is a program too, so that word only tells which GNU license
+        self.named = [n - {"library"} if n & {"lesser"} else n for n in self.named]
+        self.places: dict[str, list[tuple[int, int]]] = {}  # by word of license language: place and length of its run
+        for words in listed:
+            for at, word in enumerate(words):
+                if self.telling(word) and (at, len(words)) not in self.places.setdefault(word, []):
+                    self.places[word].append((at, len(words)))
+        self.seen: dict[tuple[str, ...], np.ndarray] = {}
 
     @staticmethod
     def telling(text: str) -> bool:
         """Whether a text has a stem that every template has; without one it is no notice."""
         return any(stem in text for stem in STEMS)
 
-    def best(self, text: str) -> tuple[float, str]:
-        """Highest cosine and its license; ties go to the first template."""
-        found = Counter(tokens(text))
+    def cosines(self, words: Sequence[str]) -> np.ndarray:
+        """Cosine of a run of words to each template."""
+        found = Counter(words)
         known = [(self.words[w], n) for w, n in found.items() if w in self.words]
         outside = sum(n * n for w, n in found.items() if w not in self.words) * self.other**2
-        at, weight = np.array([k for k, _ in known]), np.array([n for _, n in known]) * self.idf[[k for k, _ in known]]
-        cosine = self.matrix[:, at] @ weight / np.sqrt(weight @ weight + outside)
-        i = int(cosine.argmax())
-        return float(cosine[i]), self.names[i]
+        at, weight = np.array([k for k, _ in known], int), np.array([n for _, n in known], float)
+        weight = weight * self.idf[at]
+        return self.matrix[:, at] @ weight / max(float(np.sqrt(weight @ weight + outside)), 1e-300)
+
+    def runs(self, text: str) -> set[tuple[str, ...]]:
+        """Runs of words as long as a template that have one of its words of license language in its place."""
+        words = tokens(_wrapped.sub("-", _comment.sub("", text)))
+        return {
+            tuple(words[max(i - at, 0) : i - at + size])
+            for i, word in enumerate(words)
+            for at, size in self.places.get(word, ())
+            if i - at + size > 0
+        }
+
+    def best(self, text: str) -> np.ndarray:
+        """Highest cosine of a line, a run or the whole text to each template."""
+        lines = text.split("\n")
+        parts = [*filter(self.telling, lines), text] if len(lines) > 1 else lines
+        best = np.max([self.cosines(tokens(part)) for part in parts], axis=0)
+        for run in self.runs(text):
+            if run not in self.seen:
+                if len(self.seen) >= 20_000:
+                    self.seen.clear()
+                there = set(run)
+                self.seen[run] = np.where([n <= there for n in self.named], self.cosines(run), 0)
+            best = np.maximum(best, self.seen[run])
+        return best
+
+    def declared(self, text: str, threshold: float) -> tuple[str | None, float]:
+        """The license of the most similar template, if similar enough, and the similarity; ties go to the first."""
+        best = self.best(text)
+        if (best[self.whole] >= threshold).any():
+            best = np.where(self.opens, 0, best)
+        i = int(best.argmax())
+        return self.names[i] if best[i] >= threshold else None, float(best[i])
 
 
 def word_frequencies(texts: DataFrame, words: set[str]) -> tuple[dict[str, int], int]:
@@ -117,20 +282,13 @@ def word_frequencies(texts: DataFrame, words: set[str]) -> tuple[dict[str, int],
 
 
 def declared_licenses(files: DataFrame, threshold: float) -> DataFrame:
-    """``doc_id, path, declared, similarity``: the license that a line, or the whole text, declares."""
-    vocabulary = {w for texts in TEMPLATES.values() for text in texts for w in tokens(text)}
+    """``doc_id, path, declared, similarity``: the license that a line, a run of words or the whole text declares."""
+    vocabulary = {w for named in (TEMPLATES, TEXTS) for texts in named.values() for text in texts for w in tokens(text)}
     index = TemplateIndex(*word_frequencies(files.select("text"), vocabulary))
 
     def match(text: str) -> tuple[str | None, float]:
-        text, best = text.lower(), (0.0, None)
-        if not index.telling(text):
-            return None, 0.0
-        lines = text.split("\n")
-        for part in [*filter(index.telling, lines), text] if len(lines) > 1 else lines:
-            found = index.best(part)
-            if found[0] > best[0]:
-                best = found
-        return (best[1], best[0]) if best[0] >= threshold else (None, best[0])
+        text = text.lower()
+        return index.declared(text, threshold) if index.telling(text) else (None, 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -573,6 +574,41 @@ def test_license_scan(spark):
     assert scan_licenses(empty).count() == 0
 
 
+def boxed(text: str, mark: str, width: int = 50) -> str:
+    """A source file that begins with ``text``, wrapped and commented."""
+    code = "\n".join(f"{prose(i, 6)} = {prose(90 + i, 4)}" for i in range(40))
+    return "\n".join(f"{mark} {line}" for line in ["Copyright (C) 2020 A. Person", "", *textwrap.wrap(text, width)]) + "\n" + code
+
+
+def test_license_wrapped_notices_and_texts(spark):
+    """Notices in the way they stand in files, and license files, for all templates."""
+    from stratum.llm.licenses import TEMPLATES, TEXTS, scan_licenses
+
+    want, rows = {}, []
+    for named, folder in ((TEMPLATES, "f"), (TEXTS, "t")):
+        for name, texts in named.items():
+            for text in texts:
+                for mark in ("#", " *", "//", "dnl"):
+                    want[len(rows)] = name
+                    rows.append((len(rows), f"{folder}/{len(rows)}", boxed(text, mark)))
+    mit, bsd = TEXTS["MIT"][0], TEXTS["BSD-3-Clause"][0].replace("the copyright holder nor", "Some Company, Inc. nor")
+    disclaimer = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.'
+    more = [
+        ("MIT", "m/LICENSE", "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person\n\n" + textwrap.fill(f"{mit} {disclaimer}", 70)),
+        ("BSD-3-Clause", "b/LICENSE", "Copyright (c) 2020\n\n" + textwrap.fill(bsd, 70).replace("1. ", "* ").replace("2. ", "* ")),
+        (None, "x", f"{prose(1, 90)} the album was released under the same license as {prose(2, 90)}"),
+        (None, "y", boxed(TEMPLATES["GPL-3.0"][1].replace("version 3", "version 1"), "#")),
+    ]
+    for name, path, text in more:
+        want[len(rows)] = name
+        rows.append((len(rows), path, text))
+    rows += [(len(rows), "m/a.c", prose(3, 40)), (len(rows) + 1, "b/s/a.c", prose(4, 40))]
+    table = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in scan_licenses(table).collect()}
+    assert {i: got[i].declared for i in want} == want
+    assert [(got[i].license, got[i].inherited_from) for i in range(len(want), len(rows))] == [("MIT", "m"), ("BSD-3-Clause", "b")]
+
+
 # 10 packing -----------------------------------------------------------------------------------
 
 
