@@ -1,4 +1,4 @@
-"""The ten operators as queries over the driver tables (``opN_<name>``)."""
+"""The operators as queries over the driver tables (``opN_<name>``)."""
 
 from __future__ import annotations
 
@@ -160,3 +160,72 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return piece_checksums(pack(docs, str(public_tokenizers.path("word_bpe_49k.json"))))
+
+
+@query
+def op11_ptolemaic_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the embeddings by centroids, with distances and inertia."""
+    from stratum.llm.centroids import cluster_centroids
+
+    rows = cluster_centroids(table(spark, sf_dir, "embeddings"))
+    longs = [F.col(c).cast("long").alias(c) for c in ("cluster_inertia", "inertia")]
+    return rows.select("vec_id", "cluster", "distance", *longs, "centroid_sha256")
+
+
+def _centroid_sql(rounds: int) -> str:
+    """DuckDB SQL of ``op11_ptolemaic_centroids``; every distance is computed."""
+    distance = "list_sum(list_transform(list_zip(k.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [
+        """
+kept AS (
+  SELECT vec_id, row_number() OVER () AS row_no,
+         list_transform(embedding, lambda c: floor(64 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) - 1 AS cluster, x
+  FROM kept QUALIFY cluster < 16)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS (
+  SELECT k.row_no, k.vec_id, k.x, c.cluster, {distance}::BIGINT AS distance
+  FROM kept k, c{i} c
+  QUALIFY row_number() OVER (PARTITION BY k.row_no ORDER BY distance, c.cluster) = 1)""")
+        steps.append(f"""
+e{i} AS (SELECT cluster, unnest(x) AS v, generate_subscripts(x, 1) AS place FROM a{i}),
+t{i} AS (SELECT cluster, place, sum(v)::HUGEINT AS total, count(*)::HUGEINT AS members FROM e{i} GROUP BY ALL),
+m{i} AS (
+  SELECT cluster,
+         list(((total - (((total % members) + members) % members)) // members)::BIGINT ORDER BY place) AS x
+  FROM t{i} GROUP BY cluster),
+c{i + 1} AS (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m USING (cluster))""")
+    last = f"a{rounds}"
+    return f"""WITH {",".join(steps)}
+SELECT a.vec_id, a.cluster::INT AS cluster, a.distance,
+       (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+       (sum(a.distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM {last} a JOIN c{rounds} c USING (cluster)"""
+
+
+ORACLES["op11_ptolemaic_centroids"] = _centroid_sql(3)
+
+
+@query
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text decoded from them."""
+    import public_tokenizers
+
+    from stratum.llm.bpe import encoding_digests
+
+    return encoding_digests(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding."""
+    from stratum.llm.whitening import whiten
+
+    rows = whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
