@@ -27,7 +27,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 IDS = "doc_id long, n_tokens long, ids array<int>"
+CHUNK = re.compile(r"[^ \t-\r]+")
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -58,12 +60,27 @@ class Part:
         return int(np.searchsorted(self.at, offset))
 
 
+class Chunk:
+    """What is kept of a piece of text without white space."""
+
+    __slots__ = ("decoded", "ids", "numbers")
+
+    def __init__(self, ids: list[int], numbers: str, decoded: str):
+        self.ids, self.numbers, self.decoded = ids, numbers, decoded
+
+
 class Splitter:
-    """Encodes texts with a tokenizer file, whole or as joined parts; decodes ids."""
+    """Encodes texts with a tokenizer file, whole or as joined parts; decodes ids.
+
+    Where white space is no part of any token, texts are cut at it and the
+    chunks between, short ones, are encoded once and kept, ``limit`` of them at
+    most.
+    """
 
     WINDOWS = (64, 256, 1024)
+    SHORT = 256
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task is one thread
         from tokenizers import Tokenizer
 
@@ -80,6 +97,11 @@ class Splitter:
         self.added = [token["content"] for token in spec["added_tokens"]]
         self.guard = 8 + max(map(len, self.added), default=0)
         self.by_rank = self._by_rank(model)
+        self.limit, self.chunks = limit, {}
+        probe = "a b\t1 \n! 's\r\x0b\x0cx  \n"
+        self.spaced = self.full.pre_tokenizer is not None and not any(
+            set(word) & set(" ĠĊ\t\n") for word, _ in self.full.pre_tokenizer.pre_tokenize_str(probe)
+        )
         # the model alone on symbols: a run's inside, and a run's end
         bare = {**spec, "normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
         self.end = Tokenizer.from_str(json.dumps(bare))
@@ -101,17 +123,50 @@ class Splitter:
 
     # ---------------------------------------------------------------- whole
 
+    def _chunked(self, texts: list[str]) -> list[list[Chunk]]:
+        """The chunks of each text; those that aren't kept yet are encoded together."""
+        if len(self.chunks) > self.limit:
+            self.chunks = {}
+        # bytes.split() cuts at ASCII white space, which no normalization joins with its neighbours
+        split = [text.encode().split() for text in texts]
+        new = list({chunk for one in split for chunk in one if chunk not in self.chunks})
+        found = self.full.encode_batch_fast([chunk.decode() for chunk in new], add_special_tokens=False)
+        ids = [one.ids for one in found]
+        numbers = self.numbers.__getitem__
+        for chunk, some, text in zip(new, ids, self.decode(ids), strict=True):
+            self.chunks[chunk] = Chunk(some, " ".join(map(numbers, some)), text)
+        return [list(map(self.chunks.__getitem__, one)) for one in split]
+
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [one.ids for one in self.full.encode_batch_fast(texts, add_special_tokens=False)]
+        if not self.spaced:
+            return [one.ids for one in self.full.encode_batch_fast(texts, add_special_tokens=False)]
+        return [[i for chunk in one for i in chunk.ids] for one in self._chunked(texts)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         if self.plain_decode:
             return [" ".join(map(self.tokens.__getitem__, one)) for one in ids]
         return self.full.decode_batch(ids, skip_special_tokens=False)
 
+    def written(self, ids: list[list[int]]) -> list[tuple[int, str, str]]:
+        """Per text: tokens, decimal ids joined by a space, decoded text."""
+        numbers = (" ".join(map(self.numbers.__getitem__, one)) for one in ids)
+        return list(zip(map(len, ids), numbers, self.decode(ids), strict=True))
+
+    def encode_written(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """``written`` of the encoded texts, put together from that of their chunks."""
+        if not self.spaced or not self.plain_decode:
+            return self.written(self.encode(texts))
+        out = []
+        for some in self._chunked(texts):
+            some = [chunk for chunk in some if chunk.ids]
+            total = sum([len(chunk.ids) for chunk in some])
+            out.append((total, " ".join([c.numbers for c in some]), " ".join([c.decoded for c in some])))
+        return out
+
     # ---------------------------------------------------------------- parts
 
     def part(self, text: str) -> Part:
+        """A text with all its word starts."""
         one = self.full.encode(text, add_special_tokens=False)
         ids, words = np.array(one.ids, np.int32), one.word_ids
         offsets = np.fromiter((a for a, _ in one.offsets), np.int64, len(ids))
@@ -120,6 +175,24 @@ class Splitter:
         )
         return Part(text, ids, offsets[np.maximum.accumulate(np.where(starts, np.arange(len(ids)), 0))])
 
+    def coarse_part(self, text: str) -> Part:
+        """A text with the word starts of its long chunks, and the starts of its short ones."""
+        if not self.spaced:
+            return self.part(text)
+        spans = [(m.start(), m.group()) for m in CHUNK.finditer(text)]
+        short = iter(self._chunked([" ".join(chunk for _, chunk in spans if len(chunk) <= self.SHORT)])[0])
+        ids, at = [], []
+        for begin, chunk in spans:
+            if len(chunk) <= self.SHORT:
+                found = next(short).ids
+                ids += found
+                at += [begin] * len(found)
+            else:
+                fine = self.part(chunk)
+                ids += fine.ids.tolist()
+                at += (fine.at + begin).tolist()
+        return Part(text, np.array(ids, np.int32), np.array(at, np.int64))
+
     def join(self, left: Part, right: Part) -> Part:
         """The encoding of both texts in a row."""
         if not left.text or not right.text:
@@ -170,14 +243,20 @@ class Splitter:
         cut = len(left.text)
         if not self.by_rank or not len(left.ids) or not len(right.ids) or right.at[0] != 0:
             return None
-        p = int(left.at[-1])
+        # the words next to the cut; of a short chunk only its own start is known
+        last = int(left.at[-1])
+        tail = self.part(left.text[last:]) if cut - last <= self.SHORT else None
+        p = last if tail is None else last + int(tail.at[-1])
+        first = re.match(r"[^ \t-\r]*", right.text).group()
+        head = self.part(first) if self.spaced and len(first) <= self.SHORT else None
         kind = self._kind(left.text[p])
         around = left.text[-self.guard :] + right.text[: self.guard]
         if p > cut - self.guard or kind is None or any(token in around for token in self.added):
             return None
         if self._kind(left.text[-1]) != kind or self._kind(right.text[0]) != kind:
             return None
-        i, j = left.first_at(p), int(np.searchsorted(right.at, 0, "right"))
+        i = left.first_at(p) if tail is None else len(left.ids) - int((tail.at == tail.at[-1]).sum())
+        j = int(np.searchsorted((right if head is None else head).at, 0, "right"))
         ours, theirs = left.ids[i:], right.ids[:j]
         # ours end in a word's end, which the run now has at the end of theirs
         symbols = [self.tokens[k] for k in ours]
@@ -218,29 +297,47 @@ def splitter(path: str) -> Splitter:
     return _splitters[path]
 
 
-def _as_ids(coder: Splitter, doc_ids: list, found: list[list[int]]) -> pa.RecordBatch:
-    ids = pa.array(found, pa.list_(pa.int32()))
-    counts = pa.array(list(map(len, found)), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), counts, ids], ["doc_id", "n_tokens", "ids"])
+class AsIds:
+    """Output rows with the ids themselves."""
 
+    schema = IDS
 
-def _as_digests(coder: Splitter, doc_ids: list, found: list[list[int]]) -> pa.RecordBatch:
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest()
+    def of_texts(self, coder: Splitter, doc_ids: list, texts: list[str]) -> pa.RecordBatch:
+        return self.of_ids(coder, doc_ids, coder.encode(texts))
 
-    numbers = coder.numbers.__getitem__
-    columns = [
-        pa.array(doc_ids, pa.int64()),
-        pa.array(list(map(len, found)), pa.int64()),
-        pa.array([digest(" ".join(map(numbers, ids))) for ids in found], pa.string()),
-        pa.array(list(map(digest, coder.decode(found))), pa.string()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def of_ids(self, coder: Splitter, doc_ids: list, found: list[list[int]]) -> pa.RecordBatch:
+        columns = [pa.array(doc_ids, pa.int64()), pa.array(list(map(len, found)), pa.int64())]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(found, pa.list_(pa.int32()))], ["doc_id", "n_tokens", "ids"]
+        )
 
 
-def _encode(
-    docs: DataFrame, path: str, schema: str, finish: Callable[..., pa.RecordBatch], id_col: str, text_col: str, piece: int
-) -> DataFrame:
+class AsDigests:
+    """Output rows with digests of the ids and of the decoded text."""
+
+    schema = DIGESTS
+
+    def of_texts(self, coder: Splitter, doc_ids: list, texts: list[str]) -> pa.RecordBatch:
+        return self._rows(doc_ids, coder.encode_written(texts))
+
+    def of_ids(self, coder: Splitter, doc_ids: list, found: list[list[int]]) -> pa.RecordBatch:
+        return self._rows(doc_ids, coder.written(found))
+
+    @staticmethod
+    def _rows(doc_ids: list, found: list[tuple[int, str, str]]) -> pa.RecordBatch:
+        def digests(texts: list[str]) -> pa.Array:
+            return pa.array([hashlib.sha256(text.encode()).hexdigest() for text in texts], pa.string())
+
+        columns = [
+            pa.array(doc_ids, pa.int64()),
+            pa.array([count for count, _, _ in found], pa.int64()),
+            digests([numbers for _, numbers, _ in found]),
+            digests([text for _, _, text in found]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def _encode(docs: DataFrame, path: str, out: AsIds | AsDigests, id_col: str, text_col: str, piece: int) -> DataFrame:
     rows = docs.select(
         docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")
     )
@@ -250,12 +347,12 @@ def _encode(
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 some = batch.slice(start, 256)
-                yield finish(coder, some.column(0).to_pylist(), coder.encode(some.column(1).to_pylist()))
+                yield out.of_texts(coder, some.column(0).to_pylist(), some.column(1).to_pylist())
 
     def encode_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = splitter(path)
         for batch in batches:
-            found = [coder.part(text) for text in batch.column("text").to_pylist()]
+            found = [coder.coarse_part(text) for text in batch.column("text").to_pylist()]
             ids = pa.array([part.ids for part in found], pa.list_(pa.int32()))
             at = pa.array([part.at.astype(np.int32) for part in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, at], [*batch.schema.names, "ids", "starts"])
@@ -269,7 +366,7 @@ def _encode(
             for text, ids, at in zip(*columns, strict=True)
         ]
         ids = coder.joined(parts).ids.tolist()
-        return pa.Table.from_batches([finish(coder, group.column("doc_id").to_pylist()[:1], [ids])])
+        return pa.Table.from_batches([out.of_ids(coder, group.column("doc_id").to_pylist()[:1], [ids])])
 
     long = F.length("text") > piece
     # 2^levels equal parts: the leaves of a tree of halves
@@ -284,7 +381,8 @@ def _encode(
         .repartition("row_no", "part")
         .mapInArrow(encode_parts, "row_no long, doc_id long, part int, text string, ids array<int>, starts array<int>")
     )
-    return rows.filter(~long).mapInArrow(whole, schema).unionByName(parts.groupBy("row_no").applyInArrow(join_parts, schema))
+    joined = parts.groupBy("row_no").applyInArrow(join_parts, out.schema)
+    return rows.filter(~long).mapInArrow(whole, out.schema).unionByName(joined)
 
 
 def encode_texts(
@@ -299,7 +397,7 @@ def encode_texts(
     rows and null ids are encoded like any other row; an empty table gives no
     rows.  Other columns are ignored.
     """
-    return _encode(docs, tokenizer_path, IDS, _as_ids, id_col, text_col, piece)
+    return _encode(docs, tokenizer_path, AsIds(), id_col, text_col, piece)
 
 
 def decode_ids(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -325,4 +423,4 @@ def encoding_digests(
     Made where the tokens are made, so that these don't leave the task.  Rows
     and odd values as in ``encode_texts``.
     """
-    return _encode(docs, tokenizer_path, DIGESTS, _as_digests, id_col, text_col, piece)
+    return _encode(docs, tokenizer_path, AsDigests(), id_col, text_col, piece)
