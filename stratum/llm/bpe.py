@@ -29,6 +29,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 IDS = "doc_id long, n_tokens long, ids array<int>"
-CHUNK = re.compile(r"[^ \t-\r]+")
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -60,13 +60,13 @@ class Part:
         return int(np.searchsorted(self.at, offset))
 
 
-class Chunk:
+class Chunk(NamedTuple):
     """What is kept of a piece of text without white space."""
 
-    __slots__ = ("decoded", "ids", "numbers")
-
-    def __init__(self, ids: list[int], numbers: str, decoded: str):
-        self.ids, self.numbers, self.decoded = ids, numbers, decoded
+    numbers: str  # decimal ids joined by a space
+    decoded: str
+    count: int
+    ids: bytes  # int32
 
 
 class Splitter:
@@ -79,6 +79,7 @@ class Splitter:
 
     WINDOWS = (64, 256, 1024)
     SHORT = 256
+    GROUP = 64
 
     def __init__(self, path: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task is one thread
@@ -94,6 +95,7 @@ class Splitter:
         self.tokens = [self.full.id_to_token(i) for i in range(size)]
         self.numbers = [str(i) for i in range(size)]
         self.suffix = model.get("end_of_word_suffix") or ""
+        self.ends = np.array([bool(self.suffix) and (t or "").endswith(self.suffix) for t in self.tokens])
         self.added = [token["content"] for token in spec["added_tokens"]]
         self.guard = 8 + max(map(len, self.added), default=0)
         self.by_rank = self._by_rank(model)
@@ -130,17 +132,30 @@ class Splitter:
         # bytes.split() cuts at ASCII white space, which no normalization joins with its neighbours
         split = [text.encode().split() for text in texts]
         new = list({chunk for one in split for chunk in one if chunk not in self.chunks})
-        found = self.full.encode_batch_fast([chunk.decode() for chunk in new], add_special_tokens=False)
-        ids = [one.ids for one in found]
-        numbers = self.numbers.__getitem__
-        for chunk, some, text in zip(new, ids, self.decode(ids), strict=True):
-            self.chunks[chunk] = Chunk(some, " ".join(map(numbers, some)), text)
+        # runs of ASCII letters are single words: many in a call, told apart by their ends
+        words = [chunk for chunk in new if chunk.isalpha()] if self.suffix else []
+        groups = [words[i : i + self.GROUP] for i in range(0, len(words), self.GROUP)]
+        coded = self.full.encode_batch_fast([b" ".join(some).decode() for some in groups], add_special_tokens=False)
+        for some, one in zip(groups, coded, strict=True):
+            ids = np.array(one.ids, np.int32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some):
+                self._keep(some, np.split(ids, cuts[:-1]))
+        other = [chunk for chunk in new if chunk not in self.chunks]
+        coded = self.full.encode_batch_fast([chunk.decode() for chunk in other], add_special_tokens=False)
+        self._keep(other, [np.array(one.ids, np.int32) for one in coded])
         return [list(map(self.chunks.__getitem__, one)) for one in split]
 
+    def _keep(self, chunks: list[bytes], ids: list[np.ndarray]) -> None:
+        for chunk, some in zip(chunks, ids, strict=True):
+            some_ids = some.tolist()
+            written = " ".join([self.numbers[i] for i in some_ids])
+            self.chunks[chunk] = Chunk(written, self.decode([some_ids])[0], len(some_ids), some.tobytes())
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         if not self.spaced:
             return [one.ids for one in self.full.encode_batch_fast(texts, add_special_tokens=False)]
-        return [[i for chunk in one for i in chunk.ids] for one in self._chunked(texts)]
+        return [np.frombuffer(b"".join([c.ids for c in one]), np.int32).tolist() for one in self._chunked(texts)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         if self.plain_decode:
@@ -158,9 +173,10 @@ class Splitter:
             return self.written(self.encode(texts))
         out = []
         for some in self._chunked(texts):
-            some = [chunk for chunk in some if chunk.ids]
-            total = sum([len(chunk.ids) for chunk in some])
-            out.append((total, " ".join([c.numbers for c in some]), " ".join([c.decoded for c in some])))
+            numbers, decoded, counts, _ = zip(*some, strict=True) if some else ((), (), (), ())
+            if 0 in counts:  # chunks of characters that the tokenizer drops
+                numbers, decoded = filter(None, numbers), filter(None, decoded)
+            out.append((sum(counts), " ".join(numbers), " ".join(decoded)))
         return out
 
     # ---------------------------------------------------------------- parts
@@ -179,19 +195,22 @@ class Splitter:
         """A text with the word starts of its long chunks, and the starts of its short ones."""
         if not self.spaced:
             return self.part(text)
-        spans = [(m.start(), m.group()) for m in CHUNK.finditer(text)]
-        short = iter(self._chunked([" ".join(chunk for _, chunk in spans if len(chunk) <= self.SHORT)])[0])
-        ids, at = [], []
-        for begin, chunk in spans:
-            if len(chunk) <= self.SHORT:
-                found = next(short).ids
-                ids += found
-                at += [begin] * len(found)
-            else:
-                fine = self.part(chunk)
-                ids += fine.ids.tolist()
-                at += (fine.at + begin).tolist()
-        return Part(text, np.array(ids, np.int32), np.array(at, np.int64))
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        space = np.concatenate([[True], (codes == 32) | ((codes >= 9) & (codes <= 13)), [True]])
+        edges = np.flatnonzero(space[1:] != space[:-1])
+        begins, ends = edges[::2], edges[1::2]
+        chunks, long = text.encode().split(), np.flatnonzero(ends - begins > self.SHORT)
+        fine = {int(i): self.part(text[begins[i] : ends[i]]) for i in long}
+        short = iter(self._chunked([b" ".join(c for i, c in enumerate(chunks) if i not in fine).decode()])[0])
+        if not fine:
+            found = list(short)
+            ids = np.frombuffer(b"".join([c.ids for c in found]), np.int32)
+            return Part(text, ids, np.repeat(begins, np.array([c.count for c in found], np.int64)))
+        found, ids, at = [fine[i] if i in fine else next(short) for i in range(len(chunks))], [], []
+        for begin, one in zip(begins, found, strict=True):
+            ids.append(np.frombuffer(one.ids, np.int32) if isinstance(one, Chunk) else one.ids)
+            at.append(np.full(one.count, begin) if isinstance(one, Chunk) else one.at + begin)
+        return Part(text, np.concatenate(ids), np.concatenate(at))
 
     def join(self, left: Part, right: Part) -> Part:
         """The encoding of both texts in a row."""
