@@ -498,6 +498,53 @@ def q_ledger_status(spark, sf):
     return _ledger(spark, sf)
 
 
+# Files by order: all were listed once; what became of each follows from the order's
+# status and priority, so that every place and every status occurs.
+_RECONCILE_SQL = f"""WITH o AS (
+  SELECT o_orderkey, 'raw/pedidos/' || o_orderkey || '.csv' AS origem, 'arquivo/pedidos/' || o_orderkey || '.csv' AS destino,
+    o_orderstatus <> 'P' AS confirmado, o_orderpriority IN ('1-URGENT', '2-HIGH') AS no_destino,
+    o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') AS na_entrada FROM orders),
+f AS (
+  SELECT CASE WHEN confirmado OR na_entrada THEN origem END AS caminho_origem, destino,
+    confirmado, no_destino, na_entrada FROM o WHERE confirmado OR na_entrada
+  UNION ALL
+  SELECT NULL, destino, FALSE, TRUE, FALSE FROM o WHERE NOT confirmado AND no_destino)
+SELECT 'pedidos' AS nome_fonte, split_part(coalesce(caminho_origem, destino), '/', -1) AS nome_arquivo, caminho_origem,
+  CASE WHEN no_destino THEN destino END AS caminho_destino, 'bronze.pedidos' AS tabela_bronze,
+  CASE WHEN confirmado AND no_destino THEN 'PROCESSADO' WHEN confirmado AND na_entrada THEN 'ERRO_MOVIMENTACAO'
+       WHEN confirmado OR no_destino THEN 'ERRO' ELSE 'NAO_CONFIRMADO' END AS status_processamento,
+  CASE WHEN confirmado AND no_destino THEN 'Arquivo confirmado na Bronze e movido com sucesso.'
+       WHEN confirmado AND na_entrada THEN 'O arquivo foi confirmado na Bronze, mas continua na entrada.'
+       WHEN confirmado THEN 'O arquivo não está na entrada nem no destino.'
+       WHEN no_destino THEN 'O arquivo está no destino sem confirmação na Bronze.'
+       ELSE 'O arquivo não foi encontrado na coluna arquivo_origem da tabela Bronze.' END AS mensagem,
+  {RUN_TS_SQL} AS data_processamento
+FROM f"""
+
+
+@register("file_reconciliation", _RECONCILE_SQL)
+def q_file_reconciliation(spark, sf):
+    """Source listing, archive listing and log joined: all four statuses."""
+    o = table(spark, sf, "orders")
+    name = F.concat(F.col("o_orderkey").cast("string"), F.lit(".csv"))
+    files = o.select(
+        F.concat(F.lit("raw/pedidos/"), name).alias("caminho_origem"),
+        F.col("o_orderkey").cast("bigint").alias("tamanho"),
+        F.lit(RUN_TS).alias("data_modificacao"),
+        F.concat(F.lit("arquivo/pedidos/"), name).alias("destino"),
+        "o_orderstatus",
+        "o_orderpriority",
+    )
+    there = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    here = F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED")
+    done = files.filter(F.col("o_orderstatus") != "P")
+    log = ledger.log_rows(done, "pedidos", "lote", ledger.COMMITTED, RUN_TS).union(
+        ledger.log_rows(done, "pedidos", "lote", ledger.MOVING, RUN_TS, caminho_destino=F.col("destino"))
+    )
+    archived = files.filter(there).select(F.col("destino").alias("path"))
+    return ledger.reconcile_files(files.filter(here), archived, log, "pedidos", "bronze.pedidos", RUN_TS, ts_type=TS)
+
+
 @register(
     "ledger_summary",
     f"SELECT nome_fonte, status_processamento, count(*) AS quantidade_arquivos, max(data_processamento) AS ultima_execucao FROM ({_LEDGER_SQL}) GROUP BY ALL",

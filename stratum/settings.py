@@ -64,6 +64,12 @@ DEFAULT_DATE_RANGE = ("2025-01-01", "2026-12-31")
 LEDGER_STATUSES = ("NAO_CONFIRMADO", "PROCESSADO", "ERRO_MOVIMENTACAO", "ERRO")
 LEDGER_MESSAGE_UNCONFIRMED = "O arquivo não foi encontrado na coluna arquivo_origem da tabela Bronze."
 LEDGER_MESSAGE_PROCESSED = "Arquivo confirmado na Bronze e movido com sucesso."
+# The original names its platform in the third message and shows the exception's
+# text in the fourth; these two are ours.
+LEDGER_MESSAGE_NOT_MOVED = "O arquivo foi confirmado na Bronze, mas continua na entrada."
+LEDGER_MESSAGE_LOST = "O arquivo não está na entrada nem no destino."
+LEDGER_MESSAGE_UNKNOWN = "O arquivo está no destino sem confirmação na Bronze."
+LEDGER_MESSAGE_IN_PLACE = "Arquivo confirmado na Bronze; permanece na entrada, sem pasta de processados."
 
 # Data-quality result statuses.
 CHECK_PASSED = "APROVADO"
@@ -113,8 +119,14 @@ class Settings:
     database_control: str = "controle"
     schema_version: str = "v1"
     sources: dict[str, SourceSpec] = field(default_factory=dict)
+    # folder below which confirmed files are moved, per source; None = files stay where they are
+    archive_root: str | None = None
+    # files read and committed to Bronze at a time; bounds what one batch brings to the driver
+    max_files_per_batch: int = 10_000
     # bucket the SCD2 tables by key (co-located SCD2 joins); None = not bucketed
     scd_buckets: int | None = None
+    # partition the refund table by a hash of its key, so a MERGE rewrites the touched parts only
+    merge_key_buckets: int | None = None
 
     def __post_init__(self) -> None:
         if not self.sources:

@@ -15,6 +15,7 @@ step 2-3 from it, so a half-finished commit is never visible after restart.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.functions.columns import row_fingerprint
-from stratum.settings import SCD_CURRENT, SCD_END, SCD_START
+from stratum.settings import LINEAGE_COLUMNS, SCD_CURRENT, SCD_END, SCD_START
 from stratum.functions.columns import ts_literal
 
 STAGING_SUFFIX = "__staging"
@@ -82,6 +83,16 @@ def ensure_table(spark: SparkSession, df: DataFrame, name: str, partition_by: Se
         write_snapshot(df.limit(0), name, partition_by)
 
 
+def _with_new_columns(df: DataFrame, name: str) -> StructType:
+    """The table's schema after adding the columns that only ``df`` has."""
+    spark = df.sparkSession
+    have = spark.table(name).schema.fieldNames()
+    new = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+    return spark.table(name).schema
+
+
 def append(df: DataFrame, name: str, merge_schema: bool = False) -> None:
     """Append; with ``merge_schema`` new columns are added to the table first
     (the frame is aligned to the union of both schemas)."""
@@ -89,38 +100,73 @@ def append(df: DataFrame, name: str, merge_schema: bool = False) -> None:
     if not table_exists(spark, name):
         write_snapshot(df, name)
         return
-    target = spark.table(name).schema
-    if merge_schema:
-        new = [f for f in df.schema.fields if f.name not in target.fieldNames()]
-        if new:
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
-            target = spark.table(name).schema
+    target = _with_new_columns(df, name) if merge_schema else spark.table(name).schema
     align_to_schema(df, target).write.format("parquet").mode("append").insertInto(name)
 
 
-def append_new_rows(df: DataFrame, name: str, key: str = "__fingerprint") -> DataFrame:
-    """Rows of ``df`` not yet in the table, by row fingerprint (idempotent append).
+def replace_partition(df: DataFrame, name: str, column: str, value: str) -> None:
+    """Make ``df`` the whole content of one partition of a table partitioned by ``column``.
 
-    Re-running a load appends nothing twice.  Returns what is appended.
+    New columns are added to the table.  Written again after a crash, the
+    partition holds the rows once; no other partition is touched.
     """
     spark = df.sparkSession
-    fp = df.withColumn(key, row_fingerprint(df))
-    if table_exists(spark, name):
-        existing = spark.table(name)
-        existing_fp = existing.select(row_fingerprint(existing.select(*df.columns)).alias(key)) if set(df.columns) <= set(existing.columns) else None
-        if existing_fp is not None:
-            fp = fp.join(existing_fp.distinct(), key, "left_anti")
-    new_rows = fp.drop(key).distinct()
-    return new_rows
+    df = df.withColumn(column, F.lit(value))
+    ensure_table(spark, df, name, [column])
+    if [c.name for c in spark.catalog.listColumns(name) if c.isPartition] != [column]:
+        raise ValueError(f"{name} is not partitioned by {column}")
+    schema = _with_new_columns(df, name)
+    view = f"__part_{uuid.uuid4().hex}"
+    align_to_schema(df, schema).drop(column).createOrReplaceTempView(view)
+    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    # a static partition spec: only this partition can be replaced
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (`{column}` = '{quoted}') SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+
+
+QUARANTINE_KEY = "chave_conteudo"
+QUARANTINE_COUNT = "ocorrencias"
+# columns that tell when and from where a row came, not what it says
+VOLATILE_COLUMNS = frozenset(
+    {*LINEAGE_COLUMNS, "id_lote", "data_hora_ingestao", "data_processamento", "hash_registro"} - {"hash_linha", "schema_version"}
+)
+BATCH_COLUMNS = ("batch_id", "id_lote")
+
+
+def quarantine_rows(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """One row per distinct content of rejected rows, with how often it occurs.
+
+    ``chave_conteudo`` is the fingerprint of all columns but those of lineage,
+    so a row that comes again in another batch is the same row; equal rows
+    within a batch count each.  With ``history`` only what it lacks is returned:
+    contents it does not have, and the further occurrences of those it has.
+    Of the history two columns are read, and nothing is hashed again.
+    """
+    content = [c for c in df.columns if c not in VOLATILE_COLUMNS | {QUARANTINE_KEY, QUARANTINE_COUNT}]
+    row = F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    batch = [F.col(c) for c in BATCH_COLUMNS if c in df.columns]
+    per_batch = (
+        df.select(row_fingerprint(df.select(*content)).alias(QUARANTINE_KEY), F.struct(*batch, F.lit(0)).alias("__lote"), row.alias("__row"))
+        .groupBy(QUARANTINE_KEY, "__lote")
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__row"))
+    )
+    found = per_batch.groupBy(QUARANTINE_KEY).agg(F.max("__n").alias(QUARANTINE_COUNT), F.min("__row").alias("__row"))
+    if history is not None:
+        had = history.groupBy(QUARANTINE_KEY).agg(F.sum(QUARANTINE_COUNT).alias("__had"))
+        more = F.col(QUARANTINE_COUNT) - F.coalesce("__had", F.lit(0))
+        found = found.join(had, QUARANTINE_KEY, "left").withColumn(QUARANTINE_COUNT, more)
+        found = found.filter(F.col(QUARANTINE_COUNT) > 0)
+    return found.select(*[F.col(f"__row.`{c}`").alias(c) for c in df.columns], QUARANTINE_KEY, QUARANTINE_COUNT)
 
 
 def append_quarantine(df: DataFrame, name: str) -> None:
-    """Ensure the table, align to it, append only rows it does not hold yet."""
+    """Append the rejected rows that the table does not hold yet (``quarantine_rows``).
+
+    A repeated load adds nothing; columns the table lacks are added to it.
+    """
     spark = df.sparkSession
-    ensure_table(spark, df, name)
-    new_rows = append_new_rows(align_to_table(spark, df, name), name)
-    new_rows.write.format("parquet").mode("append").insertInto(name)
+    history = spark.table(name) if table_exists(spark, name) else None
+    append(quarantine_rows(df, history), name, merge_schema=True)
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str], what: str = "source") -> None:
@@ -239,6 +285,8 @@ def _publish_scd2(spark: SparkSession, staging: str, name: str, current: str, en
 
 
 CONTROL_TABLES_DDL = {
+    "lotes_arquivos": "nome_fonte STRING, caminho_origem STRING, tamanho BIGINT, data_modificacao TIMESTAMP, batch_id STRING, "
+    "etapa STRING, linhas BIGINT, caminho_destino STRING, data_registro TIMESTAMP",
     "metricas_qualidade_prata": "fonte STRING, quantidade_entrada BIGINT, quantidade_validos BIGINT, quantidade_invalidos BIGINT, data_processamento TIMESTAMP",
     "controle_arquivos_processados": "nome_fonte STRING, nome_arquivo STRING, caminho_origem STRING, caminho_destino STRING, tabela_bronze STRING, "
     "status_processamento STRING, mensagem STRING, data_processamento TIMESTAMP",
@@ -253,6 +301,10 @@ def create_control_tables(spark: SparkSession, database: str) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet")
 
 
+MERGE_STAGING_SUFFIX = "__merge_staging"
+KEY_BUCKET = "faixa_chave"
+
+
 def merge_into(
     spark: SparkSession,
     source: DataFrame,
@@ -260,16 +312,63 @@ def merge_into(
     keys: Sequence[str],
     update=None,
     bucket_by: tuple[int, Sequence[str]] | None = None,
+    key_buckets: int | None = None,
 ) -> None:
-    """MERGE upsert into a catalog table: the full-outer rewrite of
-    ``merge_upsert`` committed through staging (plain Parquet has no row-level
-    MERGE).  The source keys must be unique.  With ``bucket_by=(n, keys)`` the
-    table is kept bucketed by its keys, so the rewrite's join reads the target
-    without shuffling it."""
+    """MERGE upsert into a catalog table (plain Parquet has no row-level MERGE).
+
+    The source keys must be unique.  By default the new state is rewritten in
+    full through staging; with ``bucket_by=(n, keys)`` the table is kept
+    bucketed by its keys, so the rewrite's join reads it without shuffling it.
+
+    With ``key_buckets`` the table is partitioned by ``faixa_chave``, a hash of
+    its keys, and only the partitions that hold a key of the source are read
+    and rewritten; the files of the others stay.  The staged partitions are the
+    commit marker: found by a later call, they are published before the table
+    is read, so a crash at any step loses and repeats nothing.
+    """
     from stratum.operators.upsert import merge_upsert
 
+    recover(spark, name, (), bucket_by)  # before the target is read: an interrupted commit may have dropped it
+    recover_merge(spark, name)
     assert_unique_keys(source, keys)
-    if not table_exists(spark, name):
-        write_snapshot(source, name, (), bucket_by)
+    exists = table_exists(spark, name)
+    if key_buckets is None:
+        commit_state(merge_upsert(spark.table(name), source, keys, update) if exists else source, name, (), bucket_by)
         return
-    commit_state(merge_upsert(spark.table(name), source, keys, update), name, (), bucket_by)
+    if not exists:
+        write_snapshot(_with_key_bucket(source, source.schema, keys, key_buckets), name, [KEY_BUCKET])
+        return
+    target = spark.table(name)
+    if KEY_BUCKET not in target.columns:
+        raise ValueError(f"{name} is not partitioned by {KEY_BUCKET}")
+    touched = _with_key_bucket(source, target.schema, keys, key_buckets).select(KEY_BUCKET).distinct().collect()
+    if not touched:
+        return
+    # at most ``key_buckets`` numbers, which prune the target's partitions
+    old = target.filter(F.col(KEY_BUCKET).isin([row[KEY_BUCKET] for row in touched])).drop(KEY_BUCKET)
+    merged = merge_upsert(old, source, keys, update)
+    staging = name + MERGE_STAGING_SUFFIX
+    write_snapshot(_with_key_bucket(merged, merged.schema, keys, key_buckets), staging, [KEY_BUCKET])
+    recover_merge(spark, name)
+
+
+def recover_merge(spark: SparkSession, name: str) -> bool:
+    """Publish the staged partitions of a merge, if there are any."""
+    staging = name + MERGE_STAGING_SUFFIX
+    if not table_exists(spark, staging):
+        return False
+    # in a session of its own: this write alone is dynamic, whatever the caller's says
+    # (insertInto takes no such option and would replace the whole table)
+    writer = spark.newSession()
+    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = align_to_schema(writer.table(staging), writer.table(name).schema)
+    rows.write.mode("overwrite").insertInto(name)
+    spark.catalog.refreshTable(name)
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    return True
+
+
+def _with_key_bucket(df: DataFrame, schema: StructType, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with its key bucket; the keys are hashed as the table has them."""
+    typed = [F.col(f"`{k}`").cast(schema[k].dataType) for k in keys]
+    return df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*typed), F.lit(buckets)).cast("int"))

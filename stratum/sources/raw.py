@@ -2,20 +2,25 @@
 
 * Every value is read as text (no inference), so Bronze never loses data to a
   wrong guess; typing happens in silver with ``try_*`` parsers.
-* Files whose headers differ are read per header group and unioned *by name*
-  (a plain folder read maps later files by position, silently swapping
-  columns when their order differs).
+* Files whose headers differ are read per layout and unioned *by name* (a plain
+  folder read maps later files by position, silently swapping columns when
+  their order differs).  Headers are told from the first line of each file, so
+  the files themselves are read once.
 * Malformed rows are kept whole in the corrupt-record column.
 * File path, name, size and modification time come from the hidden
-  ``_metadata`` column of Spark's file sources.
+  ``_metadata`` column of Spark's file sources; paths are plain, as a listing
+  gives them, not URL-encoded.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -30,6 +35,8 @@ META_COLUMNS = {
     "_meta_mtime": "file_modification_time",
 }
 
+META_TYPES = {"_meta_path": "string", "_meta_name": "string", "_meta_size": "bigint", "_meta_mtime": "timestamp"}
+
 
 def check_format(fmt: str) -> str:
     f = (fmt or "").lower().strip()
@@ -39,7 +46,7 @@ def check_format(fmt: str) -> str:
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Files under ``path`` (hidden ``_``/``.`` names skipped by Spark's file index).
+    """Files under ``path`` (hidden ``_``/``.`` names and empty files are skipped by Spark).
 
     Only metadata is read: ``content`` is never selected, so the binary file
     source does not open the files.
@@ -55,41 +62,124 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     )
 
 
+def plain_path(encoded: Column) -> Column:
+    """The path of a URL-encoded ``_metadata.file_path`` (where ``+`` is a plus sign)."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def with_file_metadata(df: DataFrame) -> DataFrame:
-    """Append the file lineage of each row as ``_meta_*`` columns."""
-    return df.select("*", *[F.col(f"_metadata.{field}").alias(alias) for alias, field in META_COLUMNS.items()])
+    """Add ``_meta_path/_meta_name/_meta_size/_meta_mtime`` of the file each row came from."""
+    path = plain_path(F.col("_metadata.file_path"))
+    columns = {alias: F.col(f"_metadata.{field}") for alias, field in META_COLUMNS.items()}
+    columns |= {"_meta_path": path, "_meta_name": F.element_at(F.split(path, "/"), -1)}
+    return df.select("*", *[column.alias(alias) for alias, column in columns.items()])
+
 
+def literal_path(path: str) -> str:
+    """``path`` for a reader: characters that would make it a pattern are escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
-def csv_headers(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
-    """Header line of every CSV file: (file_path, header).
 
-    The header is the first line of the split that starts at offset 0; the
-    line with the smallest ``monotonically_increasing_id`` of that split is
-    its first line.  Runs as a distributed job, never on the driver.
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system's scheme, as listings give it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def move_files(spark: SparkSession, moves: DataFrame) -> None:
+    """Rename files: rows of (from, to), brought to the driver a partition at a time.
+
+    Renames are metadata operations of the file system.  One that fails, or
+    whose destination exists, leaves its file where it is; the listing shows it.
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("pos"),
-        F.col("value"),
-    )
-    return (
-        lines.filter(F.col("block_start") == 0)
-        .groupBy("file_path")
-        .agg(F.min_by("value", "pos").alias("header"))
-    )
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    made: set[str] = set()
+    for source, target in moves.toLocalIterator():
+        source, target = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+        files = source.getFileSystem(conf)
+        try:
+            if target.getParent().toString() not in made:
+                files.mkdirs(target.getParent())
+                made.add(target.getParent().toString())
+            if not files.exists(target):
+                files.rename(source, target)
+        except Py4JJavaError:  # the file system's refusal; the reconciliation reports the file
+            continue
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str], threads: int = 16) -> list[str | None]:
+    """First line with text of each file, None where there is none.
+
+    Only the beginning of a file is read, through the file system that Spark
+    itself uses, some files at a time.  Spark's readers have no such partial
+    read: a task that stops early still reads its whole split.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(name: str) -> str | None:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            stream = codec.createInputStream(stream) if codec is not None else stream
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine()
+            while line is not None and not line.strip():
+                line = reader.readLine()
+            return line
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(first, paths))
+
+
+def header_columns(spark: SparkSession, header: str, sep: str = ",") -> list[str]:
+    """Column names of a header line, cut by Spark's CSV parser (quotes included).
+
+    As in Spark, an empty name becomes ``_c<i>`` and a repeated one gets its
+    position added.
+    """
+    # blanks around a name are not part of it, nor do they keep a quote from opening
+    options = {"sep": sep, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    line = F.lit(header.removeprefix("\ufeff"))
+    shape = spark.range(1).select(F.schema_of_csv(line, options)).first()[0]
+    fields = ", ".join(f"{name} STRING" for name in re.findall(r"_c\d+(?=:)", shape))
+    row = spark.range(1).select(F.from_csv(line, fields, options).alias("h"))
+    names = [(name or "").strip() or f"_c{i}" for i, name in enumerate(row.first()["h"])]
+    lower = [name.lower() for name in names]
+    return [f"{name}{i}" if lower.count(name.lower()) > 1 else name for i, name in enumerate(names)]
+
+
+def csv_layouts(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """Files by the columns of their header; files without a line are left out."""
+    names: dict[str, tuple[str, ...]] = {}
+    out: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, first_lines(spark, paths), strict=True):
+        if header is not None:
+            if header not in names:
+                names[header] = tuple(header_columns(spark, header, sep))
+            out.setdefault(names[header], []).append(path)
+    return out
 
 
 def _string_schema(columns: Sequence[str], corrupt: str = CORRUPT_COLUMN) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns] + [StructField(corrupt, StringType(), True)])
 
 
-def read_csv_group(spark: SparkSession, files: Sequence[str], columns: Sequence[str], sep: str = ",") -> DataFrame:
-    """Files sharing one header, read with an all-text schema and a corrupt-record column."""
+def read_csv_group(
+    spark: SparkSession, files: Sequence[str], columns: Sequence[str], sep: str = ",", check_header: bool = False
+) -> DataFrame:
+    """Files sharing one header, read with an all-text schema and a corrupt-record column.
+
+    With ``check_header`` a file whose header has other names, or the same in
+    another order, fails the read instead of filling the wrong columns.
+    """
     df = (
         spark.read.schema(_string_schema(columns))
         .option("header", "true")
+        .option("enforceSchema", str(not check_header).lower())
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
@@ -108,52 +198,42 @@ def read_raw(
 ) -> DataFrame:
     """Raw rows of a source folder, all text, plus ``_meta_*`` lineage columns.
 
-    CSV: when ``uniform_header`` is set (all files share ``header`` or the
-    first file's header) one read is enough and only one file's header is
-    read -- the mode for large, stable sources.  Otherwise headers are
-    discovered per file (each file's first split is read once more), each
-    header group is read on its own and the groups are unioned by column
-    name, missing columns as NULL -- the mode for sources whose layout
-    changes between files.
+    CSV: the first line of every file tells its layout; each layout is read on
+    its own and the layouts are unioned by column name, missing columns as
+    NULL.  Every file is read once.  The names of the files go through the
+    driver, as they do in any file listing of Spark; ``run_bronze`` bounds them
+    by reading a batch of files at a time.  ``uniform_header`` looks at one file
+    only, and ``header`` at none: a file with another header then fails the
+    read.  Rows with too few or too many fields are kept whole in the
+    corrupt-record column.  Empty files have no rows.
 
     JSON lines: primitives are read as strings; malformed lines land in the
     corrupt-record column.
     """
     fmt = check_format(fmt)
+    paths = [path] if isinstance(path, str) else list(path)
     if fmt == "json":
         df = (
             spark.read.option("multiLine", "false")
             .option("mode", "PERMISSIVE")
             .option("primitivesAsString", "true")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-            .json(path if isinstance(path, str) else list(path))
+            .json(paths)
         )
         return with_file_metadata(df)
-
-    paths = [path] if isinstance(path, str) else list(path)
-    if header is not None or uniform_header:
-        cols = list(header) if header is not None else None
-        if cols is None:
-            # one file's header is enough: list metadata only, read one file's first split
-            first_file = None
-            for p in paths:
-                row = list_files(spark, p).select("path").orderBy("path").limit(1).collect()
-                if row:
-                    first_file = row[0]["path"]
-                    break
-            first = csv_headers(spark, first_file, sep).select("header").first() if first_file else None
-            cols = [c.strip() for c in first["header"].split(sep)] if first else []
-        return read_csv_group(spark, paths, cols, sep)
-
-    # one small aggregated row per distinct header; the file lists go to the driver
-    # only as paths (control data), never the rows
-    groups = csv_headers(spark, path, sep).groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect()
-    frames = []
-    for g in sorted(groups, key=lambda r: r["header"]):
-        cols = [c.strip() for c in g["header"].split(sep)]
-        frames.append(read_csv_group(spark, g["files"], cols, sep))
+    if header is not None:
+        return read_csv_group(spark, paths, header, sep, check_header=True)
+    files = [row["path"] for p in paths for row in list_files(spark, p).select("path").orderBy("path").toLocalIterator()]
+    if uniform_header:
+        layouts = next((found for f in files if (found := csv_layouts(spark, [f], sep))), {})
+        frames = [read_csv_group(spark, paths, columns, sep, check_header=True) for columns in layouts]
+    else:
+        layouts = sorted(csv_layouts(spark, files, sep).items())
+        frames = [read_csv_group(spark, [literal_path(f) for f in names], columns, sep) for columns, names in layouts]
     if not frames:
-        return spark.createDataFrame([], _string_schema([]))
+        return spark.createDataFrame([], _string_schema([])).withColumns(
+            {alias: F.lit(None).cast(dtype) for alias, dtype in META_TYPES.items()}
+        )
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

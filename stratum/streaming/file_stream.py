@@ -8,13 +8,13 @@ and committed one ledger row per file:
 * ``cleanSource=archive`` moves files already committed to an archive folder
   (Spark archives a batch's files once a later batch commits);
 * ``foreachBatch`` reads the new files with the batch reader (per-header
-  grouping, corrupt-record capture, lineage) and appends them to Bronze, then
-  writes one ledger row per file;
+  grouping, corrupt-record capture, lineage) and writes them to the batch's own
+  partition of Bronze, then one ledger row per file;
 * ``trigger(availableNow=True)`` processes everything pending and stops, so the
   same code serves scheduled batch runs and continuous runs.
 
-A micro-batch replayed after a failure is detected by its batch id and skipped,
-so Bronze gets each file once.
+A micro-batch replayed after a failure is detected by its partition of Bronze
+and skipped, so Bronze gets each file once.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stratum.operators import ledger
 from stratum.settings import SourceSpec
 from stratum.sinks import tables as sink
-from stratum.sources.raw import add_lineage, read_raw
+from stratum.sources.raw import add_lineage, literal_path, read_raw
 
 
 # The binary file source's fixed schema (streams need it up front).
@@ -71,8 +71,8 @@ def ingest_batch(
     batch_id = f"{batch_id}-{hashlib.sha256(chr(10).join(paths).encode()).hexdigest()[:16]}"
     replayed = _already_loaded(spark, bronze_table, batch_id)
     if not replayed:
-        raw = read_raw(spark, paths, spec.fmt)
-        sink.append(add_lineage(raw, batch_id, schema_version), bronze_table, merge_schema=True)
+        raw = read_raw(spark, [literal_path(path) for path in paths], spec.fmt)
+        sink.replace_partition(add_lineage(raw, batch_id, schema_version), bronze_table, "batch_id", batch_id)
     if ledger_table and replayed and sink.table_exists(spark, ledger_table):
         # the first attempt may have ended between the two appends
         files = ledger.unconfirmed(
@@ -96,7 +96,7 @@ def start_bronze_stream(
     schema_version: str = "v1",
     run_id: str = "stream",
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 10_000,
 ) -> StreamingQuery:
     """Start the file stream for one source; ``query.awaitTermination()`` to wait."""
     files = new_files(spark, spec.path, max_files_per_trigger, archive_dir)

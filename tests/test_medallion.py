@@ -144,13 +144,15 @@ def test_quality_gate_and_metrics(spark, settings):
     assert (m["transacoes"]["quantidade_entrada"], m["transacoes"]["quantidade_validos"], m["transacoes"]["quantidade_invalidos"]) == (13, 11, 1)
     assert (m["eventos_risco"]["quantidade_validos"], m["eventos_risco"]["quantidade_invalidos"]) == (4, 2)
     log = spark.table(settings.table("control", "execucoes_pipeline")).collect()
-    assert [r["status"] for r in log] == ["SUCESSO"] * 4
+    assert [r["status"] for r in log] == ["SUCESSO"] * 5
 
 
 def test_rerun_changes_nothing(spark, settings):
     def snapshot():
         out = {}
-        for layer, names in (("silver", ["clientes", "contas", "cartoes", "transacoes", "eventos_risco", "estornos"]),
+        for layer, names in (("bronze", ["clientes", "contas", "cartoes", "transacoes", "eventos_risco", "estornos"]),
+                             ("control", ["controle_arquivos_processados", "lotes_arquivos"]),
+                             ("silver", ["clientes", "contas", "cartoes", "transacoes", "eventos_risco", "estornos"]),
                              ("quarantine", ["clientes", "transacoes", "eventos_risco", "estornos"]),
                              ("gold", list(medallion.GOLD_TABLES))):
             for n in names:
@@ -159,8 +161,20 @@ def test_rerun_changes_nothing(spark, settings):
         return out
 
     before = snapshot()
-    # same files again (a new Bronze batch of identical rows), same run time
+    # same files again, same run time: nothing is new to Bronze or to the ledger
+    assert {r["status"] for r in medallion.run_bronze(spark, settings, "outro-lote", RUN_TS).collect()} == {"SEM_ARQUIVOS"}
+    medallion.run_ledger(spark, settings, RUN_TS)
     medallion.run_silver(spark, settings, RUN_TS)
     medallion.run_gold(spark, settings)
     after = snapshot()
     assert before == after
+
+
+def test_rejections_add_up_and_bronze_is_read_once(spark, settings):
+    metrics = spark.table(settings.table("control", "metricas_qualidade_prata"))
+    for name in ("clientes", "transacoes", "eventos_risco", "estornos"):
+        stored = spark.table(settings.table("quarantine", name)).agg(F.sum("ocorrencias")).first()[0]
+        assert stored == metrics.filter(F.col("fonte") == name).first()["quantidade_invalidos"]
+    for name in medallion.SILVER_ORDER:
+        plan = medallion.tagged_source(spark, settings, name, RUN_TS)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"{settings.database_bronze}.{name}[") == 1, name

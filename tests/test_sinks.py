@@ -154,3 +154,74 @@ def test_bucketed_merge_target_is_joined_without_shuffle(spark, db):
     sink.merge_into(spark, source, t, ["id"], bucket_by=(4, ["id"]))
     got = {r["id"]: r["s"] for r in spark.table(t).collect()}
     assert len(got) == 11 and got[1] == "b" and got[20] == "c" and got[2] == "a"
+
+
+def test_quarantine_knows_a_row_by_its_content(spark, db):
+    t = f"{db}.q2"
+    columns = "id int, motivo_quarentena string, batch_id string, timestamp_ingestao timestamp"
+    day = datetime(2026, 1, 1)
+    first = spark.createDataFrame([(1, "r", "a", day), (2, "r", "a", day), (2, "r", "a", day)], columns)
+    sink.append_quarantine(first, t)
+    later = datetime(2026, 1, 2)
+    again = first.union(spark.createDataFrame([(1, "r", "b", later), (3, "r", "b", later)], columns))
+    sink.append_quarantine(again, t)
+    counts = {r["id"]: r["n"] for r in spark.table(t).groupBy("id").agg(F.sum("ocorrencias").alias("n")).collect()}
+    assert counts == {1: 1, 2: 2, 3: 1}
+    # a further copy of a known row adds one occurrence, and what is there stays
+    third = again.union(spark.createDataFrame([(1, "r", "c", later), (1, "r", "c", later)], columns))
+    sink.append_quarantine(third, t)
+    sink.append_quarantine(third, t)
+    assert spark.table(t).filter("id = 1").agg(F.sum("ocorrencias")).first()[0] == 2
+    plan = sink.quarantine_rows(first, spark.table(t))._jdf.queryExecution().executedPlan().toString()
+    read = [part for part in plan.split("ReadSchema: ")[1:]]
+    assert all("motivo_quarentena" not in part.split(">")[0] for part in read)  # of the history, key and count alone
+
+
+@pytest.mark.parametrize("buckets", [None, 8])
+@pytest.mark.parametrize("step", ["staged", "half", "published"])
+def test_merge_survives_a_crash_at_each_step(spark, db, monkeypatch, buckets, step):
+    t = f"{db}.m_{step}"
+    sink.merge_into(spark, spark.range(100).selectExpr("id", "'old' AS v"), t, ["id"], key_buckets=buckets)
+    change = spark.createDataFrame([(5, "new"), (200, "new")], "id long, v string")
+    real = spark.sql
+
+    def crash(*_args, **_kw):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="crash"):
+        if step == "staged":  # the staging table is there, the target untouched
+            m.setattr(sink, "_publish" if buckets is None else "align_to_schema", crash)
+        elif step == "half":  # the overwrite had dropped the target, or its touched partitions
+            def drop(*_args, **_kw):
+                if buckets is None:
+                    real(f"DROP TABLE {t}")
+                else:
+                    parts = spark.table(t + sink.MERGE_STAGING_SUFFIX).select(sink.KEY_BUCKET).distinct().collect()
+                    for p in parts:
+                        real(f"ALTER TABLE {t} DROP IF EXISTS PARTITION ({sink.KEY_BUCKET}={p[0]})")
+                crash()
+
+            m.setattr(sink, "_publish" if buckets is None else "align_to_schema", drop)
+        else:  # published, but the staging table was not dropped
+            m.setattr(spark, "sql", lambda q, *a, **k: crash() if q.startswith("DROP TABLE") else real(q, *a, **k), raising=False)
+        sink.merge_into(spark, change, t, ["id"], key_buckets=buckets)
+    after = spark.createDataFrame([(6, "later")], "id long, v string")
+    sink.merge_into(spark, after, t, ["id"], key_buckets=buckets)
+    rows = {r["id"]: r["v"] for r in spark.table(t).collect()}
+    assert spark.table(t).count() == len(rows) == 101
+    assert rows[5] == rows[200] == "new" and rows[6] == "later" and rows[7] == "old"
+
+
+def test_merge_leaves_untouched_partitions_alone(spark, db):
+    t = f"{db}.parts"
+    sink.merge_into(spark, spark.range(200).selectExpr("cast(id AS int) AS id", "'old' AS v"), t, ["id"], key_buckets=16)
+    before = {r[0] for r in spark.table(t).select("_metadata.file_path").distinct().collect()}
+    change = spark.createDataFrame([(7, "new"), (900, "new")], "id long, v string")  # another key type
+    sink.merge_into(spark, change, t, ["id"], key_buckets=16)
+    after = {r[0] for r in spark.table(t).select("_metadata.file_path").distinct().collect()}
+    folders = {f.split("faixa_chave=")[1].split("/")[0] for f in before}
+    rewritten = {f.split("faixa_chave=")[1].split("/")[0] for f in before ^ after}
+    assert len(folders) == 16 and 1 <= len(rewritten) <= 2
+    assert spark.table(t).count() == 201 and spark.table(t).filter("v = 'new'").count() == 2
+    sink.merge_into(spark, change.limit(0), t, ["id"], key_buckets=16)
+    assert {r[0] for r in spark.table(t).select("_metadata.file_path").distinct().collect()} == after

@@ -100,3 +100,53 @@ def test_uniform_header_mode_reads_one_header(spark, scratch):
     assert rows == [("1", "10"), ("2", "20")]
     explicit = read_raw(spark, str(src), header=["id", "valor"])
     assert explicit.count() == 2
+
+
+def test_quoted_header_and_names_that_need_care(spark, scratch):
+    src = scratch / "pasta com espaço +[1]"
+    write(src, "a b.csv", '"id","nome, completo"\n1,"Ana, Maria"\n')
+    write(src, "c+%2[0]{x}.csv", '\n"nome, completo" ,"id"\nJo,2\n')
+    write(src, "vazio.csv", "")
+    rows = read_raw(spark, str(src).replace("[", "\\[").replace("]", "\\]")).collect()
+    assert sorted((r["id"], r["nome, completo"], r["_meta_name"]) for r in rows) == [
+        ("1", "Ana, Maria", "a b.csv"),
+        ("2", "Jo", "c+%2[0]{x}.csv"),
+    ]
+    assert all(r["_registro_corrompido"] is None for r in rows)
+    listed = {r["path"] for r in list_files(spark, str(scratch) + "/pasta*").collect()}
+    assert {r["_meta_path"] for r in rows} == listed  # Spark lists no empty file
+
+
+def test_headers_are_cut_as_spark_cuts_them(spark):
+    from stratum.sources.raw import header_columns
+
+    assert header_columns(spark, '﻿id; "a;b" ;;id', ";") == ["id0", "a;b", "_c2", "id3"]
+
+
+def test_rows_with_missing_or_extra_fields_are_kept_whole(spark, scratch):
+    src = scratch / "ragged"
+    write(src, "a.csv", "id,valor,uf\n1,10,SP\n2,20\n3,30,RJ,x\n")
+    rows = {r["id"]: r["_registro_corrompido"] for r in read_raw(spark, str(src)).collect()}
+    assert rows == {"1": None, "2": "2,20", "3": "3,30,RJ,x"}
+
+
+def test_uniform_header_fails_on_another_header(spark, scratch):
+    import pytest
+
+    src = scratch / "swapped"
+    write(src, "a.csv", "id,v\n10,20\n")
+    write(src, "b.csv", "v,id\n20,10\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(src), uniform_header=True).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(src), header=["id", "v"]).collect()
+    assert sorted((r["id"], r["v"]) for r in read_raw(spark, str(src)).collect()) == [("10", "20"), ("10", "20")]
+
+
+def test_files_are_read_once(spark, scratch):
+    src = scratch / "once"
+    write(src, "a.csv", "id,v\n1,2\n")
+    write(src, "b.csv", "id,v,w\n1,2,3\n")
+    plan = read_raw(spark, str(src))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("InMemoryFileIndex(1 paths)") == 2  # one file each, no text scan
+    assert "FileScan text" not in plan
