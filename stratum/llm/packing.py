@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 PIECES = "doc_id long, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long"
+CHECKED = PIECES.replace("ids array<int>", "ids_crc32 long")
 
 
 class CapacityTree:
@@ -204,6 +205,7 @@ def pack(
     end_id: int = 2,
     pool: int = 16384,
     cached_words: int = 700_000,
+    checksums: bool = False,
 ) -> DataFrame:
     """Pack every document into sequences of at most ``size`` tokens.
 
@@ -211,7 +213,9 @@ def pack(
     offset``.  A document's tokens are those of its text followed by
     ``end_id``; documents over ``size`` tokens are cut into full windows and a
     rest.  Pieces of up to ``pool`` documents are packed together, which bounds
-    a task's memory whatever the size of its partition.
+    a task's memory whatever the size of its partition.  With ``checksums`` a
+    piece has ``ids_crc32``, the CRC-32 of its ids as little-endian unsigned
+    32-bit numbers, in place of ``ids``, which then don't leave the task.
 
     A null or empty text is the end token alone.  Repeated rows and null ids
     are packed like any other row; an empty table gives no rows.  Other columns
@@ -219,6 +223,8 @@ def pack(
     window part empty.
     """
 
+    schema = CHECKED if checksums else PIECES
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = chunk_tokens(tokenizer_path, cached_words)
         first = TaskContext.get().partitionId() << 40
@@ -234,18 +240,22 @@ def pack(
             for i in range(0, len(pieces), step):
                 part, where = pieces[i : i + step], placed[i : i + step]
                 lengths = np.array([len(p[2]) for p in part], np.int64)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                if checksums:
+                    ids = pa.array([zlib.crc32(p[2].astype("<u4").tobytes()) for p in part], pa.int64())
+                else:
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                    ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([p[2] for p in part])))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([p[0] for p in part], pa.int64()),
                         pa.array([p[1] for p in part], pa.int64()),
                         pa.array(lengths),
-                        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([p[2] for p in part]))),
+                        ids,
                         pa.array([p[3] for p in part], pa.int64()),
                         pa.array([base + w for w, _ in where], pa.int64()),
                         pa.array([o for _, o in where], pa.int64()),
                     ],
-                    names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
+                    names=[field.split()[0] for field in schema.split(", ")],
                 )
 
         for batch in batches:
@@ -261,7 +271,7 @@ def pack(
             yield from flush()
 
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return narrow.mapInArrow(run, PIECES)
+    return narrow.mapInArrow(run, schema)
 
 
 def piece_checksums(pieces: DataFrame) -> DataFrame:

@@ -156,10 +156,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens; one row per piece."""
     import public_tokenizers
 
-    from stratum.llm.packing import pack, piece_checksums
+    from stratum.llm.packing import pack
 
     docs = table(spark, sf_dir, "documents")
-    return piece_checksums(pack(docs, str(public_tokenizers.path("word_bpe_49k.json"))))
+    return pack(docs, str(public_tokenizers.path("word_bpe_49k.json")), checksums=True)
 
 
 @query

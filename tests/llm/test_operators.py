@@ -639,7 +639,9 @@ def test_packing_round_trip(docs, nothing):
         assert {r.doc_tokens for r in got} == {len(want)}
     sums = {(r.doc_id, r.start): r.ids_crc32 for r in piece_checksums(pieces).collect()}
     assert all(sums[r.doc_id, r.start] == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in rows)
-    assert pack(nothing, path).count() == 0
+    direct = pack(docs, path, size=256, pool=7, checksums=True)
+    assert Counter(map(tuple, direct.collect())) == Counter(map(tuple, piece_checksums(pieces).select(*direct.columns).collect()))
+    assert pack(nothing, path).count() == pack(nothing, path, checksums=True).count() == 0
 
     pick = random.Random(4)
     lengths = [pick.randrange(1, 65) for _ in range(400)]
