@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from stratum.llm.common import MIX_A, MIX_B, MIX_C, WordHashes, ascii_words, mix, stored
+from stratum.llm.common import MIX_A, MIX_B, MIX_C, WordHashes, ascii_words, discard, mix, stored
 from stratum.llm.components import connected_components
 
 
@@ -251,27 +251,54 @@ def star_pairs(members: DataFrame, salt: int) -> DataFrame:
 
 
 PAIRS = "key long, u long, v long, later boolean, score double"
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # columns of PAIRS
+
+
+class Tiles(NamedTuple):
+    """Members of whole tiles, a tile's in a row."""
+
+    key: np.ndarray
+    block: np.ndarray
+    ids: np.ndarray
+    label: np.ndarray
+    size: np.ndarray
+    bits: list[np.ndarray]
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Tiles:
+        numbers = (table.column(n).to_numpy() for n in ("key", "block", "class_id", "label", "size"))
+        return cls(*numbers, [np.frombuffer(x, np.uint8) for x in table.column("bitmap").to_pylist()])
+
+    def pairs_of_two(self, first: np.ndarray, t: Threshold, nearest: bool) -> Found:
+        """Pairs of the tiles with two members, which start at ``first``; all of them at once."""
+        u, v = first, first + 1
+        rank_u, rank_v = np.where(self.block[u] != self.block[v], (self.block[u], self.block[v]), (self.ids[u], self.ids[v]))
+        u, v = np.where(rank_u < rank_v, (v, u), (u, v))
+        small, large = np.minimum(self.size[u], self.size[v]), np.maximum(self.size[u], self.size[v])
+        open_ = (self.label[u] != self.label[v]) & (t.out_of * small >= t.of * large)
+        u, v = u[open_], v[open_]
+        width = np.array([min(len(self.bits[i]), len(self.bits[j])) for i, j in zip(u, v, strict=True)], np.int64)
+        bound = np.empty(len(u), np.int64)
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            a = np.stack([folded(self.bits[i], w) for i in u[at]])
+            b = np.stack([folded(self.bits[i], w) for i in v[at]])
+            bound[at] = overlap_bound(a, b, self.size[u[at]], self.size[v[at]])
+        sizes = self.size[u] + self.size[v]
+        fits = t.holds(bound, sizes)
+        u, v, score = u[fits], v[fits], (bound / np.maximum(sizes - bound, 1))[fits]
+        key, n = self.key[u], len(u)
+        if nearest:
+            u, v, key, score = np.append(u, v), np.append(v, u), np.append(key, key), np.append(score, score)
+        return key, self.ids[u], self.ids[v], np.arange(len(u)) >= n, score
 
-
-def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int, nearest: bool = False) -> DataFrame:
-    """``key, u, v, later, score``: pairs of classes of one tile with different labels that the bitmap bound admits.
-
-    All of them, or with ``nearest`` each class's partner of the best bound
-    among the earlier ones and among the later ones (``later``), so that a tile
-    has at most two pairs a member.  A tile without a row has no link left.  A
-    tile with more than ``block`` members is cut into blocks, and each two
-    blocks meet in a task of their own.
-    """
-
-    def run(table: pa.Table) -> pa.Table:
-        label, ids = table.column("label").to_numpy(), table.column("class_id").to_numpy()
-        side = table.column("block").to_numpy()
-        raw = [np.frombuffer(x, np.uint8) for x in table.column("bitmap").to_pylist()]
-        size = table.column("size").to_numpy()
+    def pairs_of_tile(self, start: int, stop: int, t: Threshold, nearest: bool) -> Found:
+        """Pairs of one tile of any size."""
+        label, ids, size = self.label[start:stop], self.ids[start:stop], self.size[start:stop]
+        side, raw = self.block[start:stop], self.bits[start:stop]
         width = min(map(len, raw))
         bits = np.stack([folded(x, width) for x in raw])
-        crossed = side.max() != side.min()
-        rank = side if crossed else ids
+        rank = side if side.max() != side.min() else ids
         out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0))]
         best, partner = np.full(len(ids), -1.0), np.zeros(len(ids), np.int64)
         for i in range(len(ids)):
@@ -291,8 +318,51 @@ def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int, ne
             met = best >= 0
             out.append((ids[met], partner[met], np.ones(met.sum(), bool), best[met]))
         u, v, later, score = (np.concatenate(column) for column in zip(*out, strict=True))
-        key = np.full(len(u), table.column("key")[0].as_py(), np.int64)
-        return pa.table({"key": key, "u": u, "v": v, "later": later, "score": score})
+        return np.full(len(u), self.key[start]), u, v, later, score
+
+
+def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int, nearest: bool = False) -> DataFrame:
+    """``key, u, v, later, score``: pairs of classes of one tile with different labels that the bitmap bound admits.
+
+    All of them, or with ``nearest`` each class's partner of the best bound
+    among the earlier ones and among the later ones (``later``), so that a tile
+    has at most two pairs a member.  A tile without a row has no link left.  A
+    tile with more than ``block`` members is cut into blocks, and each two
+    blocks meet on their own.  Tiles stream through a task in order of key;
+    what it holds is one batch and the rest of a tile, two blocks at most.
+    """
+    names = [field.split()[0] for field in PAIRS.split(", ")]
+
+    def pairs(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        tiles, ends = Tiles.of(table), np.append(starts[1:], len(table))
+        out = [tiles.pairs_of_two(starts[ends - starts == 2], t, nearest)]
+        for start, end in zip(starts[ends - starts > 2], ends[ends - starts > 2], strict=True):
+            out.append(tiles.pairs_of_tile(start, end, t, nearest))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(column)) for column in zip(*out, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(pa.Table.from_batches([batch]))
+            # a batch of one tile only adds to what is held
+            tile = [batch.column(n).to_numpy() for n in ("key", "low", "high")]
+            last = tuple(held[0].column(n)[0].as_py() for n in ("key", "low", "high"))
+            if all(c[0] == c[-1] == k for c, k in zip(tile, last, strict=True)):
+                continue
+            table = pa.concat_tables(held)
+            starts = tile_starts(table)
+            yield pairs(table.slice(0, int(starts[-1])), starts[:-1])
+            held = [table.slice(int(starts[-1]))]
+        if held:
+            table = pa.concat_tables(held)
+            yield pairs(table, tile_starts(table))
+
+    def tile_starts(table: pa.Table) -> np.ndarray:
+        columns = [table.column(n).to_numpy() for n in ("key", "low", "high")]
+        changed = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        return np.flatnonzero(np.append(True, changed))
 
     blocks = F.ceil(F.count("*").over(Window.partitionBy("key")) / block)
     own = F.pmod(F.xxhash64("class_id"), "blocks")
@@ -301,8 +371,9 @@ def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int, ne
         "key", "class_id", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     ).select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     bits = sets.select("class_id", "bitmap", (F.octet_length("shingles") / 8).cast("long").alias("size"))
-    grouped = met.join(bits, "class_id").groupBy("key", "low", "high")
-    return grouped.applyInArrow(run, PAIRS)
+    tile = ["key", "low", "high"]
+    dealt = met.join(bits, "class_id").select(*tile, "block", "class_id", "label", "size", "bitmap")
+    return dealt.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(run, PAIRS)
 
 
 def nearest_pairs(near: DataFrame) -> DataFrame:
@@ -365,6 +436,10 @@ def ngram_components(
         .select("key", "class_id")
     )
     members = stored(members, "ngram-tiles", settle=2)
+    # the tiles of all classes are the larger part of the profiles; few of them are needed again
+    slim = stored(profiles.drop("tiles"), "ngram-profiles", release=False)
+    discard(profiles)
+    profiles, classes = slim, slim.dropna(subset=["class_id"]).groupBy("class_id")
     reps = stored(classes.agg(F.min("doc_id").alias("rep")), "ngram-classes")
     wanted = reps.join(members.select("class_id").distinct(), "class_id", "left_semi").select("rep").distinct()
     texts = rows.select("doc_id", "text").join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
@@ -391,6 +466,7 @@ def ngram_components(
     least = labelled.groupBy("group").agg(F.min("rep").alias("component_id"))
     by_class = labelled.join(least, "group").select("class_id", "component_id", F.col("group").alias("group_id"))
     by_class = stored(by_class, "ngram-components")
+    discard(sets)
     joined = profiles.select("doc_id", "n_shingles", "class_id", *carry).join(by_class, "class_id", "left")
     return joined.select(
         "doc_id",
