@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.settings import SCD_CURRENT, SCD_END, SCD_START
@@ -166,6 +166,61 @@ def scd2_apply(
     return joined.select(F.inline(rows))
 
 
+def scd2_event_time(
+    existing: DataFrame | None,
+    changes: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str],
+    at: str,
+    run_ts: datetime,
+    order_by: Sequence[str] = (),
+    deleted: Column | None = None,
+    start: str = SCD_START,
+    end: str = SCD_END,
+    current: str = SCD_CURRENT,
+    ts_type: str = "timestamp",
+) -> DataFrame:
+    """All versions after a load whose rows are told apart by event time, several of a key at once.
+
+    Every version in ``existing`` and every row of ``changes`` is an event at
+    its start, respectively at ``at`` (``run_ts`` where that is NULL); a closed
+    version also ends at its end, and a row for which ``deleted`` holds ends
+    what it meets.  Of a key's events at one time the load's count more than
+    the table's, and among them the last by ``order_by``.  Neighbours equal in
+    ``compare`` (null-safe) are one version, which keeps the first one's row,
+    and each version ends where the next event is.  A late row thus splits the
+    version it falls into and history is put right, not only the end of it.
+
+    ``existing`` has the columns of ``changes`` and the validity columns.
+    The same load again changes nothing.  NULL keys are one key.  One shuffle
+    by key; the result replaces the table (``sinks.commit_state``).
+    """
+    data = [c for c in changes.columns if c not in {start, end, current}]
+    rank = F.struct(*[_q(c) for c in (*order_by, *compare)])  # a total order of what is compared
+    gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
+    ts = F.coalesce(_q(at).cast(ts_type), ts_literal(run_ts, ts_type))
+
+    def events(df: DataFrame, when: Column, priority: int, ends: Column) -> DataFrame:
+        return df.select(*[_q(c) for c in data], when.alias("__at"), F.lit(priority).alias("__prio"), rank.alias("__rank"), ends.alias("__gone"))
+
+    found = events(changes, ts, 2, gone)
+    if existing is not None:
+        same = existing.select(*[_q(c).cast(changes.schema[c].dataType).alias(c) for c in data], _q(start), _q(end))
+        opened = events(same, _q(start), 1, F.lit(False))
+        closed = events(same.filter(_q(end).isNotNull()), _q(end), 0, F.lit(True))
+        found = found.unionByName(opened).unionByName(closed)
+    by_time = Window.partitionBy(*[_q(k) for k in keys]).orderBy("__at", "__prio", "__rank")
+    last = found.withColumn("__next", F.lead("__at").over(by_time)).filter(~F.col("__next").eqNullSafe(F.col("__at")))
+    said = F.when(~F.col("__gone"), F.struct(*[_q(c) for c in compare]))
+    told = last.withColumn("__said", said)
+    first = F.row_number().over(by_time) == 1
+    heads = told.withColumn("__head", first | ~F.lag("__said").over(by_time).eqNullSafe(F.col("__said"))).filter("__head")
+    versions = heads.withColumn(end, F.lead("__at").over(by_time)).filter(~F.col("__gone"))
+    return versions.select(
+        *[_q(c) for c in data], F.col("__at").alias(start), _q(end), _q(end).isNull().alias(current)
+    )
+
+
 def scd2_first_load(
     source: DataFrame, run_ts: datetime, start: str = SCD_START, end: str = SCD_END, current: str = SCD_CURRENT, ts_type: str = "timestamp"
 ) -> DataFrame:

@@ -498,6 +498,55 @@ def q_ledger_status(spark, sf):
     return _ledger(spark, sf)
 
 
+# Orders as changes of their customer: the urgent half is loaded first, the rest
+# (most of it late) second.  A pending order deletes, others set the status and
+# priority from their date on.
+_EVENT_LOAD_SQL = "SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS em, 2 AS prio, o_orderstatus = 'P' AS gone FROM orders WHERE o_orderpriority {which} ('1-URGENT', '2-HIGH')"
+
+
+def _islands_sql(events: str) -> str:
+    w = "OVER (PARTITION BY o_custkey ORDER BY em, prio, o_orderkey, o_orderstatus, o_orderpriority)"
+    said = "CASE WHEN NOT gone THEN o_orderstatus || '|' || o_orderpriority END"
+    return f"""(SELECT * FROM (
+  SELECT *, lead(em) {w} AS fim FROM (
+    SELECT * FROM (
+      SELECT *, row_number() {w} AS n, lag({said}) {w} AS before FROM (
+        SELECT * FROM (SELECT *, lead(em) {w} AS next_at FROM ({events})) WHERE next_at IS NULL OR next_at <> em))
+    WHERE n = 1 OR before IS DISTINCT FROM {said})) WHERE NOT gone)"""
+
+
+_FIRST_ISLANDS = _islands_sql(_EVENT_LOAD_SQL.format(which="IN"))
+_SECOND_EVENTS = f"""{_EVENT_LOAD_SQL.format(which="NOT IN")}
+  UNION ALL SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderkey, em, 1, FALSE FROM v1
+  UNION ALL SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderkey, fim, 0, TRUE FROM v1 WHERE fim IS NOT NULL"""
+
+
+@register(
+    "scd2_event_time",
+    f"WITH v1 AS (SELECT * FROM {_FIRST_ISLANDS}) "
+    "SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderkey, em AS data_inicio_vigencia, fim AS data_fim_vigencia, fim IS NULL AS registro_atual "
+    f"FROM {_islands_sql(_SECOND_EVENTS)}",
+)
+def q_scd2_event_time(spark, sf):
+    """Two loads of dated changes, with late rows, deletes and many versions of a key at once."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderkey", "o_orderdate")
+    first = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    versions = None
+    for load in (o.filter(first), o.filter(~first)):
+        versions = upsert.scd2_event_time(
+            versions,
+            load,
+            ["o_custkey"],
+            ["o_orderstatus", "o_orderpriority"],
+            "o_orderdate",
+            RUN_TS,
+            order_by=["o_orderkey"],
+            deleted=F.col("o_orderstatus") == "P",
+            ts_type=TS,
+        )
+    return versions.drop("o_orderdate")
+
+
 # Files by order: all were listed once; what became of each follows from the order's
 # status and priority, so that every place and every status occurs.
 _RECONCILE_SQL = f"""WITH o AS (

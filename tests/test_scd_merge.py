@@ -1,6 +1,6 @@
 """SCD2 and MERGE transforms (the original unit tests, plus invariants)."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -105,3 +105,55 @@ def test_scd2_effective_from_and_delete(spark):
         (1, "a", False, datetime(2026, 1, 5), datetime(2026, 2, 3)),
         (2, "b", False, datetime(2026, 1, 6), datetime(2026, 2, 4)),
     ]
+
+
+# ---------------------------------------------------------------- versions by event time
+
+EVENTS = "id int, v string, seq int, em timestamp, op string"
+
+
+def versions_of(df):
+    days = lambda t: t and (t - datetime(2026, 1, 1)).days
+    rows = [(r["id"], r["v"], days(r["data_inicio_vigencia"]), days(r["data_fim_vigencia"]), r["registro_atual"]) for r in df.collect()]
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+
+
+def load(spark, existing, rows):
+    from stratum.operators.upsert import scd2_event_time
+
+    day = lambda n: None if n is None else datetime(2026, 1, 1) + timedelta(days=n)
+    changes = spark.createDataFrame([(i, v, seq, day(n), op) for seq, (i, v, n, op) in enumerate(rows)], EVENTS)
+    run_ts = datetime(2026, 2, 1)
+    return scd2_event_time(existing, changes, ["id"], ["v"], "em", run_ts, order_by=["seq"], deleted=F.col("op") == "D")
+
+
+def test_insert_updates_and_delete_of_one_key_in_one_load(spark):
+    out = load(spark, None, [(1, "a", 1, "I"), (1, "b", 3, "U"), (1, "c", 5, "U"), (1, "c", 9, "D"), (2, None, 4, "I")])
+    assert versions_of(out) == [(1, "a", 1, 3, False), (1, "b", 3, 5, False), (1, "c", 5, 9, False), (2, None, 4, None, True)]
+
+
+def test_late_rows_go_into_history(spark):
+    first = load(spark, None, [(1, "a", 1, "I"), (1, "c", 10, "U"), (2, "x", 1, "I"), (2, "x", 5, "D")])
+    late = [(1, "b", 4, "U"), (1, "z", 0, "I"), (2, "y", 3, "U"), (2, "w", 8, "I")]
+    second = load(spark, first, late)
+    expected = [
+        (1, "z", 0, 1, False), (1, "a", 1, 4, False), (1, "b", 4, 10, False), (1, "c", 10, None, True),
+        (2, "x", 1, 3, False), (2, "y", 3, 5, False), (2, "w", 8, None, True),
+    ]
+    assert versions_of(second) == expected
+    assert versions_of(load(spark, second, late)) == expected  # the same load again
+
+
+def test_equal_neighbours_ties_and_null_keys(spark):
+    rows = [(1, "a", 1, "I"), (1, "a", 2, "U"), (1, None, 3, "U"), (1, None, 4, "U"), (1, "b", 4, "U"), (1, "c", 4, "U")]
+    rows += [(None, "n", 1, "I"), (None, "m", None, "U"), (3, "d", 2, "D")]
+    assert versions_of(load(spark, None, rows)) == [
+        (1, "a", 1, 3, False), (1, None, 3, 4, False), (1, "c", 4, None, True),
+        (None, "n", 1, 31, False), (None, "m", 31, None, True),
+    ]
+    assert versions_of(load(spark, None, [])) == []
+
+
+def test_versions_by_event_time_shuffle_once(spark):
+    plan = load(spark, None, [(1, "a", 1, "I")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
