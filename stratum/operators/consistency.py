@@ -6,7 +6,9 @@ a quarantine, a report or a data-quality check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Violation codes of the consistency rules.
@@ -65,3 +67,110 @@ def reject_rate_alerts(metrics: DataFrame, max_reject_rate: float = 0.05) -> Dat
         "quantidade_invalidos",
         "data_processamento",
     ).filter(F.col("alerta").isNotNull())
+
+
+# Codes of the monitoring alerts, with the two above.
+RUN_FAILED = "FALHA_EXECUCAO"
+TIME_EXCEEDED = "TEMPO_EXCEDIDO"
+ABNORMAL_VOLUME = "VOLUME_ANORMAL"
+BROKEN_INTEGRITY = "INTEGRIDADE_QUEBRADA"
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _median(values: Column) -> Column:
+    """Median of an array of doubles without nulls; NULL for an empty one."""
+    low, high = F.floor((F.size(values) - 1) / 2).cast("int"), F.floor(F.size(values) / 2).cast("int")
+    return _bound(F.sort_array(values), lambda v: (F.get(v, low) + F.get(v, high)) / 2)
+
+
+def _robust(values: Column) -> Column:
+    """Median and median absolute deviation of an array of doubles."""
+
+    def deviation(middle: Column) -> Column:
+        off = F.transform(values, lambda x: F.abs(x - middle))
+        return F.struct(middle.alias("referencia"), _median(off).alias("desvio"))
+
+    return _bound(_median(values), deviation)
+
+
+def volume_baseline(metrics: DataFrame, days: int = 28) -> DataFrame:
+    """``metrics`` with the median and the median absolute deviation of the source's earlier loads.
+
+    ``referencia`` and ``desvio`` are of ``quantidade_entrada`` over the loads
+    of the ``days`` before (a range frame, so uneven schedules are right), and
+    ``cargas_anteriores`` how many these are.  One outlier moves neither.
+    """
+    seconds = F.unix_seconds(F.col("data_processamento").cast("timestamp"))
+    frame = Window.partitionBy("fonte").orderBy("__s").rangeBetween(-days * 86400, -1)
+    earlier = metrics.withColumn("__s", seconds).withColumn(
+        "__earlier", F.collect_list(F.col("quantidade_entrada").cast("double")).over(frame)
+    )
+    return (
+        earlier.withColumn("__robust", _robust(F.col("__earlier")))
+        .withColumns({"referencia": F.col("__robust.referencia"), "desvio": F.col("__robust.desvio")})
+        .withColumn("cargas_anteriores", F.size("__earlier"))
+        .drop("__s", "__earlier", "__robust")
+    )
+
+
+def monitoring_alerts(
+    metrics: DataFrame,
+    runs: DataFrame,
+    checks: DataFrame,
+    *,
+    max_reject_rate: float = 0.05,
+    max_seconds: float = 3600,
+    deviations: float = 5.0,
+    least_share: float = 0.1,
+    least_loads: int = 5,
+    days: int = 28,
+) -> DataFrame:
+    """``alerta, objeto, momento, valor, referencia``: all alerts over the run history.
+
+    From the quality metrics: an empty load, a reject rate above
+    ``max_reject_rate``, and a volume off its baseline by more than
+    ``deviations`` times the median deviation, ``least_share`` of the median at
+    least, once ``least_loads`` loads precede it.  From the run log: a run that
+    failed, and one longer than ``max_seconds``.  From the quality gate: a
+    referential check that did not pass.
+    """
+    base = volume_baseline(metrics, days)
+    volume, rate = F.col("quantidade_entrada").cast("double"), F.col("quantidade_invalidos") / F.col("quantidade_entrada")
+    allowed = F.greatest(F.lit(deviations) * F.col("desvio"), F.lit(least_share) * F.col("referencia"))
+    abnormal = (F.col("cargas_anteriores") >= least_loads) & (F.abs(volume - F.col("referencia")) > allowed)
+
+    def rows(df: DataFrame, code: str, where: Column, thing: str, moment: str, value: Column, reference: Column) -> DataFrame:
+        return df.filter(where).select(
+            F.lit(code).alias("alerta"),
+            F.col(thing).alias("objeto"),
+            F.col(moment).alias("momento"),
+            value.cast("double").alias("valor"),
+            reference.cast("double").alias("referencia"),
+        )
+
+    nothing = F.lit(None)
+    load = ("fonte", "data_processamento")
+    alerts = [
+        rows(base, EMPTY_LOAD, F.col("quantidade_entrada") == 0, *load, volume, nothing),
+        rows(base, HIGH_REJECT_RATE, (F.col("quantidade_entrada") > 0) & (rate > max_reject_rate), *load, rate, F.lit(max_reject_rate)),
+        rows(base, ABNORMAL_VOLUME, abnormal, *load, volume, F.col("referencia")),
+        rows(runs, RUN_FAILED, ~F.col("status").eqNullSafe("SUCESSO"), "notebook", "inicio", nothing, nothing),
+        rows(runs, TIME_EXCEEDED, F.col("duracao_segundos") > max_seconds, "notebook", "inicio", F.col("duracao_segundos"), F.lit(max_seconds)),
+        rows(
+            checks,
+            BROKEN_INTEGRITY,
+            F.col("teste").startswith("Integridade") & (F.col("status") != "APROVADO"),
+            "teste",
+            "data_execucao",
+            nothing,
+            nothing,
+        ),
+    ]
+    out = alerts[0]
+    for more in alerts[1:]:
+        out = out.unionByName(more)
+    return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +42,16 @@ def with_rejection_record(df: DataFrame, rule_set: str, run_ts, source_file: str
         file_col.alias("arquivo"),
         F.to_json(F.struct(*[F.col(f"`{c}`") for c in payload_cols])).alias("registro_original"),
     )
+
+
+def rejected_fields(records: DataFrame, fields: Mapping[str, str], payload: str = "registro_original") -> DataFrame:
+    """Rejection records with the named fields of the original record, typed, in place of its JSON text.
+
+    ``fields`` maps a name to a type.  A field the record lacks, or that does
+    not fit its type, is NULL, as are all fields of a text that is not JSON.
+    """
+    record = F.try_parse_json(payload)
+    kept = [c for c in records.columns if c != payload]
+    parsed = records.select(*kept, record.alias("__record"))
+    typed = [F.try_variant_get("__record", f"$['{name}']", kind).alias(name) for name, kind in fields.items()]
+    return parsed.select(*kept, *typed)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratum.operators import consistency, metrics
+from stratum.operators import checks, consistency, metrics
 from stratum.operators.checks import union_results
-from stratum.operators.quality import with_rejection_record
+from stratum.operators.quality import rejected_fields, with_rejection_record
 from stratum.plans import driver_oracle as O
 from stratum.plans import gold
-from stratum.plans.driver_model import RUN_TS, RUN_TS_SQL, TS, Model
+from stratum.plans.driver_model import RUN_TS, RUN_TS_SQL, TS, Model, table
 from stratum.plans.registry import SUM, avg_money, register
 
 
@@ -116,10 +116,66 @@ def q_pipeline_alerts(spark, sf):
     return consistency.reject_rate_alerts(union_results(frames))
 
 
-@register("rejection_records")
-def q_rejection_records(spark, sf):
-    """Rejected refunds as rejection records (reason, rule set, date, file, payload as JSON).
+_RECORD_SQL = f"""SELECT motivo_quarentena AS motivo, 'regras_estornos' AS regra, {RUN_TS_SQL} AS data_rejeicao, CAST(NULL AS VARCHAR) AS arquivo"""
+
+# Spark's JSON of a row: fields in order, without those that are NULL
+_RECORD_JSON = """'{' || concat_ws(',', '"id_estorno":"' || id_estorno || '"', '"id_transacao":"' || id_transacao || '"',
+  '"data_estorno":"' || strftime(data_estorno, '%Y-%m-%dT%H:%M:%S.%g') || '"', '"motivo":"' || motivo || '"',
+  '"valor_estorno":' || CAST(valor_estorno AS VARCHAR)) || '}'"""
+
 
-    No oracle: the JSON payload text is engine-specific; tests check it."""
+@register(
+    "rejection_records",
+    O.with_ctes(["estornos"], f"{_RECORD_SQL}, {_RECORD_JSON} AS registro_original FROM quarantine_estornos"),
+)
+def q_rejection_records(spark, sf):
+    """Rejected refunds as rejection records (reason, rule set, date, file, payload as JSON)."""
     quarantine = Model(spark, sf).refunds()[1]
     return with_rejection_record(quarantine, "regras_estornos", RUN_TS).withColumn("data_rejeicao", F.col("data_rejeicao").cast(TS))
+
+
+@register(
+    "rejection_payload",
+    O.with_ctes(["estornos"], f"{_RECORD_SQL}, id_estorno, id_transacao, data_estorno, valor_estorno FROM quarantine_estornos"),
+)
+def q_rejection_payload(spark, sf):
+    """The original fields of rejected refunds, read back from the JSON payload."""
+    types = {"id_estorno": "string", "id_transacao": "string", "data_estorno": TS, "valor_estorno": "decimal(18,2)"}
+    return rejected_fields(q_rejection_records(spark, sf), types)
+
+
+# Loads are a type's events of an hour, of which those worth 50 or more count and
+# those worth 90 or more are rejected; runs are single events, whose value is
+# their minutes.
+_MONITORING_SQL = f"""WITH m AS (
+  SELECT event_type AS fonte, date_trunc('hour', ts) AS momento, count_if(value >= 50) AS entrada, count_if(value >= 90) AS invalidos
+  FROM events GROUP BY ALL),
+w AS (SELECT *, list(entrada::DOUBLE) OVER (PARTITION BY fonte ORDER BY epoch(momento)::BIGINT RANGE BETWEEN 2419200 PRECEDING AND 1 PRECEDING) AS antes FROM m),
+r AS (SELECT *, list_aggregate(antes, 'median') AS referencia FROM w),
+b AS (SELECT *, list_aggregate(list_transform(antes, lambda x: abs(x - referencia)), 'median') AS desvio FROM r)
+SELECT 'CARGA_VAZIA' AS alerta, fonte AS objeto, momento, entrada::DOUBLE AS valor, CAST(NULL AS DOUBLE) AS referencia FROM b WHERE entrada = 0
+UNION ALL SELECT 'ALTA_TAXA_REJEICAO', fonte, momento, invalidos / entrada, 0.05::DOUBLE FROM b WHERE entrada > 0 AND invalidos / entrada > 0.05::DOUBLE
+UNION ALL SELECT 'VOLUME_ANORMAL', fonte, momento, entrada::DOUBLE, referencia FROM b
+  WHERE len(antes) >= 5 AND abs(entrada - referencia) > greatest(3::DOUBLE * desvio, 0.1::DOUBLE * referencia)
+UNION ALL SELECT 'FALHA_EXECUCAO', event_type, ts, NULL, NULL FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'TEMPO_EXCEDIDO', event_type, ts, value * 60, 3600::DOUBLE FROM events WHERE value * 60 > 3600
+UNION ALL SELECT 'INTEGRIDADE_QUEBRADA', 'Integridade: clientes.c_custkey', {RUN_TS_SQL}, NULL, NULL
+  WHERE EXISTS (SELECT 1 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL))"""
+
+
+@register("monitoring_alerts", _MONITORING_SQL)
+def q_monitoring_alerts(spark, sf):
+    """All kinds of alerts, from a history of loads, of runs and a referential check."""
+    events = table(spark, sf, "events")
+    loads = events.groupBy(F.col("event_type").alias("fonte"), F.date_trunc("hour", "ts").cast(TS).alias("data_processamento")).agg(
+        F.count_if(F.col("value") >= 50).alias("quantidade_entrada"), F.count_if(F.col("value") >= 90).alias("quantidade_invalidos")
+    )
+    runs = events.select(
+        F.col("event_type").alias("notebook"),
+        F.when(F.col("event_type") == "error", "ERRO").otherwise("SUCESSO").alias("status"),
+        F.col("ts").cast(TS).alias("inicio"),
+        (F.col("value") * 60).alias("duracao_segundos"),
+    )
+    customers, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
+    gate = checks.check_foreign_key(customers, "clientes", "c_custkey", orders, "o_custkey", RUN_TS, TS)
+    return consistency.monitoring_alerts(loads, runs, gate, deviations=3.0)

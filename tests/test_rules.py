@@ -57,3 +57,46 @@ def test_first_reason_takes_first_match(spark):
     assert got == ["A_NULO", "B_NAO_POSITIVO", None]
     valid, invalid = split_by_null_reason(df.withColumn("motivo_quarentena", first_reason(rs)))
     assert valid.count() == 1 and invalid.count() == 2
+
+
+def test_rejected_fields_read_the_record_back(spark):
+    from stratum.operators.quality import rejected_fields
+
+    texts = ['{"a b": 5, "v": 1.50}', '{"a b": "x"}', "no json", None]
+    records = spark.createDataFrame([("m", t) for t in texts], "motivo string, registro_original string")
+    rows = rejected_fields(records, {"a b": "int", "v": "decimal(9,2)"}).collect()
+    assert [(r["a b"], r["v"] and str(r["v"])) for r in rows] == [(5, "1.50"), (None, None), (None, None), (None, None)]
+
+
+def test_volume_alerts_take_the_median_of_earlier_loads(spark):
+    from datetime import datetime, timedelta
+
+    from stratum.operators.consistency import monitoring_alerts, volume_baseline
+
+    volumes = [100, 102, 98, 100, 5000, 101, 99, 160, 0]
+    loads = spark.createDataFrame(
+        [("s", v, 10 if i == 3 else 0, datetime(2026, 1, 1) + timedelta(days=i)) for i, v in enumerate(volumes)],
+        "fonte string, quantidade_entrada bigint, quantidade_invalidos bigint, data_processamento timestamp",
+    )
+    base = volume_baseline(loads).orderBy("data_processamento").collect()
+    assert base[0]["referencia"] is None and base[0]["cargas_anteriores"] == 0
+    assert (base[5]["referencia"], base[5]["desvio"]) == (100.0, 2.0)  # the outlier moves neither
+    assert volume_baseline(loads, days=2).orderBy("data_processamento").collect()[6]["cargas_anteriores"] == 2
+    runs = spark.createDataFrame(
+        [("a", "SUCESSO", "t", 10.0), ("b", "ERRO", "t", 4000.0), ("c", None, "t", None)],
+        "notebook string, status string, inicio string, duracao_segundos double",
+    ).withColumn("inicio", F.lit(datetime(2026, 1, 9)))
+    gate = spark.createDataFrame(
+        [("Integridade: f.k", "REPROVADO"), ("Integridade: f.j", "APROVADO"), ("Campos", "REPROVADO")], "teste string, status string"
+    ).withColumn("data_execucao", F.lit(datetime(2026, 1, 9)))
+    found = sorted((r["alerta"], r["objeto"], r["valor"]) for r in monitoring_alerts(loads, runs, gate).select("alerta", "objeto", F.coalesce("valor", F.lit(-1.0)).alias("valor")).collect())
+    assert found == [
+        ("ALTA_TAXA_REJEICAO", "s", 0.1),
+        ("CARGA_VAZIA", "s", 0.0),
+        ("FALHA_EXECUCAO", "b", -1.0),
+        ("FALHA_EXECUCAO", "c", -1.0),
+        ("INTEGRIDADE_QUEBRADA", "Integridade: f.k", -1.0),
+        ("TEMPO_EXCEDIDO", "b", 4000.0),
+        ("VOLUME_ANORMAL", "s", 0.0),
+        ("VOLUME_ANORMAL", "s", 160.0),
+    ]
