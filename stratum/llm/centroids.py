@@ -197,7 +197,7 @@ def cluster_centroids(
     spark = embeddings.sparkSession
     largest = int((2**61 / max(dimensions, 1)) ** 0.5 / 2)
     vectors = whole_vectors(embeddings, id_col, vector_col, scale=scale, largest=largest)
-    vectors = stored(vectors.filter(F.size("x") == dimensions), "vectors", release=False)
+    vectors = stored(vectors.filter(F.size("x") == dimensions), "vectors")
     rank = F.sha2(F.concat(F.lit(f"{salt}:"), F.col("vec_id").cast("string")), 256)
     first = vectors.select(rank.alias("rank"), "x").orderBy(F.col("rank").asc_nulls_last(), "x").limit(clusters)
     centers: Centers = [list(row.x) for row in first.collect()]
@@ -205,10 +205,10 @@ def cluster_centroids(
     if not centers:
         return spark.createDataFrame([], schema)
     points = spread_out(centers, pivots)
-    table = stored(_with_pivot_distances(vectors, points), "pivot-distances", release=False)
+    table = stored(_with_pivot_distances(vectors, points), "pivot-distances")
     for _ in range(rounds):
         centers = _moved(table, centers, points)
-    assigned = stored(_assigned(table, centers, points), "assigned", release=False)
+    assigned = stored(_assigned(table, centers, points), "assigned")
     sums = assigned.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("total")).collect()
     inertia = {row.cluster: int(row.total) for row in sums}  # a row per centroid at most
     digests = [hashlib.sha256(",".join(map(str, center)).encode()).hexdigest() for center in centers]

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -14,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,21 +47,24 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def stored(df: DataFrame, label: str, release: bool = True, settle: float = 0.2) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
-    Cuts the lineage at a table that survives lost executors.  With
-    ``release`` the shuffle files of the finished job are given back before the
-    next begins, so a chain of stages needs the disk of its largest stage
-    instead of their sum; small tables of a loop do without.
+    Cuts the lineage at a table that survives lost executors.  The write's own
+    shuffle files go when it ends, so a chain of stages needs the disk of its
+    largest stage instead of their sum.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stratum-llm/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    if release:
-        gc.collect()
-        time.sleep(settle)  # until the events of the finished job, which hold its plan, are handled
-        spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -393,7 +393,7 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     tokens = chunks.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
     frequent = max(1, tokens // (4 * buckets))
-    counted = stored(unigram_counts(chunks, buckets, frequent), "katz-unigrams", settle=2)
+    counted = stored(unigram_counts(chunks, buckets, frequent), "katz-unigrams")
     stats = _sums(counted)
     if not len(stats):
         stats = np.zeros(DISCOUNTED + 3, np.int64)
@@ -407,10 +407,10 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     if train_docs > frequent:
         spread[int(START)] = -(-train_docs // frequent)
     spread.pop(int(END), None)
-    known_chunks = stored(with_counts(chunks, counted, buckets), "katz-chunks", settle=2)
+    known_chunks = stored(with_counts(chunks, counted, buckets), "katz-chunks")
     discard(chunks)
     discard(counted)
-    paired = stored(bigram_counts(known_chunks, unigrams, buckets, spread), "katz-bigrams", settle=2)
+    paired = stored(bigram_counts(known_chunks, unigrams, buckets, spread), "katz-bigrams")
     stats = _sums(paired)
     discount = GoodTuring.of(stats if len(stats) else np.zeros(DISCOUNTED + 1))
     sums = (

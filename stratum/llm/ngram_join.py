@@ -435,15 +435,15 @@ def ngram_components(
         .filter("least <> most")
         .select("key", "class_id")
     )
-    members = stored(members, "ngram-tiles", settle=2)
+    members = stored(members, "ngram-tiles")
     # the tiles of all classes are the larger part of the profiles; few of them are needed again
-    slim = stored(profiles.drop("tiles"), "ngram-profiles", release=False)
+    slim = stored(profiles.drop("tiles"), "ngram-profiles")
     discard(profiles)
     profiles, classes = slim, slim.dropna(subset=["class_id"]).groupBy("class_id")
     reps = stored(classes.agg(F.min("doc_id").alias("rep")), "ngram-classes")
     wanted = reps.join(members.select("class_id").distinct(), "class_id", "left_semi").select("rep").distinct()
     texts = rows.select("doc_id", "text").join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
-    sets = stored(class_sets(texts, n), "ngram-sets", settle=2)
+    sets = stored(class_sets(texts, n), "ngram-sets")
 
     links, current = None, members.withColumn("label", F.col("class_id"))
     for salt in range(star_rounds):

@@ -186,7 +186,7 @@ def whiten(
     """
     spark = embeddings.sparkSession
     vectors = whole_vectors(embeddings, id_col, vector_col, scale=scale, shift=shift)
-    vectors = stored(vectors.withColumn("length", F.size("x")), "vectors", release=False)
+    vectors = stored(vectors.withColumn("length", F.size("x")), "vectors")
     lengths = vectors.filter("length > 0").groupBy("length").count().orderBy(F.desc("count"), F.desc("length")).head(1)
     if not lengths:
         return spark.createDataFrame([], WHITENED)
