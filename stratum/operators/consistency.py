@@ -6,11 +6,13 @@ a quarantine, a report or a data-quality check.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.functions.columns import not_in_domain
+
 # Violation codes of the consistency rules.
 MISSING_TRANSACTION = "TRANSACAO_INEXISTENTE"
 REFUND_BEFORE_TRANSACTION = "ESTORNO_ANTES_DA_TRANSACAO"
@@ -25,6 +27,11 @@ def missing_parent(child: DataFrame, child_key: str, parent: DataFrame, parent_k
     return child.filter(F.col(child_key).isNotNull()).join(parents, F.col(child_key) == F.col("__pk"), "left_anti")
 
 
+def outside_domain(df: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
+    """Rows whose ``column`` is NULL or not one of ``domain`` (a status, say)."""
+    return df.filter(not_in_domain(column, domain))
+
+
 def refund_timing(refunds: DataFrame, transactions: DataFrame) -> DataFrame:
     """Refunds of unknown transactions, or dated before their transaction."""
     t = transactions.select(F.col("id_transacao").alias("__tid"), F.col("data_transacao"))
