@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -376,6 +376,19 @@ def tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int, ne
     return dealt.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(run, PAIRS)
 
 
+def stored_tile_pairs(members: DataFrame, sets: DataFrame, t: Threshold, block: int, slices: int) -> DataFrame:
+    """The nearest ``tile_pairs`` of all tiles, a slice of the tiles after the other.
+
+    Each member takes its class's bitmap to each of its tiles; the shuffle
+    files of a slice go before the next slice's are written.
+    """
+    slice_of = F.pmod(F.xxhash64("key"), F.lit(slices))
+    parts = [
+        stored(tile_pairs(members.filter(slice_of == i), sets, t, block, nearest=True), "ngram-near") for i in range(slices)
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 def nearest_pairs(near: DataFrame) -> DataFrame:
     """(u, v): over all tiles, each class's best earlier and best later partner."""
     best = near.groupBy("u", "later").agg(F.max(F.struct("score", "v")).alias("best"))
@@ -406,6 +419,7 @@ def ngram_components(
     star_rounds: int = 1,
     nearest_rounds: int = 2,
     block: int = 2048,
+    slices: int = 4,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id, group_id`` and ``carry`` per row of ``docs``.
@@ -451,7 +465,7 @@ def ngram_components(
         links = found if links is None else links.union(found)
         current = stored(_labelled(members, links), "ngram-open")
     for _ in range(nearest_rounds):
-        near = stored(tile_pairs(current, sets, t, block, nearest=True), "ngram-near")
+        near = stored_tile_pairs(current, sets, t, block, slices)
         found = stored(verified(nearest_pairs(near), sets, t), "ngram-links")
         links = found if links is None else links.union(found)
         members = members.join(near.select("key").distinct(), "key", "left_semi")
