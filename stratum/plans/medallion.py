@@ -329,10 +329,7 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     )
     present = {n for n, ok in exists if ok}
 
-    def tab(name):
-        return spark.table(name) if name in present else None
-
-    # count-based checks of a table share one scan (fused aggregation)
+    # all checks of the present tables share one scan a table and one keyed aggregate
     not_empty = {t("silver", n) for n in ("clientes", "contas", "cartoes", "transacoes")} | {t("gold", n) for n in ("dim_clientes", "dim_contas", "fato_transacoes")}
     required = {
         t("silver", "transacoes"): ["id_transacao", "id_cartao", "id_conta", "data_transacao", "valor"],
@@ -346,8 +343,24 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
     domains = {t("gold", "fato_eventos_risco"): [("Severidades possuem domínio válido", "severidade", SEVERITIES)]}
     missing_rows = []  # a check on a missing table fails with a fixed detail
     gone = "A tabela não existe."
-    for name in sorted(not_empty | set(required) | set(positive) | set(domains)):
+    unique = {t("silver", name): [key] for name, (key, _) in SILVER_ORDER.items()} | {
+        t("gold", "fato_transacoes"): ["id_transacao"],
+        t("gold", "fato_eventos_risco"): ["id_evento"],
+        t("gold", "fato_estornos"): ["id_estorno"],
+    }
+    foreign = {
+        t("gold", "fato_transacoes"): [
+            ("id_cliente", t("gold", "dim_clientes"), "id_cliente"),
+            ("id_conta", t("gold", "dim_contas"), "id_conta"),
+        ],
+        t("gold", "fato_eventos_risco"): [("id_transacao", t("gold", "fato_transacoes"), "id_transacao")],
+        t("gold", "fato_estornos"): [("id_transacao", t("gold", "fato_transacoes"), "id_transacao")],
+    }
+    tables = {}
+    for name in sorted(not_empty | set(required) | set(positive) | set(domains) | set(unique)):
         if name not in present:
+            if name in unique:
+                missing_rows.append((f"Sem duplicidade: {name}", CHECK_FAILED, gone, run_ts))
             if name in not_empty:
                 missing_rows.append((f"Tabela possui registros: {name}", CHECK_FAILED, gone, run_ts))
             if name in required:
@@ -355,46 +368,25 @@ def run_checks(spark: SparkSession, settings: Settings, run_ts: datetime | None
             for test, *_ in positive.get(name, []) + domains.get(name, []):
                 missing_rows.append((test, CHECK_FAILED, gone, run_ts))
             continue
-        df = tab(name)
+        df = spark.table(name)
         absent = [c for c in required.get(name, []) if c not in df.columns]
         if absent:
             results.append(checks.check_required(df, name, required[name], run_ts))
-        results.append(
-            checks.fused_checks(
-                df,
-                name,
-                run_ts,
-                not_empty=name in not_empty,
-                required=[] if absent else required.get(name, []),
-                positive=positive.get(name, []),
-                domains=domains.get(name, []),
-            )
+        tables[name] = checks.TableChecks(
+            df,
+            not_empty=name in not_empty,
+            required=[] if absent else required.get(name, []),
+            positive=positive.get(name, []),
+            domains=domains.get(name, []),
+            unique=unique.get(name, []),
+            foreign=[key for key in foreign.get(name, []) if key[1] in present],
         )
-    for name, keys in [
-        (t("silver", "clientes"), ["id_cliente"]),
-        (t("silver", "contas"), ["id_conta"]),
-        (t("silver", "cartoes"), ["id_cartao"]),
-        (t("silver", "transacoes"), ["id_transacao"]),
-        (t("silver", "eventos_risco"), ["id_evento"]),
-        (t("silver", "estornos"), ["id_estorno"]),
-        (t("gold", "fato_transacoes"), ["id_transacao"]),
-        (t("gold", "fato_eventos_risco"), ["id_evento"]),
-        (t("gold", "fato_estornos"), ["id_estorno"]),
-    ]:
-        if name in present:
-            results.append(checks.check_unique(tab(name), name, keys, run_ts))
-        else:
-            missing_rows.append((f"Sem duplicidade: {name}", CHECK_FAILED, gone, run_ts))
-    for fact, col, dim, dcol in [
-        (t("gold", "fato_transacoes"), "id_cliente", t("gold", "dim_clientes"), "id_cliente"),
-        (t("gold", "fato_transacoes"), "id_conta", t("gold", "dim_contas"), "id_conta"),
-        (t("gold", "fato_eventos_risco"), "id_transacao", t("gold", "fato_transacoes"), "id_transacao"),
-        (t("gold", "fato_estornos"), "id_transacao", t("gold", "fato_transacoes"), "id_transacao"),
-    ]:
-        if fact in present and dim in present:
-            results.append(checks.check_foreign_key(tab(fact), fact, col, tab(dim), dcol, run_ts))
-        else:
-            missing_rows.append((f"Integridade: {fact}.{col}", CHECK_FAILED, "Tabela fato ou dimensão não existe.", run_ts))
+    for fact, keys in foreign.items():
+        for column, dim, _ in keys:
+            if not {fact, dim} <= present:
+                missing_rows.append((f"Integridade: {fact}.{column}", CHECK_FAILED, "Tabela fato ou dimensão não existe.", run_ts))
+    if tables:
+        results.append(checks.keyed_checks(tables, run_ts))
     if missing_rows:
         results.append(spark.createDataFrame(missing_rows, checks.RESULT_SCHEMA))
     out = checks.union_results(results)

@@ -714,16 +714,14 @@ _DQ_NOT_EMPTY = (
 )
 def q_dq_report(spark, sf):
     m = Model(spark, sf)
-    tx = m.transactions()[0]
-    return checks.union_results(
-        [
-            checks.check_not_empty(m.fact_transactions(), "ouro.fato_transacoes", RUN_TS, TS),
-            checks.check_required(tx, "prata.transacoes", _REQ_COLS, RUN_TS, TS),
-            checks.check_foreign_key(m.fact_risk(), "ouro.fato_eventos_risco", "id_cliente", m.dim_clients(), "id_cliente", RUN_TS, TS),
-            checks.check_positive(m.refunds()[0], "Estornos possuem valor positivo", "valor_estorno", RUN_TS, TS),
-            checks.check_unique(tx, "prata.transacoes", ["id_transacao"], RUN_TS, TS),
-        ]
-    )
+    tables = {
+        "ouro.fato_transacoes": checks.TableChecks(m.fact_transactions(), not_empty=True),
+        "prata.transacoes": checks.TableChecks(m.transactions()[0], required=_REQ_COLS, unique=["id_transacao"]),
+        "ouro.fato_eventos_risco": checks.TableChecks(m.fact_risk(), foreign=[("id_cliente", "ouro.dim_clientes", "id_cliente")]),
+        "ouro.dim_clientes": checks.TableChecks(m.dim_clients()),
+        "prata.estornos": checks.TableChecks(m.refunds()[0], positive=[("Estornos possuem valor positivo", "valor_estorno")]),
+    }
+    return checks.keyed_checks(tables, RUN_TS, TS)
 
 
 _KEYS_SQL = {"clientes": "id_cliente", "contas": "id_conta", "cartoes": "id_cartao", "transacoes": "id_transacao", "eventos_risco": "id_evento", "estornos": "id_estorno"}
