@@ -43,11 +43,40 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
 
 
+def without_dot_segments(path: Column) -> Column:
+    """An absolute path without ``.`` and ``..`` (RFC 3986, 5.2.4)."""
+    whole = F.when(path.rlike(r"/\.\.?$"), F.concat(path, F.lit("/"))).otherwise(path)
+
+    def step(done: Column, part: Column) -> Column:
+        up, rest = done["up"], done["rest"]
+
+        def state(levels: Column, kept: Column) -> Column:
+            return F.struct(levels.alias("up"), kept.alias("rest"))
+
+        return (
+            F.when(part == ".", state(up, rest))
+            .when(part == "..", state(up + 1, rest))
+            .when(up > 0, state(up - 1, rest))
+            .otherwise(state(up, F.concat(F.lit("/"), part, rest)))
+        )
+
+    last_first = F.reverse(F.split(F.regexp_replace(whole, "^/", ""), "/"))
+    start = F.struct(F.lit(0).alias("up"), F.lit("").alias("rest"))
+    resolved = F.aggregate(last_first, start, step, lambda done: done["rest"])
+    return F.when(path.rlike(r"/\.\.?(/|$)"), resolved).otherwise(path)
+
+
 def url_key(url: Column) -> Column:
-    """Identity of a url: fragment dropped, host in lower case; null without a host."""
+    """Identity of a url; null without a host.
+
+    Scheme and host are in lower case, an empty path is ``/``, dot segments
+    are resolved and the fragment is dropped.
+    """
     plain = F.substring_index(url, "#", 1)
-    rest = F.regexp_replace(after_scheme(plain), r"^[^/?#]*", "")
-    return F.when(url_host(url) != "", F.concat(F.substring_index(plain, "://", 1), F.lit("://"), url_host(url), rest))
+    query = F.regexp_extract(after_scheme(plain), r"(?s)\?.*$", 0)
+    path = F.when(url_path(plain) == "", F.lit("/")).otherwise(without_dot_segments(url_path(plain)))
+    scheme = F.translate(F.substring_index(plain, "://", 1), _upper, _lower)
+    return F.when(url_host(plain) != "", F.concat(scheme, F.lit("://"), url_host(plain), path, query))
 
 
 def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
@@ -90,42 +119,100 @@ def judged(rows: DataFrame, url: str, rules: Sequence[Rule]) -> DataFrame:
     return split.select("*", F.explode(F.array(fitting_rule(F.col("host"), F.col("path"), rules))).alias("found"))
 
 
+# fixed values of HTML: character references by name, and how references, tags and attributes are written
+NAMED = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
+REFERENCE = r"&(?:amp|lt|gt|quot|apos|#0*+[0-9]{0,7}|#[xX]0*+[0-9a-fA-F]{0,6});"
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+TAG = r"(?i)<(?:link|meta|base)\b[^<>]*+>"
+ATTRIBUTE = r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+REFRESH = r"(?is)^\s*(?:[0-9.]+[\s;,]+(?:url\s*=\s*)?|url\s*=\s*)(?:\"([^\"]*)|'([^']*)|(.*))"
+
+
+def _character(reference: Column) -> Column:
+    is_hex = F.lower(F.substring(reference, 1, 3)) == "&#x"
+    digits = F.regexp_extract(reference, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+    code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("long")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    by_name = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+    return F.when(F.startswith(reference, F.lit("&#")), numbered).otherwise(F.try_element_at(by_name, reference))
+
+
+def unescaped(text: Column) -> Column:
+    """``text`` with its character references replaced, each once: ``&amp;lt;`` gives ``&lt;``."""
+    found = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    between = F.split(text, REFERENCE, -1)
+
+    def joined(part: Column, i: Column) -> Column:
+        return F.concat(part, F.coalesce(_character(F.get(found, i)), F.lit("")))
+
+    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(between, joined), "")).otherwise(text)
+
+
 def _attribute(tag: Column, name: str) -> Column:
-    value = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*))", 0)
-    return F.trim(F.regexp_replace(F.regexp_replace(value, rf"(?is)^{name}\s*=\s*", ""), r"^[\"']|[\"']$", ""))
+    """Value of the first attribute ``name`` of a tag, unescaped, without space around it; null if it has none."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
+    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
+    value = F.get(values, F.array_position(names, F.lit(name)).cast("int") - 1)
+    plain = F.regexp_replace(value, r"^(?:\"([^\"]*)\"|'([^']*)')$", "$1$2")
+    return F.regexp_replace(unescaped(plain), r"^\s+|\s+$|[\t\r\n]", "")
 
 
 def resolve(link: Column, base: Column) -> Column:
-    """Absolute url of a link found on the page ``base``."""
+    """Absolute url of a link found at the url ``base`` (RFC 3986, 5.2), its dot segments left to ``url_key``.
+
+    Null for a link within the page and for a scheme without a host, as ``mailto:``.
+    """
+    link = F.substring_index(link, "#", 1)
     scheme = F.substring_index(base, "://", 1)
     site = F.concat(scheme, F.lit("://"), url_host(base))
     folder = F.regexp_replace(url_path(base), r"[^/]*$", "")
     return (
         F.when(link == "", None)
-        .when(F.instr(link, "://") > 0, link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(link.rlike(r"^[^:]*://[^/?]"), link))
         .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
         .when(F.startswith(link, F.lit("/")), F.concat(site, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(site, url_path(base), link))
         .otherwise(F.concat(site, F.when(folder == "", "/").otherwise(folder), link))
     )
 
 
+def _once(**columns: Column) -> Column:
+    """The columns as a generator, so that each is computed once and not wherever a later one uses it."""
+    return F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(src, dst) of canonical links and meta refreshes in the pages' html."""
-    canonical = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-    refresh = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+    """(src, dst) of all canonical links and meta refreshes in the pages' html.
+
+    Tags in comments don't count; links are resolved against the first
+    ``<base href>``, or else the page's url.
+    """
+    found = F.regexp_extract_all(F.regexp_replace("html", COMMENT, ""), F.lit(TAG), F.lit(0))
     tags = stored(
-        pages.filter(F.col("html").rlike(canonical) | F.col("html").rlike(refresh)).select(
-            F.col("url").cast("string").alias("url"),
-            F.regexp_extract("html", canonical, 0).alias("canonical"),
-            F.regexp_extract("html", refresh, 0).alias("refresh"),
-        ),
+        pages.filter(F.col("html").rlike("(?i)canonical|refresh")).select(F.col("url").cast("string").alias("url"), found.alias("tags")),
         "url-tags",
     )
-    content = _attribute(F.col("refresh"), "content")
-    target = F.regexp_replace(F.regexp_extract(content, r"(?is)\burl\s*=\s*(.*)$", 1), r"^[\"']|[\"']$", "")
-    found = tags.select("url", F.array(_attribute(F.col("canonical"), "href"), target).alias("links"))
-    links = found.select("url", F.explode("links").alias("link")).filter("link <> ''")
-    return links.select(F.col("url").alias("src"), F.explode(F.array(resolve(F.col("link"), F.col("url")))).alias("dst"))
+    first_base = F.get(F.filter("tags", lambda t: t.rlike(r"(?i)^<base\b.*\bhref\s*=")), F.lit(0))
+    based = tags.select("url", "tags", _once(given=_attribute(first_base, "href")))
+    based = based.select("url", "tags", _once(base=F.coalesce(resolve(F.col("given"), F.col("url")), F.col("url"))))
+    tag = F.col("tag")
+    of_tag = based.select("url", "base", F.explode("tags").alias("tag")).filter(~tag.rlike(r"(?i)^<base\b"))
+    read = of_tag.select(
+        "url",
+        "base",
+        _once(
+            kinds=F.split(F.lower(F.coalesce(_attribute(tag, "rel"), F.lit(""))), r"\s+"),
+            is_refresh=F.lower(_attribute(tag, "http-equiv")) == "refresh",
+            is_link=tag.rlike(r"(?i)^<link\b"),
+            href=_attribute(tag, "href"),
+            content=_attribute(tag, "content"),
+        ),
+    )
+    target = F.concat(*[F.regexp_extract("content", REFRESH, group) for group in (1, 2, 3)])
+    link = F.when(F.col("is_link"), F.when(F.array_contains("kinds", "canonical"), F.col("href"))).when(F.col("is_refresh"), F.trim(target))
+    links = read.select("url", "base", _once(link=link)).filter("link <> ''")
+    return links.select(F.col("url").alias("src"), _once(dst=resolve(F.col("link"), F.col("base"))))
 
 
 def alias_verdicts(links: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
@@ -169,7 +256,8 @@ def filter_urls(
 
     A null url, or one without ``://``, has an empty host and path and no
     aliases; null html has no links.  Repeated rows are judged each; an empty
-    table gives no rows; other columns are ignored.
+    table gives no rows; other columns are ignored.  Of html that is cut off, the
+    tags that end count; one whose attributes hold ``<`` or ``>`` isn't read.
     """
     links = page_links(pages)
     if redirects is not None:

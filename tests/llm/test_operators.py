@@ -546,6 +546,53 @@ def test_url_filter_aliases(spark):
     assert {r.verdict for r in filter_urls(table, []).collect()} == {"allow"}
 
 
+def test_url_links_of_all_tags(spark):
+    from pyspark.sql import functions as F
+
+    from stratum.llm.url_filter import page_links, url_key
+
+    url = "http://A.net/d/p?x=1"
+    cases = [
+        ("<link rel=canonical href=/one><LINK REL='nofollow Canonical' HREF='two'>", ["http://a.net/one", "http://a.net/d/two"]),
+        ('<link data-href="/no" title="href=/no rel=canonical" rel="canonical" href=" /q?a=1&amp;b=2 ">', ["http://a.net/q?a=1&b=2"]),
+        ("<link rel=canonical href='/&amp;lt;&#47;&#x2F;&#xe9;&#128512;&#0;&bad;'>", ["http://a.net/&lt;//\u00e9\U0001f600\ufffd&bad;"]),
+        ("<link rel=canonical href='../../../g/./h/..'>", ["http://a.net/g/"]),
+        ("<link rel=canonical href='?to=http://b.net/'>", ["http://a.net/d/p?to=http://b.net/"]),
+        ("<link rel=canonical href='go?to=http://b.net/#f'>", ["http://a.net/d/go?to=http://b.net/"]),
+        ("<link rel=canonical href='//B.net'><link rel=canonical href='HTTPS://b.net/x#y'>", ["http://b.net/", "https://b.net/x"]),
+        ("<link rel=canonical href='mailto:a@b'><link rel=canonical href='#f'><link rel=canonical href=''>", []),
+        ("<base target=x><base href='//c.net/e/f'><link rel=canonical href='g'>", ["http://c.net/e/g"]),
+        ("<!-- <link rel=canonical href=/no> --><link rel=alternate href=/no><link rel=canonical>", []),
+        ("<meta http-equiv=Refresh content=\"3;URL='/r1'\"><meta http-equiv=refresh content='0, /r2'>", ["http://a.net/r1", "http://a.net/r2"]),
+        ("<meta http-equiv=refresh content=30><meta name=refresh content='0;url=/no'>", []),
+        ("<!-- <link rel=canonical href=/no>", []),
+        ("<link rel=canonical href=/cut", []),
+        ("<link rel=canonical href='/" + "a/../" * 3000 + "z'>" + "<meta x" * 20000, ["http://a.net/z"]),
+    ]
+    rows = [(f"{url}#{i}", html, str(i)) for i, (html, _) in enumerate(cases)] + [(None, cases[0][0], "null"), (url, None, "none")]
+    pages = spark.createDataFrame(rows, "url string, html string, base string")
+    found = {i: [] for i in range(len(cases))}
+    for src, key in page_links(pages).select("src", url_key(F.col("dst"))).collect():
+        if src is not None and key is not None:
+            found[int(src.rsplit("#", 1)[1])].append(key)
+    assert {i: sorted(keys) for i, keys in found.items()} == {i: sorted(want) for i, (_, want) in enumerate(cases)}
+
+
+def test_url_resolution_like_the_standard(spark):
+    from urllib.parse import urljoin
+
+    from pyspark.sql import functions as F
+
+    from stratum.llm.url_filter import resolve, url_key
+
+    base = "http://a/b/c/d;p?q"
+    links = "g ./g g/ /g //g ?y g?y ;x g;x g;x?y . ./ .. ../ ../g ../.. ../../ ../../g ../../../g ../../../../g /./g /../g g. .g g.. ..g ./../g ./g/. g/./h g/../h g;x=1/./y g;x=1/../y g?y/./x g?y/../x".split()
+    table = spark.createDataFrame([(x,) for x in links], "link string")
+    got = table.select("link", url_key(resolve(F.col("link"), F.lit(base))).alias("key")).collect()
+    want = {x: urljoin(base, x) for x in links} | {"//g": "http://g/"}
+    assert {r.link: r.key for r in got} == want
+
+
 # 9 licenses -----------------------------------------------------------------------------------
 
 
