@@ -206,7 +206,7 @@ class Model:
         return self._memo("fact_transactions", lambda: gold.fact_transactions(self.transactions()[0], self.dim_accounts()))
 
     def fact_refunds(self):
-        return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.fact_transactions()))
+        return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.transactions()[0], dim_contas=self.dim_accounts()))
 
     def fact_risk(self):
         return self._memo("fact_risk", lambda: gold.fact_risk_events(self.risk_events()[0], dim_contas=self.dim_accounts()))

@@ -131,8 +131,13 @@ def fact_transactions(transacoes: DataFrame, dim_contas: DataFrame, unique: bool
     return _one_per_key(fact, "id_transacao", "data_transacao", unique)
 
 
-def fact_refunds(estornos: DataFrame, fato_transacoes: DataFrame, unique: bool = True) -> DataFrame:
-    """Refunds with their client (inner join: refunds of unknown transactions drop)."""
+def fact_refunds(estornos: DataFrame, transacoes: DataFrame, unique: bool = True, dim_contas: DataFrame | None = None) -> DataFrame:
+    """Refunds with their client (inner join: refunds of unknown transactions drop).
+
+    ``transacoes`` is the transaction fact, or with ``dim_contas`` silver's
+    transactions: these are still dealt by ``id_transacao`` when the refunds
+    meet them, and only the refunds go on to their accounts, where the client is.
+    """
     r = estornos.select(
         "id_estorno",
         "id_transacao",
@@ -140,8 +145,12 @@ def fact_refunds(estornos: DataFrame, fato_transacoes: DataFrame, unique: bool =
         F.col("valor_estorno").cast(MONEY).alias("valor_estorno"),
         optional_column(estornos, "motivo", "string"),
     )
-    t = fato_transacoes.select("id_transacao", "id_cliente")
-    fact = r.join(t, "id_transacao", "inner").select(
+    if dim_contas is not None:
+        joined = r.join(transacoes.select("id_transacao", "id_conta"), "id_transacao", "inner")
+        joined = joined.join(dim_contas.select("id_conta", "id_cliente"), "id_conta", "inner")
+    else:
+        joined = r.join(transacoes.select("id_transacao", "id_cliente"), "id_transacao", "inner")
+    fact = joined.select(
         "id_estorno",
         "id_transacao",
         "id_cliente",
