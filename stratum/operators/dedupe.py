@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Secondary ordering columns used when the frame has them (newest first).
 LINEAGE_ORDER = ("data_ingestao", "arquivo_origem")
+LATEST_BY_LINEAGE = (*LINEAGE_ORDER, "hash_linha")  # all lineage columns that order rows before their own
 
 
 def latest_order(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> list[Column]:
@@ -50,6 +51,17 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def spread_distinct(df: DataFrame) -> DataFrame:
+    """Distinct rows, dealt once, by a hash of all their columns.
+
+    After a join Spark would leave the rows dealt by the join's key, as this is
+    one of the columns: the rows of a key that very many name (or of NULL)
+    would be held by one task.
+    """
+    dealt = df.withColumn("__deal", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return dealt.repartition("__deal").distinct().drop("__deal")
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (partial aggregation first)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("quantidade")).filter(F.col("quantidade") > 1)

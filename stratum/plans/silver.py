@@ -19,12 +19,13 @@ from stratum.functions.rules import (
     card_rules,
     client_rules,
     first_reason,
+    own_transaction_rules,
     refund_rules,
     risk_event_rules,
     tag_reasons,
     transaction_rules,
 )
-from stratum.operators.dedupe import latest_per_key
+from stratum.operators.dedupe import LATEST_BY_LINEAGE, latest_per_key, spread_distinct
 from stratum.operators.quality import split_by_null_reason, split_valid_invalid
 from stratum.settings import REASON_COLUMN
 
@@ -141,12 +142,26 @@ def standardize_refunds(bronze: DataFrame, ts_type: str = "timestamp") -> DataFr
 # ---------------------------------------------------------------------------
 
 
-def lookup_card_account(transactions: DataFrame, cards: DataFrame) -> DataFrame:
-    """Add ``id_conta`` from the card's current version (NULL when the card is unknown)."""
-    card_accounts = cards.select(F.col("id_cartao").cast("string").alias("id_cartao"), F.col("id_conta").cast("string").alias("id_conta"))
+def cards_with_client(cards: DataFrame, accounts: DataFrame) -> DataFrame:
+    """``id_cartao, id_conta, id_cliente``: cards with the client of their account (NULL when the account is unknown)."""
+    owners = accounts.select(F.col("id_conta").cast("string").alias("id_conta"), F.col("id_cliente").cast("string").alias("id_cliente"))
+    return cards.select("id_cartao", F.col("id_conta").cast("string").alias("id_conta")).join(owners, "id_conta", "left")
+
+
+def lookup_card_account(transactions: DataFrame, cards: DataFrame, carry: Sequence[str] = (), streamed: bool = False) -> DataFrame:
+    """Add ``id_conta`` from the card's current version (NULL when the card is unknown).
+
+    ``carry``: further columns of ``cards``, added last.  ``streamed``: the
+    cards, narrow and one row a key, are hashed, and the transactions stream
+    past them unsorted, so a card that very many rows name (or none) takes no
+    memory.  Sorting both sides is faster where rows go on to be sorted by id.
+    """
+    card_accounts = cards.select(*(F.col(c).cast("string").alias(c) for c in ("id_cartao", "id_conta", *carry)))
+    if streamed:
+        card_accounts = card_accounts.hint("shuffle_hash")
     cols = transactions.columns
     out = transactions.join(card_accounts, "id_cartao", "left")
-    ordered = cols[:2] + ["id_conta"] + cols[2:]
+    ordered = cols[:2] + ["id_conta"] + cols[2:] + list(carry)
     return out.select(*ordered)
 
 
@@ -174,10 +189,24 @@ def classify_accumulated(df: DataFrame, rules, keys: Sequence[str], order_by: st
     return latest_per_key(valid, keys, order_by), invalid.distinct()
 
 
+def latest_known(valid: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
+    """``latest_per_key`` of valid rows, whose keys the rules made sure of.
+
+    The filter tells this to the planner: a join would infer it on its own side
+    only, and a plan's uses of the rows would not share their shuffles.
+    """
+    for key in keys:
+        valid = valid.filter(F.col(key).isNotNull())
+    return latest_per_key(valid, keys, order_by)
+
+
 def classify_first_match(df: DataFrame, rules, keys: Sequence[str], order_by: str) -> tuple[DataFrame, DataFrame]:
-    """First-match reason code, split, latest valid row per key; quarantine as distinct rows."""
+    """First-match reason code, split, latest valid row per key; quarantine as distinct rows.
+
+    The invalid rows are dealt anew: those of an unknown parent may be very many.
+    """
     valid, invalid = split_by_null_reason(df.withColumn(REASON_COLUMN, first_reason(rules)))
-    return latest_per_key(valid, keys, order_by), invalid.distinct()
+    return latest_known(valid, keys, order_by), spread_distinct(invalid)
 
 
 def silver_clients(bronze: DataFrame, run_ts: datetime, ts_type: str = "timestamp"):
@@ -192,9 +221,30 @@ def silver_cards(bronze: DataFrame, run_ts: datetime, ts_type: str = "timestamp"
     return classify_accumulated(standardize_cards(bronze, run_ts, ts_type), card_rules(), ["id_cartao"], "data_atualizacao")
 
 
-def silver_transactions(bronze: DataFrame, cards_current: DataFrame, ts_type: str = "timestamp", passthrough: Sequence[str] = ()):
-    enriched = lookup_card_account(standardize_transactions(bronze, ts_type, passthrough), cards_current)
-    return classify_first_match(enriched, transaction_rules(), ["id_transacao"], "data_transacao")
+def silver_transactions(
+    bronze: DataFrame, cards_current: DataFrame, ts_type: str = "timestamp", passthrough: Sequence[str] = (), carry: Sequence[str] = ()
+):
+    standard = standardize_transactions(bronze, ts_type, passthrough)
+
+    def classified(streamed: bool):
+        enriched = lookup_card_account(standard, cards_current, carry, streamed)
+        return classify_first_match(enriched, transaction_rules(), ["id_transacao"], "data_transacao")
+
+    return classified(False)[0], classified(True)[1]
+
+
+def transaction_parents(bronze: DataFrame, cards_current: DataFrame, ts_type: str = "timestamp") -> DataFrame:
+    """``id_transacao, id_cartao, id_conta`` of silver's transactions, from rows narrowed before their shuffles.
+
+    The latest row is chosen by ``data_transacao``, lineage, card and account
+    before all other columns, so rows that tie on these agree on what is
+    returned.  The rules on a transaction's own columns apply before the lookup.
+    """
+    standard = standardize_transactions(bronze, ts_type)
+    kept = ["id_transacao", "id_cartao", "data_transacao", *LATEST_BY_LINEAGE]
+    own = standard.filter(first_reason(own_transaction_rules()).isNull()).select(*kept)
+    known = lookup_card_account(own, cards_current).filter(F.col("id_conta").isNotNull())
+    return latest_known(known, ["id_transacao"], "data_transacao").select("id_transacao", "id_cartao", "id_conta")
 
 
 def silver_risk_events(bronze: DataFrame, transactions_silver: DataFrame, ts_type: str = "timestamp"):
