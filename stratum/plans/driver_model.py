@@ -137,9 +137,16 @@ def bronze_risk_events(events: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Lazily composed silver and gold frames over one scale-factor folder."""
+    """Lazily composed silver and gold frames over one scale-factor folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``with_client``: the transactions get the client of their account in the
+    card lookup, for the facts; silver's own columns stay.  For queries that
+    use ``fact_transactions``: all their layers then share the transactions'
+    shuffles.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, with_client: bool = False):
+        self.with_client = with_client
         self.spark = spark
         self.sf_dir = sf_dir
         self._tables: dict[str, DataFrame] = {}
@@ -180,7 +187,18 @@ class Model:
     def cards(self):
         return self._memo("cards", lambda: silver.silver_cards(self.bronze("cartoes"), RUN_TS, TS))
 
+    def client_transactions(self):
+        """``transactions`` with the ``id_cliente`` of their account."""
+
+        def build():
+            cards = silver.cards_with_client(self.cards()[0], self.accounts()[0])
+            return silver.silver_transactions(self.bronze("transacoes"), cards, TS, passthrough=("tipo_transacao",), carry=("id_cliente",))
+
+        return self._memo("client_transactions", build)
+
     def transactions(self):
+        if self.with_client:
+            return tuple(df.drop("id_cliente") for df in self.client_transactions())
         return self._memo(
             "transactions",
             lambda: silver.silver_transactions(self.bronze("transacoes"), self.cards()[0], TS, passthrough=("tipo_transacao",)),
@@ -203,10 +221,12 @@ class Model:
         return self._memo("dim_cards", lambda: gold.dim_cards(self.cards()[0], unique=True))
 
     def fact_transactions(self):
-        return self._memo("fact_transactions", lambda: gold.fact_transactions(self.transactions()[0], self.dim_accounts()))
+        return self._memo("fact_transactions", lambda: gold.fact_transactions(self.client_transactions()[0]))
 
     def fact_refunds(self):
         return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.transactions()[0], dim_contas=self.dim_accounts()))
 
     def fact_risk(self):
         return self._memo("fact_risk", lambda: gold.fact_risk_events(self.risk_events()[0], dim_contas=self.dim_accounts()))
+        if self.with_client:
+            return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.fact_transactions()))

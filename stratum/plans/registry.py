@@ -92,7 +92,7 @@ def q_dim_card(spark, sf):
 
 @register("fact_transactions", O.with_ctes(["fato_transacoes"], "SELECT * FROM fato_transacoes"))
 def q_fact_transactions(spark, sf):
-    return Model(spark, sf).fact_transactions()
+    return Model(spark, sf, with_client=True).fact_transactions()
 
 
 @register("fact_refunds", O.with_ctes(["fato_estornos"], "SELECT * FROM fato_estornos"))
@@ -164,7 +164,7 @@ FROM dim_clientes c LEFT JOIN tx ON c.id_cliente = tx.id_cliente
 
 @register("client_consumption", _CONSUMPTION_SQL)
 def q_client_consumption(spark, sf):
-    m = Model(spark, sf)
+    m = Model(spark, sf, with_client=True)
     return gold.client_consumption(m.dim_clients(), m.fact_transactions(), m.dim_accounts(), m.dim_cards())
 
 
@@ -183,7 +183,7 @@ FROM with_total""",
 
 @register("consumption_share", _SHARE_SQL)
 def q_consumption_share(spark, sf):
-    return gold.consumption_share(Model(spark, sf).fact_transactions())
+    return gold.consumption_share(Model(spark, sf, with_client=True).fact_transactions())
 
 
 _RISK_SQL = O.with_ctes(
@@ -228,7 +228,7 @@ FROM j""",
 
 @register("client_refunds", _REFUNDS_SQL)
 def q_client_refunds(spark, sf):
-    m = Model(spark, sf)
+    m = Model(spark, sf, with_client=True)
     return gold.client_refunds(m.dim_clients(), m.fact_transactions(), m.fact_refunds())
 
 
@@ -251,5 +251,5 @@ FROM tx LEFT JOIN rf ON tx.id_cliente = rf.id_cliente AND tx.ano = rf.ano AND tx
 
 @register("monthly_consumption", _MONTHLY_SQL)
 def q_monthly_consumption(spark, sf):
-    m = Model(spark, sf)
+    m = Model(spark, sf, with_client=True)
     return gold.monthly_consumption(m.fact_transactions(), m.fact_refunds())

@@ -71,7 +71,7 @@ FROM fato_transacoes GROUP BY id_data, CAST(data_transacao AS DATE)""",
     ),
 )
 def q_daily_summary(spark, sf):
-    return gold.daily_transaction_summary(Model(spark, sf).fact_transactions())
+    return gold.daily_transaction_summary(Model(spark, sf, with_client=True).fact_transactions())
 
 
 @register(
@@ -84,7 +84,7 @@ FROM fato_transacoes GROUP BY id_conta, id_cliente""",
     ),
 )
 def q_account_summary(spark, sf):
-    return gold.account_movement_summary(Model(spark, sf).fact_transactions())
+    return gold.account_movement_summary(Model(spark, sf, with_client=True).fact_transactions())
 
 
 _METRIC_SOURCES = [("clientes", "tag_clientes", False), ("transacoes", "tag_transacoes", True), ("eventos_risco", "tag_eventos", True), ("estornos", "tag_estornos", False)]
