@@ -55,7 +55,8 @@ def parse_decimal(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Colum
     """
     t = text(c)
     normalised = (
-        F.when(t.rlike(GROUPED_COMMA_DECIMAL), F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+        F.when(~t.contains(","), t)  # both patterns hold a comma
+        .when(t.rlike(GROUPED_COMMA_DECIMAL), F.replace(F.replace(t, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
         .when(t.rlike(PLAIN_COMMA_DECIMAL), F.replace(t, F.lit(","), F.lit(".")))
         .otherwise(t)
     )

@@ -204,8 +204,14 @@ class Model:
             lambda: silver.silver_transactions(self.bronze("transacoes"), self.cards()[0], TS, passthrough=("tipo_transacao",)),
         )
 
+    def transaction_parents(self):
+        """What risk events look up: of the transactions, where the query holds them anyway, else from narrow rows."""
+        if self.with_client or "transactions" in self._layers:
+            return self.transactions()[0]
+        return self._memo("transaction_parents", lambda: silver.transaction_parents(self.bronze("transacoes"), self.cards()[0], TS))
+
     def risk_events(self):
-        return self._memo("risk_events", lambda: silver.silver_risk_events(self.bronze("eventos_risco"), self.transactions()[0], TS))
+        return self._memo("risk_events", lambda: silver.silver_risk_events(self.bronze("eventos_risco"), self.transaction_parents(), TS))
 
     def refunds(self):
         return self._memo("refunds", lambda: silver.silver_refunds(self.bronze("estornos"), TS))
@@ -224,9 +230,9 @@ class Model:
         return self._memo("fact_transactions", lambda: gold.fact_transactions(self.client_transactions()[0]))
 
     def fact_refunds(self):
+        if self.with_client:
+            return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.fact_transactions()))
         return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.transactions()[0], dim_contas=self.dim_accounts()))
 
     def fact_risk(self):
         return self._memo("fact_risk", lambda: gold.fact_risk_events(self.risk_events()[0], dim_contas=self.dim_accounts()))
-        if self.with_client:
-            return self._memo("fact_refunds", lambda: gold.fact_refunds(self.refunds()[0], self.fact_transactions()))

@@ -225,7 +225,7 @@ def tagged(m: Model, entity: str):
         std = silver.standardize_transactions(b, TS, passthrough=("tipo_transacao",))
         return R.tag_first_reason(silver.lookup_card_account(std, m.cards()[0]), R.transaction_rules())
     std = silver.standardize_risk_events(b, TS)
-    return R.tag_first_reason(silver.lookup_transaction(std, m.transactions()[0]), R.risk_event_rules())
+    return R.tag_first_reason(silver.lookup_transaction(std, m.transaction_parents()), R.risk_event_rules())
 
 
 for _entity, _key, _cte in [
