@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from stratum.llm.common import MIX_A, MIX_B, MIX_C, WordHashes, ascii_words, discard, mix, stored
-from stratum.llm.components import connected_components
+from stratum.llm.components import merged_components
 
 
 class Threshold(NamedTuple):
@@ -395,10 +395,10 @@ def nearest_pairs(near: DataFrame) -> DataFrame:
     return best.select("u", F.col("best.v").alias("v")).distinct()
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(members: DataFrame, components: DataFrame) -> DataFrame:
     """Members of the tiles that still hold several components."""
-    label = connected_components(links).withColumnRenamed("node", "class_id")
-    rows = members.join(label, "class_id", "left").select(
+    label = components.withColumnRenamed("node", "class_id")
+    rows = members.select("key", "class_id").join(label, "class_id", "left").select(
         "key", "class_id", F.coalesce("component", "class_id").alias("label")
     )
     tile = Window.partitionBy("key")
@@ -459,22 +459,24 @@ def ngram_components(
     texts = rows.select("doc_id", "text").join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]), "left_semi")
     sets = stored(class_sets(texts, n), "ngram-sets")
 
-    links, current = None, members.withColumn("label", F.col("class_id"))
+    components, current = None, members.withColumn("label", F.col("class_id"))
     for salt in range(star_rounds):
         found = stored(verified(star_pairs(current, salt), sets, t), "ngram-links")
-        links = found if links is None else links.union(found)
-        current = stored(_labelled(members, links), "ngram-open")
+        components = merged_components(components, found)
+        current = stored(_labelled(current, components), "ngram-open")
     for _ in range(nearest_rounds):
+        if current.isEmpty():
+            break
         near = stored_tile_pairs(current, sets, t, block, slices)
         found = stored(verified(nearest_pairs(near), sets, t), "ngram-links")
-        links = found if links is None else links.union(found)
-        members = members.join(near.select("key").distinct(), "key", "left_semi")
-        current = stored(_labelled(members, links), "ngram-open")
+        components = merged_components(components, found)
+        open_ = current.join(near.select("key").distinct(), "key", "left_semi")
+        current = stored(_labelled(open_, components), "ngram-open")
     rest = tile_pairs(current, sets, t, block).select("u", "v").distinct()
     found = stored(verified(rest, sets, t), "ngram-links")
-    links = found if links is None else links.union(found)
+    components = merged_components(components, found)
 
-    label = connected_components(links).withColumnRenamed("node", "class_id")
+    label = components.withColumnRenamed("node", "class_id")
     group: Column = F.coalesce("component", "class_id")
     labelled = reps.join(label, "class_id", "left").select("class_id", "rep", group.alias("group"))
     least = labelled.groupBy("group").agg(F.min("rep").alias("component_id"))

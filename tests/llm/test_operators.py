@@ -295,6 +295,59 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, 60: 50, 200: 50}
 
 
+def tables_written(monkeypatch, *modules) -> list[str]:
+    """Labels of the tables that the modules store from now on."""
+    labels = []
+    for module in modules:
+        keep = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, label, keep=keep: labels.append(label) or keep(df, label))
+    return labels
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    from stratum.llm import components
+
+    labels = tables_written(monkeypatch, components)
+    pairs = [(i, 100 * (i % 3) - 200) for i in range(1, 30)]
+    got = components.connected_components(spark.createDataFrame(pairs, "u long, v long"))
+    assert {(r.node, r.component) for r in got.collect()} == {*pairs}
+    assert labels == ["cc-edges", "cc-least"]
+
+
+def test_merged_components(spark, monkeypatch):
+    from stratum.llm import components
+
+    pick = random.Random(4)
+    parts = [[(pick.randrange(60), pick.randrange(60)) for _ in range(18)] for _ in range(3)]
+    frames = [spark.createDataFrame(part, "u long, v long") for part in parts]
+    known = components.merged_components(components.merged_components(None, frames[0]), frames[1])
+    whole = components.connected_components(frames[0].union(frames[1]))
+    assert Counter(map(tuple, known.collect())) == Counter(map(tuple, whole.collect()))
+    labels = tables_written(monkeypatch, components)
+    assert components.merged_components(known, frames[2].filter("u < 0")) is known and not labels
+    known = components.merged_components(known, frames[2])
+    whole = components.connected_components(frames[0].union(frames[1]).union(frames[2]))
+    assert Counter(map(tuple, known.collect())) == Counter(map(tuple, whole.collect()))
+
+
+def test_ngram_rounds_end_with_the_links(spark, monkeypatch):
+    """No component is looked for where no link was found, and no round is for tiles that are done."""
+    from stratum.llm import components, ngram_join
+
+    rows = [r for r in corpus()] + [(100 + r[0], *r[1:]) for r in near_copies(3)]
+    docs, labels = spark.createDataFrame(rows, DOCS), tables_written(monkeypatch, components, ngram_join)
+
+    def run(**options):
+        labels.clear()
+        got = Counter(map(tuple, ngram_join.ngram_components(docs, **options).select("doc_id", "component_id").collect()))
+        return got, Counter(labels)
+
+    few, written = run(nearest_rounds=5, slices=1)
+    assert 0 < written["ngram-near"] < 5
+    many, written = run(nearest_rounds=0)
+    assert not written["ngram-near"] and many == few
+
+
 # 4 language -----------------------------------------------------------------------------------
 
 
