@@ -28,7 +28,10 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from operator import attrgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 IDS = "doc_id long, n_tokens long, ids array<int>"
-CHUNK = re.compile(r"[^ \t-\r]+")
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -60,27 +62,41 @@ class Part:
         return int(np.searchsorted(self.at, offset))
 
 
-class Chunk:
+class Chunk(NamedTuple):
     """What is kept of a piece of text without white space."""
 
-    __slots__ = ("decoded", "ids", "numbers")
+    count: int
+    ids: bytes  # 32-bit
+    numbers: bytes
+    decoded: bytes
 
-    def __init__(self, ids: list[int], numbers: str, decoded: str):
-        self.ids, self.numbers, self.decoded = ids, numbers, decoded
+
+COUNT, NUMBERS, DECODED = map(attrgetter, ("count", "numbers", "decoded"))
+
+
+def chunk_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chunks of ``text.encode().split()`` start and end, in characters."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    white = np.ones(len(codes) + 2, bool)
+    white[1:-1] = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    edges = np.flatnonzero(white[1:] != white[:-1])
+    return edges[::2], edges[1::2]
 
 
 class Splitter:
     """Encodes texts with a tokenizer file, whole or as joined parts; decodes ids.
 
     Where white space is no part of any token, texts are cut at it and the
-    chunks between, short ones, are encoded once and kept, ``limit`` of them at
-    most.
+    chunks between, short ones, are encoded once and kept, about ``limit`` of
+    them at most; those not met for the longest time go first.
     """
 
     WINDOWS = (64, 256, 1024)
     SHORT = 256
+    MARK = "\x01"  # stands between chunks that are encoded together
+    TOGETHER = 512
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task is one thread
         from tokenizers import Tokenizer
 
@@ -97,11 +113,13 @@ class Splitter:
         self.added = [token["content"] for token in spec["added_tokens"]]
         self.guard = 8 + max(map(len, self.added), default=0)
         self.by_rank = self._by_rank(model)
-        self.limit, self.chunks = limit, {}
+        self.limit, self.chunks, self.older = limit, {}, {}
         probe = "a b\t1 \n! 's\r\x0b\x0cx  \n"
         self.spaced = self.full.pre_tokenizer is not None and not any(
             set(word) & set(" ĠĊ\t\n") for word, _ in self.full.pre_tokenizer.pre_tokenize_str(probe)
         )
+        mark = self.full.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         # the model alone on symbols: a run's inside, and a run's end
         bare = {**spec, "normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
         self.end = Tokenizer.from_str(json.dumps(bare))
@@ -123,44 +141,76 @@ class Splitter:
 
     # ---------------------------------------------------------------- whole
 
+    def _encode_chunks(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of each chunk; many are encoded as one text, with a mark between each two.
+
+        The mark's token shows where they part.  Where it turns up more or less
+        often than that, the chunks are encoded one by one.
+        """
+        out: list[list[int]] = []
+        step = 1 if self.mark is None else self.TOGETHER
+        blocks = [chunks[i : i + step] for i in range(0, len(chunks), step)]
+        together = self.full.encode_batch_fast([f" {self.MARK} ".join(some) for some in blocks], add_special_tokens=False)
+        for some, one in zip(blocks, together, strict=True):
+            ids = one.ids
+            if len(some) > 1 and ids.count(self.mark) == len(some) - 1 and not any(self.MARK in chunk for chunk in some):
+                start = 0
+                for _ in range(len(some) - 1):
+                    end = ids.index(self.mark, start)
+                    out.append(ids[start:end])
+                    start = end + 1
+                out.append(ids[start:])
+            elif len(some) > 1:
+                out += [each.ids for each in self.full.encode_batch_fast(some, add_special_tokens=False)]
+            else:
+                out.append(ids)
+        return out
+
     def _chunked(self, texts: list[str]) -> list[list[Chunk]]:
         """The chunks of each text; those that aren't kept yet are encoded together."""
-        if len(self.chunks) > self.limit:
-            self.chunks = {}
+        if len(self.chunks) > self.limit // 2:
+            self.older, self.chunks = self.chunks, {}
         # bytes.split() cuts at ASCII white space, which no normalization joins with its neighbours
         split = [text.encode().split() for text in texts]
-        new = list({chunk for one in split for chunk in one if chunk not in self.chunks})
-        found = self.full.encode_batch_fast([chunk.decode() for chunk in new], add_special_tokens=False)
-        ids = [one.ids for one in found]
+        wanted, new = set().union(*split).difference(self.chunks), []
+        for chunk in wanted:
+            kept = self.older.pop(chunk, None)
+            if kept is None:
+                new.append(chunk)
+            else:
+                self.chunks[chunk] = kept
+        ids = self._encode_chunks([chunk.decode() for chunk in new])
         numbers = self.numbers.__getitem__
         for chunk, some, text in zip(new, ids, self.decode(ids), strict=True):
-            self.chunks[chunk] = Chunk(some, " ".join(map(numbers, some)), text)
+            kept = Chunk(len(some), array("i", some).tobytes(), " ".join(map(numbers, some)).encode(), text.encode())
+            self.chunks[chunk] = kept
         return [list(map(self.chunks.__getitem__, one)) for one in split]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         if not self.spaced:
             return [one.ids for one in self.full.encode_batch_fast(texts, add_special_tokens=False)]
-        return [[i for chunk in one for i in chunk.ids] for one in self._chunked(texts)]
+        return [np.frombuffer(b"".join([c.ids for c in one]), np.int32).tolist() for one in self._chunked(texts)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         if self.plain_decode:
             return [" ".join(map(self.tokens.__getitem__, one)) for one in ids]
         return self.full.decode_batch(ids, skip_special_tokens=False)
 
-    def written(self, ids: list[list[int]]) -> list[tuple[int, str, str]]:
+    def written(self, ids: list[list[int]]) -> list[tuple[int, bytes, bytes]]:
         """Per text: tokens, decimal ids joined by a space, decoded text."""
-        numbers = (" ".join(map(self.numbers.__getitem__, one)) for one in ids)
-        return list(zip(map(len, ids), numbers, self.decode(ids), strict=True))
+        numbers = (" ".join(map(self.numbers.__getitem__, one)).encode() for one in ids)
+        return list(zip(map(len, ids), numbers, (text.encode() for text in self.decode(ids)), strict=True))
 
-    def encode_written(self, texts: list[str]) -> list[tuple[int, str, str]]:
+    def encode_written(self, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
         """``written`` of the encoded texts, put together from that of their chunks."""
         if not self.spaced or not self.plain_decode:
             return self.written(self.encode(texts))
         out = []
         for some in self._chunked(texts):
-            some = [chunk for chunk in some if chunk.ids]
-            total = sum([len(chunk.ids) for chunk in some])
-            out.append((total, " ".join([c.numbers for c in some]), " ".join([c.decoded for c in some])))
+            counts = list(map(COUNT, some))
+            if not all(counts):
+                some = [chunk for chunk in some if chunk.count]
+            out.append((sum(counts), b" ".join(map(NUMBERS, some)), b" ".join(map(DECODED, some))))
         return out
 
     # ---------------------------------------------------------------- parts
@@ -179,19 +229,23 @@ class Splitter:
         """A text with the word starts of its long chunks, and the starts of its short ones."""
         if not self.spaced:
             return self.part(text)
-        spans = [(m.start(), m.group()) for m in CHUNK.finditer(text)]
-        short = iter(self._chunked([" ".join(chunk for _, chunk in spans if len(chunk) <= self.SHORT)])[0])
-        ids, at = [], []
-        for begin, chunk in spans:
-            if len(chunk) <= self.SHORT:
-                found = next(short).ids
-                ids += found
-                at += [begin] * len(found)
-            else:
-                fine = self.part(chunk)
-                ids += fine.ids.tolist()
-                at += (fine.at + begin).tolist()
-        return Part(text, np.array(ids, np.int32), np.array(at, np.int64))
+        begins, ends = chunk_spans(text)
+        long = np.flatnonzero(ends - begins > self.SHORT)
+        fine = {i: self.part(text[begins[i] : ends[i]]) for i in long.tolist()}
+        if fine:
+            spans = enumerate(zip(begins.tolist(), ends.tolist(), strict=True))
+            short = iter(self._chunked([" ".join([text[a:b] for i, (a, b) in spans if i not in fine])])[0])
+            found = [fine[i].ids if i in fine else np.frombuffer(next(short).ids, np.int32) for i in range(len(begins))]
+            counts = np.array(list(map(len, found)), np.int64)
+            ids = np.concatenate(found)
+        else:
+            chunks = self._chunked([text])[0]
+            counts = np.array(list(map(COUNT, chunks)), np.int64)
+            ids = np.frombuffer(b"".join([chunk.ids for chunk in chunks]), np.int32)
+        at, stops = np.repeat(begins, counts), np.cumsum(counts)
+        for i, part in fine.items():
+            at[stops[i] - counts[i] : stops[i]] += part.at
+        return Part(text, ids, at)
 
     def join(self, left: Part, right: Part) -> Part:
         """The encoding of both texts in a row."""
@@ -215,8 +269,8 @@ class Splitter:
         at = window.at + a
 
         def shared(side: np.ndarray, low: int, high: int) -> list[int]:
-            common = np.intersect1d(at, side)
-            return [int(p) for p in common[(common >= low) & (common <= high)] if _steady(text[p])]
+            near = side[np.searchsorted(side, low) : np.searchsorted(side, high, "right")]
+            return [int(p) for p in np.intersect1d(at, near) if _steady(text[p])]
 
         from_left = [0] if a == 0 else shared(left.at, a, cut - self.guard)
         to_right = shared(right.at + cut, cut, b - self.guard)
@@ -324,9 +378,9 @@ class AsDigests:
         return self._rows(doc_ids, coder.written(found))
 
     @staticmethod
-    def _rows(doc_ids: list, found: list[tuple[int, str, str]]) -> pa.RecordBatch:
-        def digests(texts: list[str]) -> pa.Array:
-            return pa.array([hashlib.sha256(text.encode()).hexdigest() for text in texts], pa.string())
+    def _rows(doc_ids: list, found: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        def digests(texts: list[bytes]) -> pa.Array:
+            return pa.array([hashlib.sha256(text).hexdigest() for text in texts], pa.string())
 
         columns = [
             pa.array(doc_ids, pa.int64()),

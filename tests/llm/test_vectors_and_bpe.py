@@ -161,6 +161,58 @@ def test_long_unsplit_text_is_joined_by_tokens(tokenizer_path, monkeypatch):
     assert in_parts(coder, text, 7) == coder.encode([text])[0]
 
 
+class Counting:
+    """A tokenizer that keeps the texts it was given in batches."""
+
+    def __init__(self, full):
+        self.full, self.texts = full, []
+
+    def __getattr__(self, name):
+        return getattr(self.full, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.full.encode_batch_fast(texts, **options)
+
+
+def test_new_chunks_are_encoded_together(tokenizer_path):
+    from stratum.llm.bpe import Splitter
+
+    coder, pick = Splitter(tokenizer_path), random.Random(9)
+    coder.full, whole = Counting(coder.full), coder.full
+    pieces = [x for x in PIECES if not x.isspace()] + ["\x01", "\x00", "\x1c"]
+    chunks = ["".join(pick.choice(pieces) for _ in range(pick.randint(1, 5))) for _ in range(4000)]
+    plain = [chunk for chunk in {*chunks} if "\x01" not in chunk]
+    texts = [" ".join(plain), "\x01 \x01", "a\x01 b", " ".join(chunks)]
+    for text in texts:
+        assert coder.encode([text])[0] == whole.encode(text, add_special_tokens=False).ids
+    coder = Splitter(tokenizer_path)
+    coder.full = counted = Counting(coder.full)
+    coder.encode([" ".join(plain)])
+    assert len(counted.texts) < len(plain) / 100
+
+
+def test_chunks_in_use_are_kept(tokenizer_path):
+    from stratum.llm.bpe import Splitter
+
+    coder = Splitter(tokenizer_path, limit=40)
+    coder.full = counted = Counting(coder.full)
+    for i in range(100):
+        coder.encode([" ".join(["often", *(f"x{i}y{k}" for k in range(10))])])
+    assert sum("often" in text for text in counted.texts) == 1
+    assert len(coder.chunks) + len(coder.older) <= 2 * (40 // 2 + 11)
+
+
+def test_chunk_spans():
+    from stratum.llm.bpe import chunk_spans
+
+    pick = random.Random(2)
+    for _ in range(200):
+        text = "".join(pick.choice("ab \t\n\x0b\x0c\r\x1c\x85\xa0é中\U0001f642") for _ in range(pick.randint(0, 30)))
+        spans = zip(*map(np.ndarray.tolist, chunk_spans(text)), strict=True)
+        assert [text[a:b].encode() for a, b in spans] == text.encode().split()
+
+
 @pytest.mark.parametrize("piece", [40, 16384])
 def test_bpe_round_trip(spark, tokenizer_path, piece):
     from tokenizers import Tokenizer
